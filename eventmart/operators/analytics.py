@@ -8,7 +8,7 @@ once per user version.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from eventmart import schemas
 from eventmart.operators.dims import SECONDS_PER_DAY, Star
 from eventmart.operators.lookup import lookup
-from eventmart.operators.topk import leaders, top_k
+from eventmart.operators.topk import top_k
 
 # Columns that make up one period. Weeks are ISO weeks of a calendar year, so
 # the week around New Year is split between two years.
@@ -39,21 +39,30 @@ def _grain(grain: str | None) -> list[str]:
     return GRAINS[grain]
 
 
-def at_grain(fact: DataFrame, star: Star, grain: str | None) -> DataFrame:
-    """Add the period columns of ``grain``; only the dimensions it needs are joined."""
+def at_grain(
+    fact: DataFrame, star: Star, grain: str | None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``keep`` of the fact rows with the period columns of ``grain``.
+
+    Only the dimensions the grain needs are joined, and only columns asked for
+    are read. Both lookups are broadcasts: a day has 86,400 seconds, and the
+    days are counted before.
+    """
     columns = _grain(grain)
     by_date = [c for c in columns if c in schemas.DATE_KEY]
     by_time = [c for c in columns if c in schemas.TIME_KEY]
+    ids = [*(["date_id"] if by_date else []), *(["time_id"] if by_time else [])]
+    rows = fact.select(*ids, *keep)
     if by_date:
-        fact = lookup(fact, star.date, {"date_id": "date_id"}, by_date)
+        rows = lookup(rows, star.date, {"date_id": "date_id"}, by_date)
     if by_time:
-        fact = lookup(fact, star.time, {"time_id": "time_id"}, by_time, rows=SECONDS_PER_DAY)
-    return fact
+        rows = lookup(rows, star.time, {"time_id": "time_id"}, by_time, rows=SECONDS_PER_DAY)
+    return rows.select(*columns, *keep)
 
 
 def _plays(fact: DataFrame, star: Star, grain: str | None, keys: Sequence[str]) -> DataFrame:
-    events = at_grain(fact, star, grain)
-    return events.groupBy(*_grain(grain), *keys).agg(F.count(F.lit(1)).alias("plays"))
+    events = at_grain(fact, star, grain, keys)
+    return events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("plays"))
 
 
 def logged_in_users(
@@ -61,12 +70,8 @@ def logged_in_users(
 ) -> DataFrame:
     """Distinct users that logged in per period."""
     logins = fact_auth.where("success") if only_success else fact_auth
-    periods = _grain(grain)
-    return (
-        at_grain(logins, star, grain)
-        .groupBy(*periods)
-        .agg(F.countDistinct("userId").alias("users"))
-    )
+    users = at_grain(logins, star, grain, ["userId"])
+    return users.groupBy(*_grain(grain)).agg(F.countDistinct("userId").alias("users"))
 
 
 def songs_played(fact_listen: DataFrame, star: Star, grain: str) -> DataFrame:
@@ -77,8 +82,8 @@ def songs_played(fact_listen: DataFrame, star: Star, grain: str) -> DataFrame:
 def top_songs(fact_listen: DataFrame, star: Star, grain: str | None, k: int = 10) -> DataFrame:
     """The k most played songs per period; ties go by title, artist, id."""
     periods = _grain(grain)
-    plays = leaders(_plays(fact_listen, star, grain, ["song_id"]), periods, "plays", k)
-    named = lookup(plays, star.song, {"song_id": "song_id"}, ["title", "artist"])
+    plays = _plays(fact_listen, star, grain, ["song_id"])
+    named = lookup(plays, star.song, {"song_id": "song_id"}, ["title", "artist"], salts=1)
     order = [F.desc("plays"), F.asc("title"), F.asc("artist"), F.asc("song_id")]
     return top_k(named, periods, order, k)
 
@@ -90,7 +95,7 @@ def top_artists(
     periods = _grain(grain)
     songs = _plays(fact_listen, star, grain, ["song_id"])
     artists = (
-        lookup(songs, star.song, {"song_id": "song_id"}, ["artist"])
+        lookup(songs, star.song, {"song_id": "song_id"}, ["artist"], salts=1)
         .groupBy(*periods, "artist")
         .agg(F.sum("plays").alias("plays"))
     )
@@ -102,10 +107,9 @@ def top_locations(
 ) -> DataFrame:
     """The k places with most listens, overall or per period."""
     periods = _grain(grain)
-    plays = leaders(_plays(fact_listen, star, grain, ["location_id"]), periods, "plays", k)
-    named = lookup(
-        plays, star.location, {"location_id": "location_id"}, ["city", "zip", "state"]
-    )
+    plays = _plays(fact_listen, star, grain, ["location_id"])
+    on = {"location_id": "location_id"}
+    named = lookup(plays, star.location, on, ["city", "zip", "state"], salts=1)
     order = [F.desc("plays"), F.asc("city"), F.asc("zip"), F.asc("state"), F.asc("location_id")]
     return top_k(named, periods, order, k)
 
@@ -123,6 +127,11 @@ def avg_songs_per_user(fact_listen: DataFrame) -> DataFrame:
     )
 
 
+def _instant(moment: datetime) -> datetime:
+    """A time without zone means UTC, whatever the zone of the driver."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
 def latest_minutes(
     table: DataFrame,
     n: int,
@@ -131,8 +140,8 @@ def latest_minutes(
 ) -> DataFrame:
     """The n newest rows of a minute table, newest first, within [start, end)."""
     if start is not None:
-        table = table.where(F.col("ingest_ts") >= F.lit(start))
+        table = table.where(F.col("ingest_ts") >= F.lit(_instant(start)))
     if end is not None:
-        table = table.where(F.col("ingest_ts") < F.lit(end))
+        table = table.where(F.col("ingest_ts") < F.lit(_instant(end)))
     rest = [F.asc(c) for c in table.columns if c != "ingest_ts"]
     return table.orderBy(F.desc("ingest_ts"), *rest).limit(n)

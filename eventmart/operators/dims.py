@@ -24,13 +24,13 @@ SECONDS_PER_DAY = 86_400
 
 
 class Star(NamedTuple):
-    """The dimensions, in the order facts look them up."""
+    """The dimensions, in the order facts look them up; unneeded ones may be None."""
 
-    time: DataFrame
-    date: DataFrame
-    song: DataFrame
-    user: DataFrame
-    location: DataFrame
+    time: DataFrame | None = None
+    date: DataFrame | None = None
+    song: DataFrame | None = None
+    user: DataFrame | None = None
+    location: DataFrame | None = None
 
 
 def dim_time(spark: SparkSession) -> DataFrame:

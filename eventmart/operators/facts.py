@@ -92,13 +92,13 @@ def _by_key(name: str, events: DataFrame, star: dims.Star | None, user_match: st
     keyed = _stored_form(name, complete.withColumns(keys))
     if user_match == "version":
         return keyed
-    if star is None:
+    if star is None or star.user is None:
         raise ValueError("user_match='id' needs the user dimension")
     return lookup_user(keyed, star.user)
 
 
 def _by_join(name: str, events: DataFrame, star: dims.Star | None, user_match: str) -> DataFrame:
-    if star is None:
+    if star is None or any(dim is None for dim in star):
         raise ValueError("method='join' needs the dimensions")
     rows = lookup_time(with_calendar(events), star.time)
     rows = lookup_date(rows, star.date)

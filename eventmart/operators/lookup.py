@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # A side with at most this many (narrow) rows is sent to every executor.
 BROADCAST_ROWS = 500_000
-# Pieces a hot key is cut into when both sides have to be shuffled.
+# Pieces a key is cut into when both sides are shuffled; a power of two.
 SALTS = 16
 
 
@@ -35,17 +35,23 @@ def lookup(
     salt. It is taken from the row's content, so a retried task sends every row
     where the first attempt did. Rows that are equal in all columns share a
     salt; both join inputs are plain shuffles, so AQE splits those further.
+    Where ``events`` are aggregated already, ``salts=1`` joins them as they are.
     """
+    if salts < 1 or salts & (salts - 1):
+        raise ValueError(f"salts must be a power of two, not {salts}")
     keys = {left: f"_key_{i}" for i, left in enumerate(on)}
     side = members.select(*[F.col(on[left]).alias(key) for left, key in keys.items()], *take)
     equal = [F.col(left) == F.col(key) for left, key in keys.items()]
     if rows is None:
         rows = members.count()
     if rows <= broadcast_rows:
-        return events.join(F.broadcast(side), equal).select(*events.columns, *take)
-
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    repeated = side.withColumn("_piece", F.explode(pieces))
-    salted = events.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)))
-    matched = salted.join(repeated, [*equal, F.col("_salt") == F.col("_piece")])
+        matched = events.join(F.broadcast(side), equal)
+    elif salts == 1:
+        matched = events.join(side, equal)
+    else:
+        pieces = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        side = side.withColumn("_piece", F.explode(pieces))
+        salt = F.xxhash64(*events.columns).bitwiseAND(F.lit(salts - 1))
+        salted = events.withColumn("_salt", salt)
+        matched = salted.join(side, [*equal, F.col("_salt") == F.col("_piece")])
     return matched.select(*events.columns, *take)

@@ -21,22 +21,6 @@ def _first(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def leaders(df: DataFrame, by: Sequence[str], measure: str, k: int) -> DataFrame:
-    """Rows that are among the k largest of their group, with all ties at the end.
-
-    A superset of every top-k that breaks ties further, so names needed only for
-    the tie-break can be joined to these few rows.
-    """
-    order = F.col(measure).desc()
-    if not by:
-        by = ["_all"]
-        df = df.withColumn("_all", F.lit(1))
-    if k > _group_limit_bound(df):
-        return df.drop("_all")
-    ranked = df.withColumn("_place", F.rank().over(W.partitionBy(*by).orderBy(order)))
-    return ranked.where(F.col("_place") <= k).drop("_place", "_all")
-
-
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """Add ``rank`` (1 is first in ``order``) and keep ranks up to ``k`` per group.
 

@@ -254,6 +254,7 @@ def _decoded_sql(topic: str, extra: str = "") -> str:
 
 _LAST_DAY = "(SELECT max(CAST(ts AS DATE)) FROM events)"
 _FIRST_DAY = "(SELECT min(CAST(ts AS DATE)) FROM events)"
+_FIRST_HOUR_END = "(SELECT min(ts) + INTERVAL 1 HOUR FROM events)"
 _BEFORE_LAST = f"CAST(ts AS DATE) < {_LAST_DAY}"
 _ON_LAST = f"CAST(ts AS DATE) = {_LAST_DAY}"
 
@@ -397,14 +398,17 @@ GROUP BY ALL"""
         "SELECT userId, gender, level FROM page_view EXCEPT "
         "SELECT userId, gender, level FROM listen"
     )
-    first_day = _dims(f"CAST(ts AS DATE) = {_FIRST_DAY}", "old_")
-    later = _dims(f"CAST(ts AS DATE) > {_FIRST_DAY}", "late_")
     for name in ("dim_user", "dim_date", "dim_song", "dim_location"):
-        sql[f"new_{name}"] = conformed(
-            f"SELECT * FROM late_{name} EXCEPT SELECT * FROM old_{name}"
-        ).replace("\nSELECT * FROM late_", f",{first_day},{later}\nSELECT * FROM late_", 1)
+        sql[f"new_{name}"] = _with(
+            _BASE,
+            _TOPICS,
+            _CONFORMED,
+            _dims(f"ts < {_FIRST_HOUR_END}", "old_"),
+            _dims(f"ts >= {_FIRST_HOUR_END}", "late_"),
+            query=f"SELECT * FROM late_{name} EXCEPT SELECT * FROM old_{name}",
+        )
     for name in schemas.FACTS:
-        old = _fact_select(name, "version", f"CAST(ts AS DATE) = {_FIRST_DAY}")
+        old = _fact_select(name, "version", f"ts < {_FIRST_HOUR_END}")
         sql[f"new_{name}"] = _star_query(
             f"SELECT * FROM ({_fact_select(name, 'version')}) EXCEPT SELECT * FROM ({old})"
         )

@@ -37,7 +37,8 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 
 def _topics(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [sample.topic(spark, sf_dir, name) for name in schemas.STAR_TOPICS]
+    base = sample.base(spark, sf_dir)
+    return [sample.as_topic(base, name) for name in schemas.STAR_TOPICS]
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> Activity:
@@ -47,16 +48,16 @@ def _activity(spark: SparkSession, sf_dir: str) -> Activity:
 def _day_span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
     """First and last day of the events, two values."""
     day = F.to_date("ts")
-    return tuple(sample.read_events(spark, sf_dir).agg(F.min(day), F.max(day)).first())
+    return tuple(sample.table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[Activity, Activity]:
-    """The first day's events, and those of all later days."""
-    first, _ = _day_span(spark, sf_dir)
+    """The first hour's events, and those of all the time after it."""
+    start = sample.table(spark, sf_dir, "events").agg(F.min("ts")).first()[0]
+    cut = F.lit(str(start + timedelta(hours=1))).cast("timestamp")
     activity = _activity(spark, sf_dir)
-    day = F.to_date("ts")
-    before = Activity(*[t.where(day <= F.lit(first)) for t in activity])
-    after = Activity(*[t.where(day > F.lit(first)) for t in activity])
+    before = Activity(*[t.where(F.col("ts") < cut) for t in activity])
+    after = Activity(*[t.where(F.col("ts") >= cut) for t in activity])
     return before, after
 
 
@@ -151,7 +152,10 @@ def _fact(
 ) -> DataFrame:
     activity = _activity(spark, sf_dir)
     events = dict(zip(schemas.FACTS, activity, strict=True))[name]
-    star = dims.star(spark, activity)
+    if method == "join":
+        star = dims.star(spark, activity)
+    else:
+        star = dims.Star(user=dims.dim_user(activity)) if user_match == "id" else None
     return facts.fact(name, events, star, user_match=user_match, method=method)
 
 
@@ -179,7 +183,7 @@ def _new_members(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_facts(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All facts minus those of the first day, as a late second run would add."""
+    """All facts minus those of the first hour, as a late second run would add."""
     before, _ = _split(spark, sf_dir)
     part = schemas.STAR_TOPICS.index(schemas.FACT_TOPIC[name])
     everything = facts.fact(name, _activity(spark, sf_dir)[part])
@@ -275,31 +279,46 @@ def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- analytical questions ----------------------------------------------------
 
 
+def stored_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """A full load of all days, made once per application and input.
+
+    The questions are asked of the stored star schema, as an analyst would; the
+    load has its own queries above.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    root = _WAREHOUSES.get(known)
+    if root is None or not landed.path_exists(spark, warehouse.table_path(root, "fact_listen")):
+        root = session.work_dir(spark, "warehouse")
+        as_of = _day_span(spark, sf_dir)[1] + timedelta(days=1)
+        loads.full_load(spark, _land_all(spark, sf_dir), root, as_of, "version")
+        _WAREHOUSES[known] = root
+    return root
+
+
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+
+
 def _star_and(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dims.Star]:
-    activity = _activity(spark, sf_dir)
-    events = dict(zip(schemas.FACTS, activity, strict=True))[name]
-    return facts.fact(name, events), dims.star(spark, activity)
+    root = stored_warehouse(spark, sf_dir)
+    return warehouse.read_fact(spark, root, name), warehouse.read_star(spark, root)
 
 
 def _logged_in_users(grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, star = _star_and("fact_auth", spark, sf_dir)
-    return analytics.logged_in_users(fact, star, grain)
+    return analytics.logged_in_users(*_star_and("fact_auth", spark, sf_dir), grain)
 
 
 def _songs_played(grain: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact, star = _star_and("fact_listen", spark, sf_dir)
-    return analytics.songs_played(fact, star, grain)
+    return analytics.songs_played(*_star_and("fact_listen", spark, sf_dir), grain)
 
 
 def _top(
     question: Callable[..., DataFrame], grain: str | None, spark: SparkSession, sf_dir: str
 ) -> DataFrame:
-    fact, star = _star_and("fact_listen", spark, sf_dir)
-    return question(fact, star, grain, k=TOP)
+    return question(*_star_and("fact_listen", spark, sf_dir), grain, k=TOP)
 
 
 def _user_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.user_distribution(_dim("dim_user", spark, sf_dir))
+    return analytics.user_distribution(_star_and("fact_auth", spark, sf_dir)[1].user)
 
 
 def _avg_songs_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:

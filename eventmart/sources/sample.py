@@ -15,12 +15,14 @@ from eventmart.sources.landed import is_folder
 
 # ``event_id % SONGS`` picks the song, so only parts below it can match.
 SONGS = 200
-LISTENS = ("view", "click", "purchase")
-LOGINS = ("signup", "error")
-EVENTS_SCHEMA = (
-    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-    "value DOUBLE, props STRING"
-)
+# Schemas are declared, so planning opens no file. Only these columns are used.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_size INT",
+}
 
 _DERIVED = {
     "level": "case when user_id % 3 = 0 and dayofmonth(ts) > 15 then 'paid' else 'free' end",
@@ -45,13 +47,13 @@ _DERIVED = {
 }
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream (a stream follows a folder, not a file)."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    reader = spark.readStream.schema(TABLES["events"])
     path = f"{sf_dir}/events.parquet"
     if is_folder(spark, path):
         return reader.parquet(path)
@@ -66,68 +68,59 @@ def base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> D
     join is left to Spark, which broadcasts them only while they are small and
     splits a hot user's partition otherwise.
     """
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    events = read_events(spark, sf_dir) if events is None else events
-    places = table("nation").join(
-        F.broadcast(table("region")), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    songs = table("part").where(F.col("p_partkey").between(0, SONGS - 1))
-    joined = (
+    if events is None:
+        events = table(spark, sf_dir, "events")
+    region = F.broadcast(table(spark, sf_dir, "region"))
+    places = table(spark, sf_dir, "nation").join(region, F.expr("n_regionkey = r_regionkey"))
+    songs = table(spark, sf_dir, "part").where(f"p_partkey between 0 and {SONGS - 1}")
+    return (
         events.withColumn("ts", F.col("ts").cast("timestamp"))
-        .join(table("customer"), F.col("user_id") == F.col("c_custkey"))
-        .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(songs), F.col("event_id") % SONGS == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"))
+        .join(F.broadcast(places), F.expr("c_nationkey = n_nationkey"))
+        .join(F.broadcast(songs), F.expr(f"event_id % {SONGS} = p_partkey"))
+        .selectExpr(
+            "event_id", "ts", "event_type", *[f"{sql} as {c}" for c, sql in _DERIVED.items()]
+        )
     )
-    derived = [F.expr(text).alias(name) for name, text in _DERIVED.items()]
-    return joined.select("event_id", "ts", "event_type", *derived)
 
 
-def _listen(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("event_type").isin(*LISTENS)).withColumn("auth", F.lit("Logged In"))
+_LISTENS = "event_type in ('view', 'click', 'purchase')"
+_GUEST = "event_id % 20 = 0"
+_UNKNOWN_TO_GUESTS = ("userId", "lastName", "firstName", "gender", "registration")
 
-
-def _auth(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("event_type").isin(*LOGINS)).withColumn(
-        "success", F.col("event_type") == "signup"
-    )
-
-
-def _page_view(rows: DataFrame) -> DataFrame:
-    guest = F.col("event_id") % 20 == 0
-    played = F.col("event_type").isin(*LISTENS)
-    unknown_to_guests = ("userId", "lastName", "firstName", "gender", "registration")
-    return rows.withColumns(
+# Per topic: which events, and the columns that differ from the base rows.
+_TOPICS: dict[str, tuple[str, dict[str, str]]] = {
+    "listen_events": (_LISTENS, {"auth": "'Logged In'"}),
+    "auth_events": (
+        "event_type in ('signup', 'error')",
+        {"success": "event_type = 'signup'"},
+    ),
+    "page_view_events": (
+        "true",
         {
-            "page": F.col("event_type"),
-            "auth": F.when(guest, F.lit("Guest")).otherwise(F.lit("Logged In")),
-            "method": F.when(F.col("event_type") == "view", F.lit("GET")).otherwise(
-                F.lit("PUT")
-            ),
-            "status": F.when(F.col("event_type") == "error", F.lit(404)).otherwise(F.lit(200)),
-            **{c: F.when(~guest, F.col(c)) for c in unknown_to_guests},
-            **{c: F.when(played, F.col(c)) for c in ("artist", "song", "duration")},
-        }
-    )
-
-
-def _status_change(rows: DataFrame) -> DataFrame:
-    return rows.where("event_type = 'signup'").withColumn("auth", F.lit("Logged In"))
+            "page": "event_type",
+            "auth": f"if({_GUEST}, 'Guest', 'Logged In')",
+            "method": "if(event_type = 'view', 'GET', 'PUT')",
+            "status": "if(event_type = 'error', 404, 200)",
+            **{c: f"if({_GUEST}, null, {c})" for c in _UNKNOWN_TO_GUESTS},
+            **{c: f"if({_LISTENS}, {c}, null)" for c in ("artist", "song", "duration")},
+        },
+    ),
+    "status_change_events": ("event_type = 'signup'", {"auth": "'Logged In'"}),
+}
 
 
-_TOPICS = {
-    "listen_events": _listen,
-    "auth_events": _auth,
-    "page_view_events": _page_view,
-    "status_change_events": _status_change,
-}
+def as_topic(base_rows: DataFrame, name: str) -> DataFrame:
+    """The rows of one topic in landed form, without the partition column."""
+    condition, own = _TOPICS[name]
+    columns = [f"{own.get(c, c)} as {c}" for c in schemas.TOPIC_COLUMNS[name]]
+    return base_rows.where(condition).selectExpr(*columns)
 
 
 def topic(
     spark: SparkSession, sf_dir: str, name: str, events: DataFrame | None = None
 ) -> DataFrame:
-    """One topic in landed form, without the partition column."""
-    rows = _TOPICS[name](base(spark, sf_dir, events))
-    return rows.select(*schemas.TOPIC_COLUMNS[name])
+    return as_topic(base(spark, sf_dir, events), name)
 
 
 def as_json(rows: DataFrame) -> DataFrame:
