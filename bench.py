@@ -30,15 +30,15 @@ HEADLINE = [
     "dim_song",
     "dim_user",
     "dim_location",
+    "new_dim_user",
+    "new_fact_listen",
+    "warehouse_load",
+    "incremental_load_counts",
     "fact_listen",
     "fact_auth",
     "fact_page_view",
     "fact_listen_by_version",
     "fact_listen_by_join",
-    "new_dim_user",
-    "new_fact_listen",
-    "warehouse_load",
-    "incremental_load_counts",
     "logged_in_users_day",
     "logged_in_users_minute",
     "top_songs_day",

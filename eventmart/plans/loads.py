@@ -12,6 +12,7 @@ enriched events of all topics would cost more than the scans.
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +21,7 @@ from eventmart.functions.nulls import GUEST_IDS
 from eventmart.operators import dims, facts
 from eventmart.operators.conform import Activity, conform
 from eventmart.operators.lookup import BROADCAST_ROWS
-from eventmart.plans.tables import write_table
+from eventmart.plans.tables import run_together, write_table
 from eventmart.sources.landed import landed_before, landed_day
 from eventmart.sources.warehouse import read_dim, read_fact, read_star
 
@@ -53,15 +54,27 @@ def full_load(
     activity = _activity(
         lambda topic: landed_before(spark, landed_root, topic, as_of), guest_ids
     )
-    write_table(dims.dim_time(spark), warehouse_root, "dim_time", "overwrite")
-    for name, build in _DIMENSIONS.items():
-        write_table(build(activity), warehouse_root, name, "overwrite", rebalance=[])
+    built = {"dim_time": dims.dim_time(spark)}
+    built |= {name: build(activity) for name, build in _DIMENSIONS.items()}
+    run_together(
+        [
+            partial(write_table, rows, warehouse_root, name, "overwrite", rebalance=[])
+            for name, rows in built.items()
+        ]
+    )
     star = read_star(spark, warehouse_root)
     moved = user_match == "id" and star.user.count() > BROADCAST_ROWS
     by_day = ["date_id"] if moved else None
-    for name, events in zip(schemas.FACTS, activity, strict=True):
-        built = facts.fact(name, events, star, user_match=user_match)
-        write_table(built, warehouse_root, name, "overwrite", ["date_id"], by_day)
+    built = {
+        name: facts.fact(name, events, star, user_match=user_match)
+        for name, events in zip(schemas.FACTS, activity, strict=True)
+    }
+    run_together(
+        [
+            partial(write_table, rows, warehouse_root, name, "overwrite", ["date_id"], by_day)
+            for name, rows in built.items()
+        ]
+    )
 
 
 def incremental_load(
@@ -83,14 +96,25 @@ def incremental_load(
     activity = _activity(
         lambda topic: landed_day(spark, landed_root, topic, process_date), guest_ids
     )
+    added = {}
     for name in _DIMENSIONS:
-        stored = read_dim(spark, warehouse_root, name)
-        added = dims.new_members(name, activity, stored)
-        write_table(added, warehouse_root, name, "append", rebalance=[])
+        added[name] = dims.new_members(name, activity, read_dim(spark, warehouse_root, name))
+    run_together(
+        [
+            partial(write_table, rows, warehouse_root, name, "append", rebalance=[])
+            for name, rows in added.items()
+        ]
+    )
     star = read_star(spark, warehouse_root)
     date_ids = [process_date.strftime("%Y%m%d")]
+    added = {}
     for name, events in zip(schemas.FACTS, activity, strict=True):
         built = facts.fact(name, events, star, user_match=user_match)
         stored = read_fact(spark, warehouse_root, name, date_ids)
-        added = facts.new_facts(built, stored)
-        write_table(added, warehouse_root, name, "append", ["date_id"], [])
+        added[name] = facts.new_facts(built, stored)
+    run_together(
+        [
+            partial(write_table, rows, warehouse_root, name, "append", ["date_id"], [])
+            for name, rows in added.items()
+        ]
+    )

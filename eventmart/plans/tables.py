@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +45,14 @@ def land(rows: DataFrame, root: str, topic: str, mode: str = "append") -> None:
     """Land a batch of events the way the stream does: by UTC day of ``ts``."""
     dated = rows.withColumn("date", F.to_date("ts")).hint("rebalance", "date")
     dated.write.mode(mode).partitionBy("date").parquet(topic_path(root, topic))
+
+
+def run_together(writes: Sequence[Callable[[], None]]) -> None:
+    """Submit independent writes at once, so one fills the tail of another.
+
+    The first failure is raised after all have ended.
+    """
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(write)) for write in writes]
+    for write in started:
+        write.result()

@@ -1,7 +1,9 @@
 """Registered queries: every operator over the whole sample tables.
 
-Each takes a session and the folder of the sample tables. Times leave as
-timestamps without zone (they are UTC).
+Each takes a session and the folder of the sample tables. The topics are
+derived from the tables and stored in the two forms the engine reads, landed
+parquet and JSON messages; queries start from these. Times leave as timestamps
+without zone (they are UTC).
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ from eventmart.operators import analytics, dims, facts, minutes
 from eventmart.operators.conform import Activity, conform
 from eventmart.operators.sets import except_distinct, union_all
 from eventmart.plans import catalog, loads
-from eventmart.plans.tables import land, write_table
+from eventmart.plans.tables import land, run_together
 from eventmart.sources import landed, sample, warehouse
+from eventmart.sources.topics import topic_stream
 from eventmart.streaming import ingest, job, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,19 +39,68 @@ def without_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
 
-def _topics(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    base = sample.base(spark, sf_dir)
-    return [sample.as_topic(base, name) for name in schemas.STAR_TOPICS]
+def _day_span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last day of the events, two values."""
+    day = F.to_date("ts")
+    return tuple(sample.table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
+
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _once(
+    spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], None], *options: object
+) -> str:
+    """A folder ``build`` filled, made once per application, input and options.
+
+    Landed topics and loaded warehouses are the stored inputs of the queries on
+    them, so they are written by the first query that needs them and kept.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir, kind, *options)
+    root = _WRITTEN.get(known)
+    if root is None or not landed.path_exists(spark, root):
+        root = session.work_dir(spark, kind)
+        build(root)
+        _WRITTEN[known] = root
+    return root
+
+
+# --- stored inputs -----------------------------------------------------------
+
+
+def _land_all(spark: SparkSession, sf_dir: str) -> str:
+    """The three topics derived from the sample tables, landed by day."""
+
+    def build(root: str) -> None:
+        base = sample.base(spark, sf_dir)
+        run_together(
+            [partial(land, sample.as_topic(base, t), root, t) for t in schemas.STAR_TOPICS]
+        )
+
+    return _once(spark, sf_dir, "landed", build)
+
+
+def _topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return landed.landed(spark, _land_all(spark, sf_dir), name)
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> Activity:
-    return conform(*_topics(spark, sf_dir))
+    return conform(*[_topic(spark, sf_dir, name) for name in schemas.STAR_TOPICS])
 
 
-def _day_span(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
-    """First and last day of the events, two values."""
-    day = F.to_date("ts")
-    return tuple(sample.table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first())
+def _messages(spark: SparkSession, sf_dir: str, topic: str, stream: bool) -> DataFrame:
+    """The messages of a topic as its producer would have sent them, in files."""
+
+    def build(root: str) -> None:
+        base = sample.base(spark, sf_dir)
+        for name in schemas.TOPIC_COLUMNS:
+            messages = sample.as_json(sample.as_topic(base, name))
+            messages.write.parquet(f"{root}/{name}")
+
+    root = _once(spark, sf_dir, "messages", build)
+    if stream:
+        return topic_stream(spark, topic, fmt="parquet", path=root)
+    return spark.read.schema("value STRING").parquet(f"{root}/{topic}")
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[Activity, Activity]:
@@ -65,13 +117,11 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[Activity, Activity]:
 
 
 def _minute_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = sample.topic(spark, sf_dir, minutes.INPUT_TOPIC[table])
-    return minutes.TABLES[table](events)
+    return minutes.TABLES[table](_topic(spark, sf_dir, minutes.INPUT_TOPIC[table]))
 
 
 def _successful_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = sample.topic(spark, sf_dir, "auth_events")
-    return minutes.user_login(events, only_success=True)
+    return minutes.user_login(_topic(spark, sf_dir, "auth_events"), only_success=True)
 
 
 def _latest_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,11 +131,6 @@ def _latest_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------
 
 
-def _messages(spark: SparkSession, sf_dir: str, topic: str, stream: bool) -> DataFrame:
-    events = sample.stream_events(spark, sf_dir) if stream else None
-    return sample.as_json(sample.topic(spark, sf_dir, topic, events))
-
-
 def _decoded(topic: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.events(_messages(spark, sf_dir, topic, stream=False), topic)
 
@@ -150,12 +195,11 @@ def _dim(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fact(
     name: str, user_match: str, method: str, spark: SparkSession, sf_dir: str
 ) -> DataFrame:
-    activity = _activity(spark, sf_dir)
-    events = dict(zip(schemas.FACTS, activity, strict=True))[name]
-    if method == "join":
-        star = dims.star(spark, activity)
-    else:
-        star = dims.Star(user=dims.dim_user(activity)) if user_match == "id" else None
+    """A fact from its events; dimensions, where it needs any, are the stored ones."""
+    events = dict(zip(schemas.FACTS, _activity(spark, sf_dir), strict=True))[name]
+    star = None
+    if method == "join" or user_match == "id":
+        star = warehouse.read_star(spark, stored_warehouse(spark, sf_dir))
     return facts.fact(name, events, star, user_match=user_match, method=method)
 
 
@@ -168,7 +212,8 @@ def _second_at_work(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _guest_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return default_guests(sample.topic(spark, sf_dir, "page_view_events"))
+    columns = schemas.TOPIC_COLUMNS["page_view_events"]
+    return default_guests(_topic(spark, sf_dir, "page_view_events")).select(*columns)
 
 
 def _union_all_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,41 +245,40 @@ def _silent_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- landed and warehouse tables ---------------------------------------------
 
 
-def _land_all(spark: SparkSession, sf_dir: str) -> str:
-    root = session.work_dir(spark, "landed")
-    for name, rows in zip(schemas.STAR_TOPICS, _topics(spark, sf_dir), strict=True):
-        land(rows, root, name)
-    return root
-
-
 def _landed(mode: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = "auth_events"
-    root = session.work_dir(spark, "landed")
-    land(sample.topic(spark, sf_dir, topic), root, topic)
-    return landed.extract(spark, root, topic, mode, _day_span(spark, sf_dir)[1])
+    root = _land_all(spark, sf_dir)
+    return landed.extract(spark, root, "auth_events", mode, _day_span(spark, sf_dir)[1])
 
 
 def _fact_by_date_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = session.work_dir(spark, "warehouse")
-    built = _fact("fact_listen", "version", "key", spark, sf_dir)
-    write_table(built, root, "fact_listen", "overwrite", ["date_id"], ["date_id"])
+    root = stored_warehouse(spark, sf_dir)
     days = [day.strftime("%Y%m%d") for day in _day_span(spark, sf_dir)]
     return warehouse.read_fact(spark, root, "fact_listen", days)
 
 
-def _loaded(
-    incremental: bool, user_match: str, spark: SparkSession, sf_dir: str
-) -> str:
+def _loaded(incremental: bool, user_match: str, spark: SparkSession, sf_dir: str) -> str:
     """Full load of all days but the last; then, if asked, the last one twice."""
     landed_root = _land_all(spark, sf_dir)
-    root = session.work_dir(spark, "warehouse")
     _, last = _day_span(spark, sf_dir)
-    loads.full_load(spark, landed_root, root, last, user_match)
-    if incremental:
-        for _ in range(2):
+
+    def build(root: str) -> None:
+        loads.full_load(spark, landed_root, root, last, user_match)
+        for _ in range(2 if incremental else 0):
             tomorrow = last + timedelta(days=1)
             loads.incremental_load(spark, landed_root, root, last, tomorrow, user_match)
-    return root
+
+    return _once(spark, sf_dir, "warehouse", build, incremental, user_match)
+
+
+def stored_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """A full load of all days, which the questions below are asked of."""
+    landed_root = _land_all(spark, sf_dir)
+    as_of = _day_span(spark, sf_dir)[1] + timedelta(days=1)
+
+    def build(root: str) -> None:
+        loads.full_load(spark, landed_root, root, as_of, "version")
+
+    return _once(spark, sf_dir, "warehouse", build, "all")
 
 
 def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -279,25 +323,6 @@ def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- analytical questions ----------------------------------------------------
 
 
-def stored_warehouse(spark: SparkSession, sf_dir: str) -> str:
-    """A full load of all days, made once per application and input.
-
-    The questions are asked of the stored star schema, as an analyst would; the
-    load has its own queries above.
-    """
-    known = (spark.sparkContext.applicationId, sf_dir)
-    root = _WAREHOUSES.get(known)
-    if root is None or not landed.path_exists(spark, warehouse.table_path(root, "fact_listen")):
-        root = session.work_dir(spark, "warehouse")
-        as_of = _day_span(spark, sf_dir)[1] + timedelta(days=1)
-        loads.full_load(spark, _land_all(spark, sf_dir), root, as_of, "version")
-        _WAREHOUSES[known] = root
-    return root
-
-
-_WAREHOUSES: dict[tuple[str, str], str] = {}
-
-
 def _star_and(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dims.Star]:
     root = stored_warehouse(spark, sf_dir)
     return warehouse.read_fact(spark, root, name), warehouse.read_star(spark, root)
@@ -339,7 +364,7 @@ def _repair_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _song_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text that needs no repair but quotes stripped stays as it is."""
-    songs = sample.topic(spark, sf_dir, "listen_events")
+    songs = _topic(spark, sf_dir, "listen_events")
     quoted = F.concat(F.lit('"'), "song", F.lit('"'))
     return songs.select(repair_text(quoted).alias("song"), repair_text("artist").alias("artist"))
 
