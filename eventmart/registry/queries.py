@@ -88,16 +88,25 @@ def _activity(spark: SparkSession, sf_dir: str) -> Activity:
     return conform(*[_topic(spark, sf_dir, name) for name in schemas.STAR_TOPICS])
 
 
-def _messages(spark: SparkSession, sf_dir: str, topic: str, stream: bool) -> DataFrame:
-    """The messages of a topic as its producer would have sent them, in files."""
+def _send_all(spark: SparkSession, sf_dir: str) -> str:
+    """The messages of all topics as their producers would have sent them."""
 
     def build(root: str) -> None:
         base = sample.base(spark, sf_dir)
-        for name in schemas.TOPIC_COLUMNS:
-            messages = sample.as_json(sample.as_topic(base, name))
-            messages.write.parquet(f"{root}/{name}")
+        sent = {t: sample.as_json(sample.as_topic(base, t)) for t in schemas.TOPIC_COLUMNS}
+        run_together([partial(df.write.parquet, f"{root}/{t}") for t, df in sent.items()])
+
+    return _once(spark, sf_dir, "messages", build)
+
 
-    root = _once(spark, sf_dir, "messages", build)
+def stored_topics(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of the landed topics and of the messages."""
+    session.prepare(spark)
+    return _land_all(spark, sf_dir), _send_all(spark, sf_dir)
+
+
+def _messages(spark: SparkSession, sf_dir: str, topic: str, stream: bool) -> DataFrame:
+    root = _send_all(spark, sf_dir)
     if stream:
         return topic_stream(spark, topic, fmt="parquet", path=root)
     return spark.read.schema("value STRING").parquet(f"{root}/{topic}")
