@@ -57,10 +57,11 @@ def full_load(
     built = {"dim_time": dims.dim_time(spark)}
     built |= {name: build(activity) for name, build in _DIMENSIONS.items()}
     run_together(
+        spark,
         [
             partial(write_table, rows, warehouse_root, name, "overwrite", rebalance=[])
             for name, rows in built.items()
-        ]
+        ],
     )
     star = read_star(spark, warehouse_root)
     moved = user_match == "id" and star.user.count() > BROADCAST_ROWS
@@ -70,10 +71,11 @@ def full_load(
         for name, events in zip(schemas.FACTS, activity, strict=True)
     }
     run_together(
+        spark,
         [
             partial(write_table, rows, warehouse_root, name, "overwrite", ["date_id"], by_day)
             for name, rows in built.items()
-        ]
+        ],
     )
 
 
@@ -100,10 +102,11 @@ def incremental_load(
     for name in _DIMENSIONS:
         added[name] = dims.new_members(name, activity, read_dim(spark, warehouse_root, name))
     run_together(
+        spark,
         [
             partial(write_table, rows, warehouse_root, name, "append", rebalance=[])
             for name, rows in added.items()
-        ]
+        ],
     )
     star = read_star(spark, warehouse_root)
     date_ids = [process_date.strftime("%Y%m%d")]
@@ -113,8 +116,9 @@ def incremental_load(
         stored = read_fact(spark, warehouse_root, name, date_ids)
         added[name] = facts.new_facts(built, stored)
     run_together(
+        spark,
         [
             partial(write_table, rows, warehouse_root, name, "append", ["date_id"], [])
             for name, rows in added.items()
-        ]
+        ],
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.sources.landed import topic_path
@@ -47,12 +47,14 @@ def land(rows: DataFrame, root: str, topic: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("date").parquet(topic_path(root, topic))
 
 
-def run_together(writes: Sequence[Callable[[], None]]) -> None:
+def run_together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
     """Submit independent writes at once, so one fills the tail of another.
 
-    The first failure is raised after all have ended.
+    They keep the caller's job group and tags. The first failure is raised after
+    all have ended.
     """
+    as_caller = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        started = [pool.submit(inheritable_thread_target(write)) for write in writes]
+        started = [pool.submit(as_caller(write)) for write in writes]
     for write in started:
         write.result()

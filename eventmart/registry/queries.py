@@ -74,7 +74,8 @@ def _land_all(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> None:
         base = sample.base(spark, sf_dir)
         run_together(
-            [partial(land, sample.as_topic(base, t), root, t) for t in schemas.STAR_TOPICS]
+            spark,
+            [partial(land, sample.as_topic(base, t), root, t) for t in schemas.STAR_TOPICS],
         )
 
     return _once(spark, sf_dir, "landed", build)
@@ -94,7 +95,9 @@ def _send_all(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> None:
         base = sample.base(spark, sf_dir)
         sent = {t: sample.as_json(sample.as_topic(base, t)) for t in schemas.TOPIC_COLUMNS}
-        run_together([partial(df.write.parquet, f"{root}/{t}") for t, df in sent.items()])
+        run_together(
+            spark, [partial(df.write.parquet, f"{root}/{t}") for t, df in sent.items()]
+        )
 
     return _once(spark, sf_dir, "messages", build)
 

@@ -46,16 +46,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_BASES: dict[str, str] = {}
+
+
+def _shared_base(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_BASES:
+        _LOCAL_BASES[application] = tempfile.mkdtemp(prefix="eventmart-")
+    return _LOCAL_BASES[application]
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
     Executors must be able to read what others wrote there, so a machine-local
     folder is only made where the master is local and the setting is absent.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="eventmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_shared_base(spark)}/{name}-{uuid.uuid4().hex}"

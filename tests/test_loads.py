@@ -1,9 +1,8 @@
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from eventmart import schemas, session
@@ -160,7 +159,23 @@ def test_serving_views(spark, tmp_path):
     assert spark.sql("SELECT * FROM song_chart_minute").count() == 0
 
 
-def test_work_dir_follows_the_session_setting(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert session.work_dir(spark, "x").startswith(base)
-    assert session.work_dir(spark, "x") != session.work_dir(spark, "x")
+class _Session:
+    """Just the parts of a session the choice of folder looks at."""
+
+    def __init__(self, master, base=None):
+        self.conf = {} if base is None else {"spark.checkpoint.dir": base}
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+
+def test_work_dir_follows_the_session_setting():
+    cluster = _Session("yarn", "hdfs://shared/folder/")
+    first, second = session.work_dir(cluster, "x"), session.work_dir(cluster, "x")
+    assert first.startswith("hdfs://shared/folder/x-") and first != second
+
+
+def test_work_dir_is_local_only_on_a_local_master():
+    local = _Session("local[2]")
+    assert session.work_dir(local, "a").rsplit("/", 1)[0] == session.work_dir(local, "b").rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_dir(_Session("spark://host:7077"), "a")

@@ -13,13 +13,14 @@ from eventmart.operators.conform import Activity, conform
 from eventmart.plans import loads
 from eventmart.plans.tables import land
 from eventmart.sources import landed, sample, warehouse
-from eventmart.streaming import ingest, job
+from eventmart.streaming import ingest, job, sinks
 
 AS_OF = date(2024, 1, 31)
 
 
 def plan(df):
-    """The plan before adaptive execution changes it."""
+    """The plan before adaptive execution changes it, filter lists in full."""
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "5000")
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -139,6 +140,16 @@ def test_decode_parses_only_the_fields_a_metric_needs(spark):
     assert "StructField(ts,LongType,true)" in text and "StructField(artist" not in text
 
 
+def test_serving_reads_push_the_time_range_to_the_files(spark, roots):
+    root = session.work_dir(spark, "serving")
+    source = landed.landed(spark, roots[0], "listen_events")
+    path = landed.topic_path(root, "song_chart_minute")
+    sinks.save_batch(minutes.song_chart_minute(source), path, 0)
+    table = sinks.latest_by_key(spark, root, "song_chart_minute")
+    recent = table.where("ingest_ts >= timestamp'2024-01-20' and song = 'x'")
+    assert "GreaterThanOrEqual(ingest_ts" in plan(recent) and "EqualTo(song,x)" in plan(recent)
+
+
 def test_nothing_runs_in_python_workers(spark):
     messages = spark.range(1).select(F.lit("{}").alias("value"))
     for topic in schemas.TOPIC_COLUMNS:
