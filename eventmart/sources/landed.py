@@ -10,22 +10,11 @@ from pyspark.sql import functions as F
 from eventmart import schemas
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files, hadoop_path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS, object store)."""
-    files, hadoop_path = _hadoop_path(spark, path)
-    return files.exists(hadoop_path)
-
-
-def is_folder(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _hadoop_path(spark, path)
-    return files.exists(hadoop_path) and files.getFileStatus(hadoop_path).isDirectory()
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def topic_path(root: str, topic: str) -> str:

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-from eventmart.sources.landed import is_folder
 
 # ``event_id % SONGS`` picks the song, so only parts below it can match.
 SONGS = 200
@@ -39,7 +38,8 @@ _DERIVED = {
     "firstName": "'F' || cast(user_id % 10 as string)",
     "gender": "case when user_id % 11 = 5 then null when user_id % 2 = 0 then 'F' else 'M' end",
     "registration": (
-        "make_timestamp(2023, cast(1 + user_id % 12 as int), cast(1 + user_id % 28 as int), 0, 0, 0)"
+        "make_timestamp(2023, cast(1 + user_id % 12 as int), "
+        "cast(1 + user_id % 28 as int), 0, 0, 0)"
     ),
     "artist": "p_brand",
     "song": "case when event_id % 97 = 0 then null else p_name end",
@@ -51,16 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream (a stream follows a folder, not a file)."""
-    reader = spark.readStream.schema(TABLES["events"])
-    path = f"{sf_dir}/events.parquet"
-    if is_folder(spark, path):
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-
-
-def base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their user, place and song.
 
     Nations and regions are 25 and 5 rows at every scale and at most ``SONGS``
@@ -68,8 +59,7 @@ def base(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> D
     join is left to Spark, which broadcasts them only while they are small and
     splits a hot user's partition otherwise.
     """
-    if events is None:
-        events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     region = F.broadcast(table(spark, sf_dir, "region"))
     places = table(spark, sf_dir, "nation").join(region, F.expr("n_regionkey = r_regionkey"))
     songs = table(spark, sf_dir, "part").where(f"p_partkey between 0 and {SONGS - 1}")
@@ -117,10 +107,8 @@ def as_topic(base_rows: DataFrame, name: str) -> DataFrame:
     return base_rows.where(condition).selectExpr(*columns)
 
 
-def topic(
-    spark: SparkSession, sf_dir: str, name: str, events: DataFrame | None = None
-) -> DataFrame:
-    return as_topic(base(spark, sf_dir, events), name)
+def topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return as_topic(base(spark, sf_dir), name)
 
 
 def as_json(rows: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from eventmart import schemas, session
 from eventmart.operators import minutes
+from eventmart.registry.queries import _messages
 from eventmart.sources import landed, sample
 from eventmart.sources.topics import kafka_options, topic_stream
 from eventmart.streaming import ingest, job, sinks
@@ -167,12 +168,8 @@ def test_landing_keeps_all_rows_and_counts_those_without_time(spark, tmp_path):
 
 def test_job_fills_nine_tables_and_rejects(spark, sf_dir):
     root = session.work_dir(spark, "job")
-
-    def messages(topic):
-        return sample.as_json(sample.topic(spark, sf_dir, topic, sample.stream_events(spark, sf_dir)))
-
     queries = job.start_all(
-        messages, f"{root}/s", f"{root}/l", f"{root}/c", sinks.AVAILABLE_NOW, with_rejects=True
+        lambda topic: _messages(spark, sf_dir, topic, stream=True), f"{root}/s", f"{root}/l", f"{root}/c", sinks.AVAILABLE_NOW, with_rejects=True
     )
     assert len(queries) == 12
     job.drain(queries)
@@ -186,7 +183,7 @@ def test_job_fills_nine_tables_and_rejects(spark, sf_dir):
 @pytest.mark.parametrize("table", [t for t in minutes.TABLES if t != "user_login"])
 def test_stream_equals_batch_up_to_the_watermark(spark, sf_dir, table):
     topic = minutes.INPUT_TOPIC[table]
-    stream = sample.as_json(sample.topic(spark, sf_dir, topic, sample.stream_events(spark, sf_dir)))
+    stream = _messages(spark, sf_dir, topic, stream=True)
     name = f"mem_{table}"
     writer = sinks.debug_stream(job.metric(table, stream), sinks.AVAILABLE_NOW, "memory", name)
     writer.start().awaitTermination()
