@@ -1,62 +1,59 @@
-"""Connected components of a graph given as pairs, with shared tables only.
-
-Large-star and small-star steps in turn (Kiveris et al., 2014): every node
-points its neighbours at the least node it can see, until each component is a
-star around its least node. A step is a partial minimum and a join, so that a
-hub costs one row per task in the minimum and a partition that Spark may split
-in the join. Every round is written to the shared folder.
+"""Connected components of a graph given as pairs, by repeated contraction.
+
+In a round every node takes the label of the node with the least hash among
+itself and its neighbours; the graph of the labels, with far fewer nodes, is the
+next round's. The hash changes with the round, so long chains shrink by a share
+each time too. When no edge is left, the labels of the rounds are put together.
+A hub is one row per task in the minimum, and a partition Spark may split in the
+joins. Every round is written to the shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import stored
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    near = _both_ways(edges)
-    least = near.groupBy("a").agg(F.min("b").alias("least")).select(
-        "a", F.least("a", "least").alias("least")
-    )
-    return near.join(least, "a").where(F.col("b") > F.col("a")).select(
-        F.col("b").alias("a"), F.col("least").alias("b")
-    )
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+def _simple(a: Column, b: Column, pairs: DataFrame) -> DataFrame:
+    """Edges without loops, directions and repeats."""
     return (
-        down.join(least, "a")
-        .select(F.col("b").alias("a"), F.col("least").alias("b"))
-        .where(F.col("a") != F.col("b"))
-        .union(least.select("a", F.col("least").alias("b")))
+        pairs.where(a != b)
+        .select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+        .distinct()
     )
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """(node, component) for every node of ``pairs`` (columns a, b of one type).
 
-    ``component`` is the least node of the component. Repeated pairs and pairs
-    of a node with itself do no harm; an empty table gives no rows.
+    ``component`` is some node of the component, the same for all its nodes.
+    Repeated pairs and pairs of a node with itself do no harm; an empty table
+    gives no rows.
     """
-    star = stored(pairs.where("a != b").select("a", "b").distinct(), "pairs")
-    mark = None
-    while True:
-        star = stored(_small_star(_large_star(star)).distinct(), "stars")
-        # Two sums of hashes tell whether the table is the one of the round before.
-        seen = star.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 2**40), F.sum(F.xxhash64("b", "a") % 2**40)
-        ).first()
-        if seen == mark:
-            break
-        mark = seen
-    return star.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        star.select("b", "b").distinct()
-    )
+    edges = stored(_simple(F.col("a"), F.col("b"), pairs), "edges")
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
+    turn = 0
+    while not edges.isEmpty():
+        ranked = lambda node: F.struct(F.xxhash64(F.lit(turn), node).alias("rank"), node.alias("node"))  # noqa: B023, E731
+        near = edges.select("a", "b").union(edges.select("b", "a"))
+        least = near.groupBy("a").agg(F.min(ranked(F.col("b"))).alias("near"))
+        label = stored(
+            least.select(
+                F.col("a").alias("node"), F.least("near", ranked(F.col("a")))["node"].alias("label")
+            ),
+            "labels",
+        )
+        of_a = label.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        of_b = label.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        if turn == 0:
+            labels = label.select("node", F.col("label").alias("component"))
+        else:
+            later = label.select(F.col("node").alias("component"), "label")
+            labels = labels.join(later, "component", "left").select(
+                "node", F.coalesce("label", "component").alias("component")
+            )
+        edges = stored(_simple(F.col("la"), F.col("lb"), edges.join(of_a, "a").join(of_b, "b")), "edges")
+        turn += 1
+    return labels

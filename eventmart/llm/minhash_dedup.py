@@ -297,20 +297,12 @@ def minhash_classes(
         "sets",
     )
 
-    links, labels = None, None
-    for leader in ("least", "most"):
-        pairs = members.where(F.col(f"{leader}.node") != F.col("node")).select(
-            F.col(f"{leader}.node").alias("a"),
-            F.col("node").alias("b"),
-            F.col(f"{leader}.n").alias("na"),
-            F.col("n").alias("nb"),
-        )
-        pairs = pairs.where(_size_fits(percent)).distinct()
-        if labels is not None:
-            pairs = _apart(pairs, labels)
-        found = stored(confirmed(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
+    leaders = F.explode(F.array("least", "most")).alias("leader")
+    pairs = members.select("node", "n", leaders).where("leader.node != node").select(
+        F.col("leader.node").alias("a"), F.col("node").alias("b"), F.col("leader.n").alias("na"), F.col("n").alias("nb")
+    )
+    links = stored(confirmed(pairs.where(_size_fits(percent)).distinct(), sets, percent), "links")
+    labels = stored(components(links), "components")
 
     # What is still apart inside a bucket.
     placed = members.select("bucket", "members", "node", "n").join(labels, "node", "left").select(
@@ -333,20 +325,33 @@ def minhash_classes(
         .select("bucket")
     )
     rest = stored(placed.join(still_open, "bucket").drop("component"), "rest")
-    small = rest.where(F.col("members") <= BLOCK).join(classes.select("node", "low"), "node")
-    near = units_together(small.select(F.col("bucket").alias("unit"), "node", "n", "comp", "low")).mapInPandas(
-        _near_in_bucket(percent, bands * rows), "a binary, b binary, na bigint, nb bigint"
-    )
-    found = confirmed(near.distinct(), sets, percent)
-    large = rest.where(F.col("members") > BLOCK).join(sets.dropDuplicates(["node"]), "node")
-    units = units_together(block_units(large.select("bucket", "node", "n", "comp", "shingles"), "bucket", "node", BLOCK))
-    found = found.union(
-        units.select("unit", "side", "node", "n", "comp", "shingles").mapInPandas(
+    more = []
+    small, large = rest.where(F.col("members") <= BLOCK), rest.where(F.col("members") > BLOCK)
+    if not small.isEmpty():
+        low = small.join(classes.select("node", "low"), "node")
+        near = units_together(low.select(F.col("bucket").alias("unit"), "node", "n", "comp", "low"))
+        near = near.mapInPandas(
+            _near_in_bucket(percent, bands * rows), "a binary, b binary, na bigint, nb bigint"
+        )
+        more.append(stored(confirmed(near.distinct(), sets, percent), "links"))
+    if not large.isEmpty():
+        full = large.select("bucket", "node", "n", "comp").join(sets.dropDuplicates(["node"]), "node")
+        units = units_together(block_units(full, "bucket", "node", BLOCK))
+        found = units.select("unit", "side", "node", "n", "comp", "shingles").mapInPandas(
             _linked_in_blocks(percent), "a binary, b binary"
         )
-    )
-    links = links.union(stored(found, "links"))
-    labels = components(links)
+        more.append(stored(found, "links"))
+    for found in more:
+        if not found.isEmpty():
+            # The components linked now are few: their graph is the one to join up.
+            between = _between(found, labels)
+            joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+            known = labels.union(between.select(F.col("a"), F.col("a"))).union(between.select(F.col("b"), F.col("b")))
+            known = known.groupBy("node").agg(F.min("component").alias("component"))
+            known = known.join(joined, "component", "left")
+            labels = stored(
+                known.select("node", F.coalesce("joined", "component").alias("component")), "components"
+            )
 
     # Only classes of several documents or with links need a lookup.
     grouped = classes.select("node", "least_id", "size").join(labels, "node", "left").select(
@@ -365,12 +370,12 @@ def minhash_classes(
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component yet."""
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links as pairs of components; a node that is in none stands for itself."""
     la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "na", "nb")
+    joined = links.join(la, "a", "left").join(lb, "b", "left")
+    return joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
 
 
 def keep_one_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:

@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventmart.llm import exact_dedup, minhash_dedup
-from eventmart.llm.common import UPPER, table
+from eventmart.llm import (
+    embedding_dedup,
+    exact_dedup,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    piece_codec,
+    quality,
+    token_files,
+    url_filter,
+)
+from eventmart.llm.common import UPPER, table, text_or_empty
+from eventmart.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,14 +40,97 @@ from d window same as (partition by norm)
 """
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.teaching_labels(table(spark, sf_dir, "labels")))
+    scored = docs.select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        quality.scorer(model)(text_or_empty()).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset", "tier", "step_group",
+    )
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("text", text_or_empty())
+    decoded = piece_codec.round_trip(docs)
+    return decoded.select(
+        "doc_id", F.size("ids").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "same_text"
+    )
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.read_tokens(spark, path, with_ids=False).drop("ids")
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+URL_RULES = (
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs of the pages on hosts with a label ``spam-...``."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    listed = pages.where(host.rlike(r"(^|\.)spam-")).select(url_filter.canonical(host, path).alias("url"))
+    return url_filter.filter_urls(pages, URL_RULES, listed).drop("possible")
+
+
+OP8_SQL = f"""
+with parts as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{UPPER}', '{UPPER.lower()}') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages
+), ruled as (
+  select *, regexp_replace(host, '^(www|m)\\.', '')
+            || regexp_replace(regexp_replace(path, '/+\\z', ''), '\\.html\\z', '') as canonical,
+         case when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/de/') then 'example.com/de/'
+              when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/en/') then 'example.net/en/'
+              when (host = 'org' or host like '%.org') and starts_with(path, '/fr/') then 'org/fr/'
+              when (host = 'net' or host like '%.net') and starts_with(path, '/') then 'net/' end as rule
+  from parts
+), listed as (select distinct canonical from ruled where regexp_matches(host, '(^|\\.)spam-'))
+select page_id, host, path, rule,
+       case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+            when canonical in (select canonical from listed) then 'block' else 'allow' end as verdict
+from ruled
+"""
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash_dedup.minhash_classes(table(spark, sf_dir, "documents"), percent=85, shingle=3)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "repeats.n_cut", "repeats.kept_spans", "text")
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op9_minhash_dedup)}
+    found = (
+        op1_exact_dedup, op2_quality_classifier, op3_packing, op4_sentencepiece, op5_token_files,
+        op6_embedding_dedup, op8_url_filter, op9_minhash_dedup, op10_substring_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op8_url_filter": OP8_SQL}
