@@ -1,27 +1,32 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-The pieces and scores of a public model file are used as a unigram lattice: the
-segmentation with the largest sum of scores wins, and of equal ones that whose
-last piece starts earliest. The search keeps a window only: the best sums and back
-pointers of the last ``longest piece`` boundaries. Whenever all paths that are
-still alive meet in one boundary, the ids up to it are given off and forgotten,
-so memory does not grow with the text. Where no piece crosses a boundary, all
-paths must meet there; with blanks written as the blank sign this is so before
-every blank sign that follows something else. The stretches between such points
-repeat, and their ids are kept in a bounded table per worker.
-
-A character that no piece covers costs ten less than the worst score and becomes
-its UTF-8 bytes. Text is taken as it is (the model's normaliser is the identity);
-a blank is put in front, as the model asks, and taken off again.
+A model file of merged pieces (BPE) cuts a text by merging neighbours, the best
+score first. The same cut is found as a shortest path: a piece may follow another
+one exactly if merging the two pieces' characters gives these two pieces again,
+and every beginning of a text has exactly one last piece that may follow the last
+piece of what is before it. So each boundary has one back pointer, found among
+the pieces that end there, and no path's cost but whether it may exist decides.
+
+The search keeps a window only. A boundary lives as long as a piece that begins
+there may still go on. Whenever the paths back from all living boundaries meet in
+one, the ids up to it are given off and forgotten, so memory does not grow with
+the text. No piece with other characters has the blank sign inside, so the search
+is over before every blank sign that follows another character; the stretches
+between repeat, and their ids are kept in a bounded table per worker.
+
+A character without a piece becomes its UTF-8 bytes. Text is taken as it is (the
+model's normaliser is the identity); a blank is put in front, as the model asks,
+and taken off again.
 
 Defined results: null and empty texts have no ids. Decoding gives back every
-text exactly. Repeated rows are encoded each; an empty table gives no rows; other
-columns are not looked at.
+text exactly; the blank sign itself, in a text, is written as its bytes for that.
+Repeated rows are encoded each; an empty table gives no rows; other columns are
+not looked at.
 """
 
 from __future__ import annotations
 
-import math
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,9 +38,9 @@ from eventmart.llm.common import text_or_empty, workers_import
 
 BLANK = "▁"  # the model's sign for a blank (fixed)
 OWN_SIGN = BLANK + "itself"  # stands for that sign where a text has it
-UNKNOWN_COST = 10.0
 MOST_STRETCHES = 300_000
 LONGEST_KEPT = 48
+MOST_PAIRS = 500_000
 
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6  # kinds of pieces in a model file (fixed)
 
@@ -80,57 +85,80 @@ def read_model(path: str) -> list[tuple[str, float, int]]:
 
 
 class StreamingViterbi:
-    """Best segmentation of a stream of characters with a bounded window."""
+    """The cut of a stream of characters, found with a bounded window."""
 
     def __init__(self, pieces: list[tuple[str, float, int]]):
         self.pieces = pieces
         self.ids = {p: (i, s) for i, (p, s, kind) in enumerate(pieces) if kind in (NORMAL, USER_DEFINED)}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.longest = max(map(len, self.ids), default=1)
-        self.unknown = min((s for _, s in self.ids.values()), default=0.0) - UNKNOWN_COST
         self.unknown_id = next((i for i, (p, _, kind) in enumerate(pieces) if kind == UNKNOWN), 0)
         # A tree of characters; what stands under the empty string ends a piece.
         self.tree: dict = {}
-        for piece, found in self.ids.items():
+        for piece, (i, _) in self.ids.items():
             node = self.tree
             for character in piece:
                 node = node.setdefault(character, {})
-            node[""] = found
+            node[""] = i
+        self.pairs: dict[tuple[int, int], bool] = {}
         self.widest = 0
 
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a short text by merging, the best score first."""
+        parts = list(text)
+        while len(parts) > 1:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                found = self.ids.get(parts[i] + parts[i + 1])
+                if found and (best is None or found[1] > best):
+                    best, at = found[1], i
+            if at < 0:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def _follows(self, before: int, piece: int) -> bool:
+        """Whether ``piece`` may follow ``before`` (-1: nothing, or no piece)."""
+        key = (before, piece)
+        known = self.pairs.get(key)
+        if known is None:
+            text = self.pieces[piece][0]
+            first = [self.pieces[before][0]] if before >= 0 else []
+            known = self.merged("".join(first) + text) == [*first, text]
+            if len(self.pairs) >= MOST_PAIRS:
+                self.pairs.clear()
+            self.pairs[key] = known
+        return known
+
     def _of_character(self, character: str) -> list[int]:
         if not self.bytes:
             return [self.unknown_id]
         return [self.bytes[b] for b in (BLANK if character == OWN_SIGN else character).encode()]
 
     def feed(self, characters: Iterable[str]) -> Iterator[int]:
-        """Give off ids as soon as all living paths agree on them.
-
-        ``open_`` are the pieces that have begun and may go on: a boundary lives as
-        long as one of them starts there, and the newest boundary always does.
-        """
-        tree = self.tree
+        """Give off ids as soon as all living paths agree on them."""
+        tree, pairs = self.tree, self.pairs
         window: list[str] = []  # characters since the last agreed boundary
-        best, back, made = [0.0], [0], [-1]  # per boundary of the window
+        back, made = [0], [-1]  # per boundary of the window: where its last piece begins, and which it is
         open_: list[tuple[int, dict]] = []
         end = 0
         for character in characters:
             window.append(character)
             open_.append((end, tree))
             end += 1
-            top, start, piece, still = -math.inf, end - 1, -1, []
+            start, piece, still = end - 1, -1, []
             for begin, node in open_:
                 node = node.get(character)
-                if node is not None:
-                    found = node.get("")
-                    if found is None or len(node) > 1:
-                        still.append((begin, node))
-                    if found and best[begin] + found[1] > top:
-                        top, start, piece = best[begin] + found[1], begin, found[0]
-            if character not in self.ids and best[end - 1] + self.unknown > top:
-                top, start, piece = best[end - 1] + self.unknown, end - 1, -1
+                if node is None:
+                    continue
+                found = node.get("")
+                if found is None or len(node) > 1:
+                    still.append((begin, node))
+                if found is not None and piece < 0:
+                    may = pairs.get((made[begin], found))
+                    if self._follows(made[begin], found) if may is None else may:
+                        start, piece = begin, found
             open_ = still
-            best.append(top)
             back.append(start)
             made.append(piece)
             if end > self.widest:
@@ -139,10 +167,8 @@ class StreamingViterbi:
                 agreed = self._agreed({begin for begin, _ in open_} | {end}, back)
                 if agreed:
                     yield from self._path(window, back, made, agreed)
-                    base = best[agreed]
-                    best = [b - base for b in best[agreed:]]
                     back = [0] + [b - agreed for b in back[agreed + 1 :]]
-                    made = [-1, *made[agreed + 1 :]]
+                    made = made[agreed:]
                     open_ = [(begin - agreed, node) for begin, node in open_]
                     window = window[agreed:]
                     end -= agreed
@@ -174,7 +200,7 @@ class PieceCodec:
         # Pieces with a blank sign inside consist of blank signs only, or no
         # boundary before a blank sign would be safe.
         self.cuts = all(BLANK not in p[1:] or not p.strip(BLANK) for p in self.viterbi.ids)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.text_of: list[bytes] = []
         for piece, _, kind in self.viterbi.pieces:
             if kind == BYTE:
@@ -198,23 +224,24 @@ class PieceCodec:
             out.append(blanks)
         return out
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text, as int32."""
         if not text:
-            return []
+            return np.empty(0, dtype=np.int32)
         if BLANK in text:
             signs = {" ": BLANK, BLANK: OWN_SIGN}
-            return list(self.viterbi.feed([BLANK, *(signs.get(c, c) for c in text)]))
+            return np.fromiter(self.viterbi.feed([BLANK, *(signs.get(c, c) for c in text)]), dtype=np.int32)
         known, out = self.known, []
         for stretch in self._stretches(text):
             ids = known.get(stretch)
             if ids is None:
-                ids = list(self.viterbi.feed(stretch))
+                ids = array("i", self.viterbi.feed(stretch)).tobytes()
                 if len(stretch) <= LONGEST_KEPT:
                     if len(known) >= MOST_STRETCHES:
                         known.clear()
                     known[stretch] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         raw = b"".join(map(self.text_of.__getitem__, ids))
@@ -242,7 +269,7 @@ def _encoder(path: str):
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path).encode
         for batch in batches:
-            ids = [np.array(encode(t), dtype=np.int32) for t in batch.column("text").to_pylist()]
+            ids = [encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
             )
@@ -287,11 +314,11 @@ def _both(path: str):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             ids = [own.encode(t) for t in texts]
-            same = [own.decode(i) == t for i, t in zip(ids, texts, strict=True)]
+            same = [own.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([np.array(i, dtype=np.int32) for i in ids], pa.list_(pa.int32())),
+                    pa.array(ids, pa.list_(pa.int32())),
                     pa.array(same, pa.bool_()),
                 ],
                 names=["doc_id", "ids", "same_text"],

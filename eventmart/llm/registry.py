@@ -16,6 +16,7 @@ from eventmart.llm import (
     piece_codec,
     quality,
     token_files,
+    toxicity,
     url_filter,
 )
 from eventmart.llm.common import UPPER, table, text_or_empty
@@ -76,6 +77,27 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+LANGUAGES = ("en", "de", "fr", "es")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has one toxicity label; the chain goes from toxic text in each
+    language to toxic text in any. A quarter of the labels is held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    toxic = F.col("toxic") == 1
+    categories = {f"toxic_{c}": toxic & (F.coalesce("lang", F.lit("")) == c) for c in LANGUAGES} | {"toxic": toxic}
+    chain = toxicity.train(docs, quality.teaching_labels(labels), categories)
+    scored = docs.select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), toxicity.scorer(chain)(text_or_empty()).alias("p")
+    )
+    return scored.select(
+        "doc_id",
+        "held_out",
+        *[F.col("p")[i].alias(f"{c}_score") for i, c in enumerate(categories)],
+        (F.col("p")[len(categories) - 1] >= toxicity.FLAGGED).alias("flagged"),
+    )
+
+
 URL_RULES = (
     ("block", "net/"),
     ("allow", "example.net/en/"),
@@ -127,7 +149,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     found = (
         op1_exact_dedup, op2_quality_classifier, op3_packing, op4_sentencepiece, op5_token_files,
-        op6_embedding_dedup, op8_url_filter, op9_minhash_dedup, op10_substring_dedup,
+        op6_embedding_dedup, op7_toxicity, op8_url_filter, op9_minhash_dedup, op10_substring_dedup,
     )
     return {f.__name__: f for f in found}
 
