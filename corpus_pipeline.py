@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from eventmart import session
 from eventmart.llm import exact_dedup, line_dedup, minhash_dedup, packing, quality
-from eventmart.llm.common import table, text_or_empty
+from eventmart.llm.common import free_name, table, text_or_empty
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +36,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has."""
-    name = "repeats"
-    while name in docs.columns:
-        name = f"_{name}"
+    name = free_name(docs, "repeats")
     cut = line_dedup.drop_repeats(docs, result=name)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

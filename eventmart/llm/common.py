@@ -26,8 +26,15 @@ def workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def text_or_empty(column: str | Column = "text") -> Column:
+    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it new to ``df``."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
 
 
 def ascii_lower(text: Column) -> Column:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import ascii_lower, stored, text_or_empty
+from eventmart.llm.common import ascii_lower, free_name, stored, text_or_empty
 
 CAPACITY = 1_000_000
 START_DEPTH = 4
@@ -167,15 +167,18 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         )
     )
     stays = stored(stays, "stays")
-    sha = F.sha2(ascii_lower(text_or_empty(text_column)), 256)
+    sha = F.sha2(ascii_lower(text_or_empty(docs[text_column])), 256)
 
     def rows(which: DataFrame) -> DataFrame:
-        same = F.col("_id").eqNullSafe(F.col(id_column)) & (F.col("_sha") == sha)
+        same = which["_id"].eqNullSafe(docs[id_column]) & (which["_sha"] == sha)
         return docs.join(which, same, "left_semi")
 
     tied = stays.where("_tied")
     if tied.isEmpty():
         return rows(stays)
-    order = Window.partitionBy(id_column, sha).orderBy(F.to_json(F.struct(*docs.columns)))
-    picked = rows(tied).withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
-    return rows(stays.where(~F.col("_tied"))).unionByName(picked.drop("_rank"))
+    rank = free_name(docs, "rank")
+    order = Window.partitionBy(id_column, F.sha2(ascii_lower(text_or_empty(text_column)), 256)).orderBy(
+        F.to_json(F.struct(*docs.columns))
+    )
+    picked = rows(tied).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return rows(stays.where(~F.col("_tied"))).unionByName(picked.drop(rank))

@@ -122,14 +122,13 @@ def drop_repeats(
     cuts = repeated_runs(docs, id_column, text_column, min_words).select(
         F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("cuts").alias("_cuts")
     )
-    same = F.col("_cut_id").eqNullSafe(F.col(id_column)) & (
-        F.col("_cut_hash") == F.xxhash64(text_or_empty(text_column))
-    )
+    text, found = docs[text_column], cuts["_cuts"]
+    same = cuts["_cut_id"].eqNullSafe(docs[id_column]) & (cuts["_cut_hash"] == F.xxhash64(text_or_empty(text)))
     joined = docs.join(cuts, same, "left")
-    long = F.char_length(text_or_empty(text_column))
+    long = F.char_length(text_or_empty(text))
     # Kept pieces lie between the cuts, without the line feeds beside them.
-    starts = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c["end"] + 1))
-    ends = F.concat(F.transform("_cuts", lambda c: c["start"] - 1), F.array(long))
+    starts = F.concat(F.array(F.lit(0)), F.transform(found, lambda c: c["end"] + 1))
+    ends = F.concat(F.transform(found, lambda c: c["start"] - 1), F.array(long))
     pieces = F.filter(
         F.transform(
             F.arrays_zip(starts.alias("start"), ends.alias("end")),
@@ -140,14 +139,13 @@ def drop_repeats(
     whole = F.filter(
         F.array(F.struct(F.lit(0).alias("start"), long.alias("end"))), lambda p: p["end"] > p["start"]
     )
-    is_cut = F.col("_cuts").isNotNull()
+    is_cut = found.isNotNull()
     spans = F.when(is_cut, pieces).otherwise(whole)
-    text = F.col(text_column)
     cut_text = F.array_join(
         F.transform(pieces, lambda p: F.substring(text, p["start"] + 1, p["end"] - p["start"])), "\n"
     )
-    n_cut = F.coalesce(F.size("_cuts"), F.lit(0))
+    n_cut = F.when(is_cut, F.size(found)).otherwise(0)
     return joined.select(
         *[F.when(is_cut, cut_text).otherwise(text).alias(c) if c == text_column else docs[c] for c in docs.columns],
-        F.struct(F.when(is_cut, n_cut).otherwise(0).alias("n_cut"), spans.alias("kept_spans")).alias(result),
+        F.struct(n_cut.alias("n_cut"), spans.alias("kept_spans")).alias(result),
     )

@@ -383,7 +383,7 @@ def keep_one_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataF
     stays = minhash_classes(docs, percent, shingle).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     )
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (
-        F.col("_hash") == F.xxhash64(text_or_empty())
+    same = stays["_id"].eqNullSafe(docs["doc_id"]) & (
+        stays["_hash"] == F.xxhash64(text_or_empty(docs["text"]))
     )
     return docs.join(stays, same, "left_semi")

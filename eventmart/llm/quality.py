@@ -263,7 +263,7 @@ def scorer(model: Gam):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        x = np.array([text_numbers(t) for t in texts]).reshape(len(texts), len(FEATURES))
+        x = np.array([text_numbers(t or "") for t in texts]).reshape(len(texts), len(FEATURES))
         return pd.Series(model.score(x))
 
     return score

@@ -18,7 +18,7 @@ and its whole text, without a shuffle.
 Defined results: null and empty texts have no terms and get the scores of the
 intercepts. Labels that are null and ids without a document teach nothing; an id
 with several labels counts as the greatest. Without labelled rows every score is
-0. Repeated rows get one score each; an empty table gives no rows; other columns
+0.01. Repeated rows get one score each; an empty table gives no rows; other columns
 are not looked at.
 """
 
@@ -91,7 +91,7 @@ def _fit_linear(rows: list[np.ndarray], more: np.ndarray, y: np.ndarray, terms:
     """Logistic regression by accelerated gradient steps with a small penalty."""
     n = len(y)
     if not n or y.min() == y.max():
-        share = (y.sum() + 0.01) / (n + 0.02)
+        share = (y.sum() + 0.01) / (n + 1)
         return float(np.log(share / (1 - share))), np.zeros(terms), np.zeros(more.shape[1])
     at = np.repeat(np.arange(n), [len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64) if len(at) else np.empty(0, dtype=np.int64)
@@ -212,9 +212,6 @@ def train(
 
 def scorer(chain: Chain):
     """A column function: text to the probabilities of all categories."""
-    if not chain.weights or not chain.terms:
-        return lambda text: F.when(text.isNull(), F.lit(None)).otherwise(F.array_repeat(F.lit(0.0), len(chain.categories)))
-
     @F.pandas_udf("array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, tuple[int, ...]] = {}
@@ -222,7 +219,7 @@ def scorer(chain: Chain):
             rows = []
             for text in texts:
                 places: set[int] = set()
-                for word in words_of(text):
+                for word in words_of(text or ""):
                     own = known.get(word)
                     if own is None:
                         numbers = map(_number, terms_of_word(word))

@@ -97,7 +97,8 @@ def filter_urls(
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, possible (the filter
     let it through). ``listed``: canonical URLs, in its first column."""
-    listed = listed.select(F.col(listed.columns[0]).alias("listed")).where("listed is not null").distinct()
+    listed = listed.toDF("listed", *(f"_{i}" for i in range(1, len(listed.columns))))
+    listed = listed.select("listed").where("listed is not null").distinct()
     host, path = host_of(F.col(url_column)), path_of(F.col(url_column))
     parts = pages.select(F.col(id_column).alias("page_id"), host.alias("host"), path.alias("path"))
     judged = parts.select(
