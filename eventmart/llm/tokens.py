@@ -33,6 +33,20 @@ def byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Known(dict):
+    """Ids of chunks; a new chunk is looked up where it is missed."""
+
+    def __init__(self, make):
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.make(chunk)
+        if len(chunk) <= LONGEST_KEPT:
+            self[chunk] = ids
+        return ids
+
+
 class ChunkIds:
     """Texts to ids (little-endian unsigned 32-bit, as bytes)."""
 
@@ -44,7 +58,7 @@ class ChunkIds:
         self.tokenize = self.library.model.tokenize
         self.signs = byte_signs()
         self.most = most
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = _Known(self._chunk)
         self.pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
@@ -61,21 +75,9 @@ class ChunkIds:
         return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) > self.most:
-            known.clear()
-            known[""] = b""
-        long = {}
-        for chunk in set(chunks).difference(known):
-            (known if len(chunk) <= LONGEST_KEPT else long)[chunk] = self._chunk(chunk)
-        if not long:
-            return b"".join(map(known.__getitem__, chunks))
-        return b"".join([known[c] if c in known else long[c] for c in chunks])
+        if len(self.known) > self.most:
+            self.known = _Known(self._chunk)
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _LOADED: dict[str, ChunkIds] = {}
