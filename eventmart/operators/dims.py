@@ -18,6 +18,7 @@ from eventmart import schemas
 from eventmart.functions.calendar import clock_key, with_calendar
 from eventmart.functions.keys import location_key, song_key
 from eventmart.operators.conform import Activity
+from eventmart.operators.lookup import fits
 from eventmart.operators.sets import except_distinct, union_all
 
 SECONDS_PER_DAY = 86_400
@@ -116,10 +117,20 @@ def dim_location(activity: Activity) -> DataFrame:
 
 
 def new_members(name: str, activity: Activity, stored: DataFrame) -> DataFrame:
-    """Members of ``activity`` that the stored dimension ``name`` lacks."""
+    """Members of ``activity`` that the stored dimension ``name`` lacks.
+
+    The candidates are grouped once and, if their counted size allows, sent to
+    the scan of the stored dimension, which gives back those it has: stored rows
+    are read and not moved. Beyond that size both sides meet in one grouping.
+    """
     build, natural_key = _BUILDERS[name]
     candidates = build(activity).select(*natural_key)
-    return _identified(name, except_distinct(candidates, stored.select(*natural_key)))
+    known = stored.select(*natural_key)
+    if not fits(candidates, candidates.count()):
+        return _identified(name, except_distinct(candidates, known))
+    # Members are complete, so plain equality finds them.
+    met = known.join(F.broadcast(candidates), list(natural_key), "left_semi")
+    return _identified(name, candidates.join(F.broadcast(met), list(natural_key), "left_anti"))
 
 
 def star(spark: SparkSession, activity: Activity) -> Star:

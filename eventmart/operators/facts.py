@@ -51,11 +51,18 @@ def lookup_location(events: DataFrame, dim_location: DataFrame) -> DataFrame:
     return lookup(events, dim_location, {c: c for c in schemas.LOCATION_KEY}, ["location_id"])
 
 
-def lookup_user(events: DataFrame, dim_user: DataFrame, user_match: str = "id") -> DataFrame:
+def lookup_user(
+    events: DataFrame,
+    dim_user: DataFrame,
+    user_match: str = "id",
+    user_rows: int | None = None,
+    copies: bool = True,
+) -> DataFrame:
     """Join with user versions; facts keep the id only.
 
     On ``id`` the versions are counted per user first, so the joined side has
-    one row per user, and the copies are made after the join.
+    one row per user, and the copies are made after the join, if they are wanted.
+    ``user_rows`` is the size of ``dim_user`` where it is known.
     """
     if user_match == "version":
         on = {c: c for c in schemas.USER_KEY}
@@ -63,11 +70,12 @@ def lookup_user(events: DataFrame, dim_user: DataFrame, user_match: str = "id")
             "_seen"
         )
     versions = dim_user.groupBy("userId").agg(F.count(F.lit(1)).cast("int").alias("_versions"))
-    matched = lookup(
-        events, versions, {"userId": "userId"}, ["_versions"], rows=dim_user.count()
-    )
-    copies = F.explode(F.sequence(F.lit(1), F.col("_versions"))).alias("_copy")
-    return matched.select(*events.columns, copies).drop("_copy")
+    rows = dim_user.count() if user_rows is None else user_rows
+    matched = lookup(events, versions, {"userId": "userId"}, ["_versions"], rows=rows)
+    if not copies:
+        return matched.select(*events.columns)
+    copy = F.explode(F.sequence(F.lit(1), F.col("_versions"))).alias("_copy")
+    return matched.select(*events.columns, copy).drop("_copy")
 
 
 def _stored_form(name: str, rows: DataFrame) -> DataFrame:
@@ -77,7 +85,9 @@ def _stored_form(name: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def _by_key(name: str, events: DataFrame, star: dims.Star | None, user_match: str) -> DataFrame:
+def _by_key(
+    name: str, events: DataFrame, star: dims.Star | None, user_match: str, **users: object
+) -> DataFrame:
     has_song = "song_id" in schemas.FACTS[name].names
     needed = ["ts", *schemas.LOCATION_KEY, *(EVENT_SONG_KEY if has_song else ())]
     needed += schemas.USER_KEY if user_match == "version" else ["userId"]
@@ -94,17 +104,19 @@ def _by_key(name: str, events: DataFrame, star: dims.Star | None, user_match: st
         return keyed
     if star is None or star.user is None:
         raise ValueError("user_match='id' needs the user dimension")
-    return lookup_user(keyed, star.user)
+    return lookup_user(keyed, star.user, **users)
 
 
-def _by_join(name: str, events: DataFrame, star: dims.Star | None, user_match: str) -> DataFrame:
+def _by_join(
+    name: str, events: DataFrame, star: dims.Star | None, user_match: str, **users: object
+) -> DataFrame:
     if star is None or any(dim is None for dim in star):
         raise ValueError("method='join' needs the dimensions")
     rows = lookup_time(with_calendar(events), star.time)
     rows = lookup_date(rows, star.date)
     if "song_id" in schemas.FACTS[name].names:
         rows = lookup_song(rows, star.song)
-    rows = lookup_user(rows, star.user, user_match)
+    rows = lookup_user(rows, star.user, user_match, **users)
     return _stored_form(name, lookup_location(rows, star.location))
 
 
@@ -115,11 +127,16 @@ def fact(
     *,
     user_match: str = "version",
     method: str = "key",
+    user_rows: int | None = None,
+    copies: bool = True,
 ) -> DataFrame:
-    """Build the fact table ``name`` from its topic's conformed events."""
+    """Build the fact table ``name`` from its topic's conformed events.
+
+    ``copies=False`` leaves out the repeats that matching on the id makes.
+    """
     _check(user_match, method)
     build = _by_key if method == "key" else _by_join
-    return build(name, events, star, user_match)
+    return build(name, events, star, user_match, user_rows=user_rows, copies=copies)
 
 
 def fact_listen(events: DataFrame, star: dims.Star | None = None, **options: str) -> DataFrame:
@@ -137,6 +154,13 @@ def fact_page_view(events: DataFrame, star: dims.Star | None = None, **options:
     return fact("fact_page_view", events, star, **options)
 
 
-def new_facts(built: DataFrame, stored: DataFrame) -> DataFrame:
-    """Facts not stored yet; equal new facts collapse into one."""
+def new_facts(built: DataFrame, stored: DataFrame, user_match: str = "version") -> DataFrame:
+    """Facts not stored yet.
+
+    One fact per event (``version``): as many of equal facts as are missing, so
+    that loads day by day and all at once agree. On ``id``, where copies mean
+    nothing, equal new facts are one.
+    """
+    if user_match == "version":
+        return built.exceptAll(stored)
     return except_distinct(built, stored)

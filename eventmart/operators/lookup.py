@@ -6,13 +6,25 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side with at most this many (narrow) rows is sent to every executor.
-BROADCAST_ROWS = 500_000
+# A side of at most this many bytes, by its rows and types, is sent to every executor.
+BROADCAST_BYTES = 64 << 20
+TEXT_BYTES = 48  # what a text is taken for
 # Pieces a key is cut into when both sides are shuffled; a power of two.
 SALTS = 16
 
 
+def width(side: DataFrame) -> int:
+    """Bytes of a row, estimated from the column types."""
+    texts = sum(isinstance(f.dataType, T.StringType) for f in side.schema.fields)
+    return 16 + TEXT_BYTES * texts + 8 * (len(side.columns) - texts)
+
+
+def fits(side: DataFrame, rows: int, most: int = BROADCAST_BYTES) -> bool:
+    return rows * width(side) <= most
+
+
 def lookup(
     events: DataFrame,
     members: DataFrame,
@@ -20,14 +32,14 @@ def lookup(
     take: Sequence[str],
     *,
     rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``events`` with ``members`` and keep ``take`` of the latter.
 
     ``on`` maps event columns to member columns. ``rows`` is an upper bound on
     the members where one is known; otherwise they are counted (file footers
-    only, for a stored dimension). Within ``broadcast_rows`` the members are
+    only, for a stored dimension). Within ``broadcast_bytes`` the members are
     broadcast and the events do not move.
 
     Beyond it both sides shuffle on the key and a salt. The salt spreads one
@@ -44,7 +56,7 @@ def lookup(
     equal = [F.col(left) == F.col(key) for left, key in keys.items()]
     if rows is None:
         rows = members.count()
-    if rows <= broadcast_rows:
+    if fits(side, rows, broadcast_bytes):
         matched = events.join(F.broadcast(side), equal)
     elif salts == 1:
         matched = events.join(side, equal)

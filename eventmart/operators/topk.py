@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 _PIECES = 64
 
 
-def _group_limit_bound(df: DataFrame) -> int:
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    return int(df.sparkSession.conf.get(key))
-
-
 def _first(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     window = W.partitionBy(*by).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
@@ -24,16 +19,13 @@ def _first(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """Add ``rank`` (1 is first in ``order``) and keep ranks up to ``k`` per group.
 
-    Up to Spark's group-limit threshold each task drops all but its own first k
-    rows before the shuffle, so a group with a third of all rows arrives as k
-    rows per task. Above it the same is done in two ranked passes, the first
-    over hashed pieces of the group. Without groups it is a sort with a limit,
-    which keeps k rows per task as well.
+    Two ranked passes, the first over hashed pieces of each group, so a group with
+    a third of all rows is ranked by many tasks and arrives at the second pass as
+    k rows per piece, for any k. Without groups it is a sort with a limit, which
+    keeps k rows per task as well.
     """
     if not by:
         return _first(df.orderBy(*order).limit(k), [], order, k)
-    if k > _group_limit_bound(df):
-        piece = F.pmod(F.xxhash64(*df.columns), F.lit(_PIECES))
-        df = _first(df.withColumn("_piece", piece), [*by, "_piece"], order, k)
-        df = df.drop("rank", "_piece")
-    return _first(df, by, order, k)
+    piece = F.pmod(F.xxhash64(*df.columns), F.lit(_PIECES))
+    firsts = _first(df.withColumn("_piece", piece), [*by, "_piece"], order, k)
+    return _first(firsts.drop("rank", "_piece"), by, order, k)

@@ -11,35 +11,43 @@ from eventmart.streaming.sinks import latest_by_key
 DATABASE = "eventmart"
 
 
+def _quoted(path: str) -> str:
+    """A path as a SQL text literal."""
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_ddl(database: str, root: str, name: str) -> str:
     """CREATE TABLE for a dimension or a fact, from the schema it is written with."""
     schema = schemas.DIMENSIONS.get(name) or schemas.FACTS[name]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = "PARTITIONED BY (date_id)" if name in schemas.FACTS else ""
     return (
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet "
-        f"{partitioned} LOCATION '{table_path(root, name)}'"
+        f"CREATE TABLE {database}.{name} ({columns}) USING parquet "
+        f"{partitioned} LOCATION {_quoted(table_path(root, name))}"
     )
 
 
 def register(spark: SparkSession, root: str, database: str = DATABASE) -> list[str]:
     """Create the database and its eight external tables; returns their names.
 
-    Fact partitions are taken from the folders, so run it again (or
-    ``refresh``) after a load.
+    Tables registered before, perhaps of another folder, are made anew: they are
+    external, so only their entries go. Fact partitions are taken from the
+    folders, so run ``refresh`` after a load.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {_quoted(root)}")
     names = [*schemas.DIMENSIONS, *schemas.FACTS]
     for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(table_ddl(database, root, name))
     refresh(spark, database)
     return [f"{database}.{name}" for name in names]
 
 
 def refresh(spark: SparkSession, database: str = DATABASE) -> None:
-    """Pick up partitions and files added by later loads."""
+    """Follow the folders after a load: new and gone partitions, changed files."""
     for name in schemas.FACTS:
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {database}.{name}")
     for name in schemas.DIMENSIONS:
         spark.sql(f"REFRESH TABLE {database}.{name}")
 

@@ -11,6 +11,7 @@ enriched events of all topics would cost more than the scans.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from functools import partial
 
@@ -20,8 +21,8 @@ from eventmart import schemas
 from eventmart.functions.nulls import GUEST_IDS
 from eventmart.operators import dims, facts
 from eventmart.operators.conform import Activity, conform
-from eventmart.operators.lookup import BROADCAST_ROWS
-from eventmart.plans.tables import run_together, write_table
+from eventmart.plans.tables import replace_folder, run_together, write_table
+from eventmart.sources.files import delete
 from eventmart.sources.landed import landed_before, landed_day
 from eventmart.sources.warehouse import read_dim, read_fact, read_star
 
@@ -42,38 +43,51 @@ def full_load(
     landed_root: str,
     warehouse_root: str,
     as_of: date,
-    user_match: str = "id",
+    user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
 ) -> None:
     """Rebuild all dimensions and facts from the days before ``as_of``.
 
-    Facts are a scan and a write where the rows do not move: the landed rows
-    already are grouped by day. Only where matching on the user id takes a
-    shuffle are they brought together by day again.
+    Everything is written to a folder of its own beside ``warehouse_root`` and takes
+    its place only when it is whole; whatever fails before leaves the old tables.
+    One fact per event (``version``) is a scan and a write, as landed rows already
+    are grouped by day; matching on the id brings them together by day again.
     """
     activity = _activity(
         lambda topic: landed_before(spark, landed_root, topic, as_of), guest_ids
     )
+    root = warehouse_root.rstrip("/")
+    aside = f"{root}-loading-{uuid.uuid4().hex}"
+    try:
+        _write_all(spark, activity, aside, user_match)
+    except BaseException:
+        delete(spark, aside)
+        raise
+    replace_folder(spark, aside, root)
+
+
+def _write_all(spark: SparkSession, activity: Activity, root: str, user_match: str) -> None:
     built = {"dim_time": dims.dim_time(spark)}
     built |= {name: build(activity) for name, build in _DIMENSIONS.items()}
     run_together(
         spark,
         [
-            partial(write_table, rows, warehouse_root, name, "overwrite", rebalance=[])
+            partial(write_table, rows, root, name, "overwrite", rebalance=[])
             for name, rows in built.items()
         ],
     )
-    star = read_star(spark, warehouse_root)
-    moved = user_match == "id" and star.user.count() > BROADCAST_ROWS
-    by_day = ["date_id"] if moved else None
+    star, by_day, users = None, None, None
+    if user_match == "id":
+        star, by_day = read_star(spark, root), ["date_id"]
+        users = star.user.count()
     built = {
-        name: facts.fact(name, events, star, user_match=user_match)
+        name: facts.fact(name, events, star, user_match=user_match, user_rows=users)
         for name, events in zip(schemas.FACTS, activity, strict=True)
     }
     run_together(
         spark,
         [
-            partial(write_table, rows, warehouse_root, name, "overwrite", ["date_id"], by_day)
+            partial(write_table, rows, root, name, "overwrite", ["date_id"], by_day)
             for name, rows in built.items()
         ],
     )
@@ -85,7 +99,7 @@ def incremental_load(
     warehouse_root: str,
     process_date: date,
     as_of: date,
-    user_match: str = "id",
+    user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
 ) -> None:
     """Add one landed day: first its new dimension members, then its new facts.
@@ -108,13 +122,18 @@ def incremental_load(
             for name, rows in added.items()
         ],
     )
-    star = read_star(spark, warehouse_root)
+    star, users = None, None
+    if user_match == "id":
+        star = read_star(spark, warehouse_root)
+        users = star.user.count()
     date_ids = [process_date.strftime("%Y%m%d")]
     added = {}
     for name, events in zip(schemas.FACTS, activity, strict=True):
-        built = facts.fact(name, events, star, user_match=user_match)
+        built = facts.fact(
+            name, events, star, user_match=user_match, user_rows=users, copies=False
+        )
         stored = read_fact(spark, warehouse_root, name, date_ids)
-        added[name] = facts.new_facts(built, stored)
+        added[name] = facts.new_facts(built, stored, user_match)
     run_together(
         spark,
         [

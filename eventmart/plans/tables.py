@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.sources.files import delete, path_exists, rename
 from eventmart.sources.landed import topic_path
 from eventmart.sources.warehouse import table_path
 
@@ -47,6 +49,23 @@ def land(rows: DataFrame, root: str, topic: str, mode: str = "append") -> None:
     dated.write.mode(mode).partitionBy("date").parquet(topic_path(root, topic))
 
 
+def replace_folder(spark: SparkSession, new: str, place: str) -> None:
+    """Put the folder ``new`` in the place of ``place``: two renames, then the old
+    one goes. A failure between the renames brings the old one back."""
+    old = f"{place}-replaced-{uuid.uuid4().hex}"
+    stood = path_exists(spark, place)
+    if stood:
+        rename(spark, place, old)
+    try:
+        rename(spark, new, place)
+    except BaseException:
+        if stood:
+            rename(spark, old, place)
+        raise
+    if stood:
+        delete(spark, old)
+
+
 def run_together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
     """Submit independent writes at once, so one fills the tail of another.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from eventmart import schemas
 from eventmart.operators.analytics import GRAINS
-from eventmart.registry.queries import LATEST, TOP
+from eventmart.registry.queries import DELIVERIES, LATE_BY, LATE_DELAY, LATEST, TOP
 
 _BASE = """
 base AS (
@@ -29,7 +29,7 @@ base AS (
     CAST(p.p_size AS DOUBLE) + 0.5 AS duration
   FROM events e JOIN customer c ON e.user_id = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  JOIN part p ON p.p_partkey = e.event_id % 200
+  JOIN part p ON p.p_partkey = e.event_id % (SELECT count(*) FROM part)
 )"""
 
 _PLACE = "city, zip, state, userAgent, lon, lat"
@@ -205,7 +205,7 @@ _MINUTE_FIELDS = (
 )
 
 
-def _minute_sql(table: str, closed: bool = False) -> str:
+def _minute_sql(table: str, closed: bool = False, delay: str = "") -> str:
     """A minute table; ``closed`` leaves out the minutes a stream still holds open."""
     topic, keys, shown = {
         "listen_count_minute": ("listen_events", [], ""),
@@ -223,8 +223,7 @@ def _minute_sql(table: str, closed: bool = False) -> str:
     named = "".join(f"{k}, " for k in keys)
     conditions = []
     if closed:
-        conditions = [f"m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM {source})"]
-        conditions += [f"{k} IS NOT NULL" for k in keys]
+        conditions = [f"m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM {source}){delay}"]
     where = f"WHERE {' AND '.join(conditions)}" if conditions else ""
     return f"""
 SELECT {fields}
@@ -250,6 +249,28 @@ def _decoded_sql(topic: str, extra: str = "") -> str:
     return _topics_query(f"SELECT {', '.join(columns)}{extra} FROM {topic}")
 
 
+# Every tenth listen comes two deliveries after its time. It counts if its minute is
+# not over when that delivery comes: rows are late by the clock that the delivery
+# before it began with, the latest listen of all deliveries before that one.
+_LATE_BASE = _BASE.replace("SELECT e.event_id, e.ts,", f"""SELECT
+    CAST(floor((epoch_us(date_trunc('second', e.ts)) // 1000000 - (SELECT min(epoch_us(date_trunc('second', ts)) // 1000000) FROM events))
+      * {DELIVERIES} / (SELECT max(epoch_us(date_trunc('second', ts)) // 1000000) - min(epoch_us(date_trunc('second', ts)) // 1000000) + 1 FROM events)) AS INTEGER)
+      + CASE WHEN e.event_id % 10 = 0 THEN {LATE_BY} ELSE 0 END AS delivery,
+    e.event_id, e.ts,""")
+_LATE_SQL = f"""
+SELECT artist, {_MINUTE_FIELDS}
+FROM (
+  SELECT artist, date_trunc('minute', ts) AS m, count(*) AS n
+  FROM base b
+  WHERE event_type IN ('view', 'click', 'purchase')
+    AND date_trunc('minute', ts) + INTERVAL 1 MINUTE > coalesce(
+      (SELECT max(o.ts) FROM base o WHERE o.event_type IN ('view', 'click', 'purchase')
+       AND o.delivery < b.delivery - 1), TIMESTAMP '1970-01-01')
+  GROUP BY ALL
+)
+WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM listen_events)"""
+
+
 # --- loads -------------------------------------------------------------------
 
 _LAST_DAY = "(SELECT max(CAST(ts AS DATE)) FROM events)"
@@ -267,11 +288,12 @@ def _count_rows(tables: dict[str, str]) -> str:
 
 
 def _loaded_fact_sql(name: str, user_match: str) -> str:
-    """Full load of the first days, then the last day without duplicates."""
+    """Full load of the first days, then the last day; on ``id`` without duplicates."""
+    distinct = "DISTINCT" if user_match == "id" else ""
     return f"""(
   SELECT * FROM ({_fact_select(name, user_match, _BEFORE_LAST, "old_")})
   UNION ALL
-  SELECT DISTINCT * FROM ({_fact_select(name, user_match, _ON_LAST)})
+  SELECT {distinct} * FROM ({_fact_select(name, user_match, _ON_LAST)})
 )"""
 
 
@@ -363,6 +385,23 @@ FROM (
     gender := gender, level := level, registration := registration)) AS last
   FROM ({_login_sql(ts=_MS)}) GROUP BY userId, ts
 )"""
+    )
+    sql["stream_late_rows_admitted"] = _topics_query(
+        _minute_sql("artist_chart_minute", closed=True, delay=f" - INTERVAL {LATE_DELAY}")
+    )
+    sql["stream_late_rows_dropped"] = _with(_LATE_BASE, _TOPICS, query=_LATE_SQL)
+    middle = "(SELECT min(CAST(ts AS DATE)) + CAST((max(CAST(ts AS DATE)) - min(CAST(ts AS DATE))) // 2 AS INTEGER) FROM events)"
+    sql["keyed_sink_restart"] = _topics_query(
+        f"""
+SELECT * REPLACE (CASE WHEN ingest_ts >= {middle} THEN "count" + 100 ELSE "count" END AS "count")
+FROM ({_minute_sql("song_chart_minute")})"""
+    )
+    noon = f"({_LAST_DAY} + INTERVAL 12 HOUR)"
+    sql["latest_minutes_range"] = _topics_query(
+        f"""
+SELECT * FROM ({_minute_sql("song_chart_minute")})
+WHERE ingest_ts >= {noon} - INTERVAL 2 DAY AND ingest_ts < {noon}
+ORDER BY ingest_ts DESC, song NULLS FIRST, year, week, month, day, hour, minute LIMIT {LATEST}"""
     )
     sql["keyed_sink_latest"] = _topics_query(_minute_sql("artist_chart_minute"))
     everything = ", ".join(
@@ -410,7 +449,7 @@ GROUP BY ALL"""
     for name in schemas.FACTS:
         old = _fact_select(name, "version", f"ts < {_FIRST_HOUR_END}")
         sql[f"new_{name}"] = _star_query(
-            f"SELECT * FROM ({_fact_select(name, 'version')}) EXCEPT SELECT * FROM ({old})"
+            f"SELECT * FROM ({_fact_select(name, 'version')}) EXCEPT ALL SELECT * FROM ({old})"
         )
 
     landed = "SELECT *, CAST(ts AS DATE) AS date FROM auth_events"
@@ -430,12 +469,12 @@ WHERE date_id IN (strftime({_FIRST_DAY}, '%Y%m%d'), strftime({_LAST_DAY}, '%Y%m%
     sql["loaded_fact_page_view"] = _load_query(
         f"SELECT * FROM {_loaded_fact_sql('fact_page_view', 'version')}"
     )
-    sql["catalog_sql"] = _load_query(
+    sql["catalog_sql"] = _star_query(
         f"""
 SELECT d.year, d.month, d.day, l.state, count(*) AS plays
-FROM ({_fact_select("fact_listen", "version", _BEFORE_LAST, "old_")}) f
-JOIN old_dim_date d ON f.date_id = d.date_id
-JOIN old_dim_location l ON f.location_id = l.location_id
+FROM ({_fact_select("fact_listen", "version")}) f
+JOIN dim_date d ON f.date_id = d.date_id
+JOIN dim_location l ON f.location_id = l.location_id
 GROUP BY ALL"""
     )
     for topic in schemas.TOPIC_COLUMNS:

@@ -1,15 +1,16 @@
 """Registered queries: every operator over the whole sample tables.
 
-Each takes a session and the folder of the sample tables. The topics are
-derived from the tables and stored in the two forms the engine reads, landed
-parquet and JSON messages; queries start from these. Times leave as timestamps
-without zone (they are UTC).
+Each takes a session and the folder of the sample tables. The topics are derived
+from the tables. Queries on loads and streams start from them in the two forms
+the engine stores, landed parquet and JSON messages; all others write nothing.
+Times leave as timestamps without zone (they are UTC).
 """
 
 from __future__ import annotations
 
+import time as time_
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +26,14 @@ from eventmart.operators.sets import except_distinct, union_all
 from eventmart.plans import catalog, loads
 from eventmart.plans.tables import land, run_together
 from eventmart.sources import landed, sample, warehouse
+from eventmart.sources.files import path_exists
 from eventmart.sources.topics import topic_stream
 from eventmart.streaming import ingest, job, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOP = 10
 LATEST = 100
+LATE_DELAY = "20 days"  # longer than a delivery
 
 
 def without_zone(df: DataFrame) -> DataFrame:
@@ -58,7 +61,7 @@ def _once(
     """
     known = (spark.sparkContext.applicationId, sf_dir, kind, *options)
     root = _WRITTEN.get(known)
-    if root is None or not landed.path_exists(spark, root):
+    if root is None or not path_exists(spark, root):
         root = session.work_dir(spark, kind)
         build(root)
         _WRITTEN[known] = root
@@ -68,11 +71,20 @@ def _once(
 # --- stored inputs -----------------------------------------------------------
 
 
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their user, place and song, joined once for all that is stored."""
+
+    def build(root: str) -> None:
+        sample.base(spark, sf_dir).write.parquet(root)
+
+    return spark.read.parquet(_once(spark, sf_dir, "base", build))
+
+
 def _land_all(spark: SparkSession, sf_dir: str) -> str:
     """The three topics derived from the sample tables, landed by day."""
 
     def build(root: str) -> None:
-        base = sample.base(spark, sf_dir)
+        base = _base(spark, sf_dir)
         run_together(
             spark,
             [partial(land, sample.as_topic(base, t), root, t) for t in schemas.STAR_TOPICS],
@@ -82,24 +94,49 @@ def _land_all(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return landed.landed(spark, _land_all(spark, sf_dir), name)
+    return sample.topic(spark, sf_dir, name)
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> Activity:
     return conform(*[_topic(spark, sf_dir, name) for name in schemas.STAR_TOPICS])
 
 
-def _send_all(spark: SparkSession, sf_dir: str) -> str:
-    """The messages of all topics as their producers would have sent them."""
+DELIVERIES, FILES = 3, 4
+LATE_BY = 2  # deliveries; a stream's clock stands where the one before last left it
+
+
+def _delivery(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Which delivery an event belongs to: equal parts of the time the events span."""
+    ts = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = sample.table(spark, sf_dir, "events").agg(F.min(ts), F.max(ts)).first()
+    span = max((last or 0) - (first or 0) + 1, 1)
+    return F.floor((ts - F.lit(first or 0)) * F.lit(DELIVERIES) / F.lit(span)).cast("int")
+
+
+def _send_all(spark: SparkSession, sf_dir: str, late: bool = False) -> str:
+    """The messages of all topics, in deliveries that follow each other in time.
+
+    Each delivery is ``FILES`` files per topic, and a stream takes so many per
+    batch. With ``late``, every tenth event comes ``LATE_BY`` deliveries after its time.
+    """
 
     def build(root: str) -> None:
-        base = sample.base(spark, sf_dir)
-        sent = {t: sample.as_json(sample.as_topic(base, t)) for t in schemas.TOPIC_COLUMNS}
-        run_together(
-            spark, [partial(df.write.parquet, f"{root}/{t}") for t, df in sent.items()]
-        )
+        number = _delivery(spark, sf_dir)
+        if late:
+            number = F.when(F.col("event_id") % 10 == 0, number + LATE_BY).otherwise(number)
+        base = _base(spark, sf_dir).withColumn("_delivery", number)
+        for i in range(DELIVERIES + LATE_BY * late):
+            part = base.where(F.col("_delivery") == i)
+            sent = {
+                t: sample.as_json(sample.as_topic(part, t)).repartition(FILES)
+                for t in schemas.TOPIC_COLUMNS
+            }
+            run_together(
+                spark,
+                [partial(df.write.mode("append").parquet, f"{root}/{t}") for t, df in sent.items()],
+            )
 
-    return _once(spark, sf_dir, "messages", build)
+    return _once(spark, sf_dir, "messages", build, late)
 
 
 def stored_topics(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -108,11 +145,10 @@ def stored_topics(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _land_all(spark, sf_dir), _send_all(spark, sf_dir)
 
 
-def _messages(spark: SparkSession, sf_dir: str, topic: str, stream: bool) -> DataFrame:
-    root = _send_all(spark, sf_dir)
-    if stream:
-        return topic_stream(spark, topic, fmt="parquet", path=root)
-    return spark.read.schema("value STRING").parquet(f"{root}/{topic}")
+def _messages(spark: SparkSession, sf_dir: str, topic: str, late: bool = False) -> DataFrame:
+    """A topic as a stream, one delivery per batch."""
+    options = {"maxFilesPerTrigger": str(FILES)}
+    return topic_stream(spark, topic, options, fmt="parquet", path=_send_all(spark, sf_dir, late))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[Activity, Activity]:
@@ -140,17 +176,29 @@ def _latest_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.latest_minutes(_minute_table("song_chart_minute", spark, sf_dir), LATEST)
 
 
+def _latest_minutes_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving view between two times, as a dashboard asks for it: two days of
+    which the later one is half over."""
+    table = "song_chart_minute"
+    root = session.work_dir(spark, "serving")
+    sinks.save_batch(_minute_table(table, spark, sf_dir), root, table, 0)
+    last = datetime.combine(_day_span(spark, sf_dir)[1], time(12))
+    start = last - timedelta(days=2)
+    view = sinks.latest_by_key(spark, root, table, start, last)
+    return analytics.latest_minutes(view, LATEST, start, last)
+
+
 # --- streams -----------------------------------------------------------------
 
 
 def _decoded(topic: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.events(_messages(spark, sf_dir, topic, stream=False), topic)
+    return ingest.events(sample.as_json(_topic(spark, sf_dir, topic)), topic)
 
 
 def _stream_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run one metric as a stream into its keyed sink and read the sink."""
     root = session.work_dir(spark, "serving")
-    messages = _messages(spark, sf_dir, minutes.INPUT_TOPIC[table], stream=True)
+    messages = _messages(spark, sf_dir, minutes.INPUT_TOPIC[table])
     writer = sinks.keyed_stream(
         job.metric(table, messages), table, root, f"{root}/checkpoint", sinks.AVAILABLE_NOW
     )
@@ -158,21 +206,52 @@ def _stream_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.latest_by_key(spark, root, table)
 
 
+def _late_rows(delay: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth listen comes two deliveries late, over several batches: dropped where
+    its minute is over by then, counted where the delay still admits it."""
+    table = "artist_chart_minute"
+    root = session.work_dir(spark, "serving")
+    messages = _messages(spark, sf_dir, minutes.INPUT_TOPIC[table], late=True)
+    writer = sinks.keyed_stream(
+        job.metric(table, messages, delay), table, root, f"{root}/checkpoint", sinks.AVAILABLE_NOW
+    )
+    job.drain([writer.start()])
+    return sinks.latest_by_key(spark, root, table)
+
+
 def _keyed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write one batch twice under one id and once more under the next."""
     table = "artist_chart_minute"
     root = session.work_dir(spark, "serving")
     rows = _minute_table(table, spark, sf_dir)
-    path = landed.topic_path(root, table)
     for batch_id in (0, 0, 1):
-        sinks.save_batch(rows, path, batch_id)
+        sinks.save_batch(rows, root, table, batch_id)
+    return sinks.latest_by_key(spark, root, table)
+
+
+def _keyed_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One serving table under two checkpoints: what the first run counted up to the
+    middle stays, and where both have a minute the second run's count, a hundred
+    higher, stands. Closed days are merged in between and after."""
+    table = "song_chart_minute"
+    root = session.work_dir(spark, "serving")
+    rows = _minute_table(table, spark, sf_dir)
+    first, last = _day_span(spark, sf_dir)
+    middle = F.lit(str(first + (last - first) / 2)).cast("timestamp")
+    again = rows.where(F.col("ingest_ts") >= middle).withColumn("count", F.col("count") + 100)
+    for batch_id, part in enumerate((rows, rows.where(F.col("ingest_ts") >= middle))):
+        sinks.save_batch(part, root, table, batch_id, sinks.run_of(spark, f"{root}/one"))
+    sinks.compact(spark, root, table, last)
+    time_.sleep(0.01)  # a later run has a later number
+    sinks.save_batch(again, root, table, 0, sinks.run_of(spark, f"{root}/two"))
+    sinks.compact(spark, root, table, last)
     return sinks.latest_by_key(spark, root, table)
 
 
 def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = "page_view_events"
     root = session.work_dir(spark, "landed")
-    events = ingest.events(_messages(spark, sf_dir, topic, stream=True), topic)
+    events = ingest.events(_messages(spark, sf_dir, topic), topic)
     writer = sinks.land_stream(events, root, topic, f"{root}/checkpoint", sinks.AVAILABLE_NOW)
     job.drain([writer.start()])
     return landed.landed(spark, root, topic)
@@ -183,7 +262,7 @@ def _stream_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = session.work_dir(spark, "job")
     serving, land_root = f"{root}/serving", f"{root}/landed"
     queries = job.start_all(
-        lambda topic: _messages(spark, sf_dir, topic, stream=True),
+        lambda topic: _messages(spark, sf_dir, topic),
         serving,
         land_root,
         f"{root}/checkpoint",
@@ -270,10 +349,10 @@ def _fact_by_date_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded(incremental: bool, user_match: str, spark: SparkSession, sf_dir: str) -> str:
     """Full load of all days but the last; then, if asked, the last one twice."""
-    landed_root = _land_all(spark, sf_dir)
-    _, last = _day_span(spark, sf_dir)
 
     def build(root: str) -> None:
+        landed_root = _land_all(spark, sf_dir)
+        _, last = _day_span(spark, sf_dir)
         loads.full_load(spark, landed_root, root, last, user_match)
         for _ in range(2 if incremental else 0):
             tomorrow = last + timedelta(days=1)
@@ -284,11 +363,10 @@ def _loaded(incremental: bool, user_match: str, spark: SparkSession, sf_dir: str
 
 def stored_warehouse(spark: SparkSession, sf_dir: str) -> str:
     """A full load of all days, which the questions below are asked of."""
-    landed_root = _land_all(spark, sf_dir)
-    as_of = _day_span(spark, sf_dir)[1] + timedelta(days=1)
 
     def build(root: str) -> None:
-        loads.full_load(spark, landed_root, root, as_of, "version")
+        as_of = _day_span(spark, sf_dir)[1] + timedelta(days=1)
+        loads.full_load(spark, _land_all(spark, sf_dir), root, as_of)
 
     return _once(spark, sf_dir, "warehouse", build, "all")
 
@@ -318,7 +396,7 @@ def _loaded_fact(name: str, user_match: str, spark: SparkSession, sf_dir: str) -
 
 def _catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plays per day and state asked in SQL of the registered tables."""
-    root = _loaded(False, "version", spark, sf_dir)
+    root = stored_warehouse(spark, sf_dir)
     database = "eventmart_" + root.rsplit("-", 1)[-1]
     catalog.register(spark, root, database)
     return spark.sql(
@@ -411,7 +489,11 @@ def all_queries() -> dict[str, Query]:
         queries[f"decode_{topic}"] = partial(_decoded, topic)
     for table in minutes.TABLES:
         queries[f"stream_{table}"] = partial(_stream_table, table)
+    queries["stream_late_rows_dropped"] = partial(_late_rows, minutes.NO_DELAY)
+    queries["stream_late_rows_admitted"] = partial(_late_rows, LATE_DELAY)
+    queries["latest_minutes_range"] = _latest_minutes_range
     queries["keyed_sink_latest"] = _keyed_replay
+    queries["keyed_sink_restart"] = _keyed_restart
     queries["landed_stream"] = _landed_stream
     queries["stream_job_counts"] = _stream_job_counts
     for grain in analytics.GRAINS:

@@ -39,19 +39,26 @@ EVENT_TYPES: dict[str, T.DataType] = {
     "success": BOOLEAN,
 }
 
-_PLACE = "city zip state userAgent lon lat"
-_PERSON = "userId lastName firstName gender registration"
-
+# The columns of every topic, in order.
 TOPIC_COLUMNS: dict[str, list[str]] = {
-    topic: text.split()
-    for topic, text in {
-        "listen_events": "artist song duration ts sessionId auth level itemInSession "
-        f"{_PLACE} {_PERSON}",
-        "auth_events": f"ts sessionId level itemInSession {_PLACE} {_PERSON} success",
-        "page_view_events": "ts sessionId page auth method status level itemInSession "
-        f"{_PLACE} {_PERSON} artist song duration",
-        "status_change_events": f"ts sessionId auth level itemInSession {_PLACE} {_PERSON}",
-    }.items()
+    "listen_events": [
+        "artist", "song", "duration", "ts", "sessionId", "auth", "level", "itemInSession", "city",
+        "zip", "state", "userAgent", "lon", "lat", "userId", "lastName", "firstName", "gender",
+        "registration",
+    ],
+    "auth_events": [
+        "ts", "sessionId", "level", "itemInSession", "city", "zip", "state", "userAgent", "lon",
+        "lat", "userId", "lastName", "firstName", "gender", "registration", "success",
+    ],
+    "page_view_events": [
+        "ts", "sessionId", "page", "auth", "method", "status", "level", "itemInSession", "city",
+        "zip", "state", "userAgent", "lon", "lat", "userId", "lastName", "firstName", "gender",
+        "registration", "artist", "song", "duration",
+    ],
+    "status_change_events": [
+        "ts", "sessionId", "auth", "level", "itemInSession", "city", "zip", "state", "userAgent",
+        "lon", "lat", "userId", "lastName", "firstName", "gender", "registration",
+    ],
 }
 
 # Topics with song and artist text that needs repair on the way in.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -58,6 +60,7 @@ def _shared_base(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_BASES:
         _LOCAL_BASES[application] = tempfile.mkdtemp(prefix="eventmart-")
+        atexit.register(shutil.rmtree, _LOCAL_BASES[application], ignore_errors=True)
     return _LOCAL_BASES[application]
 
 
@@ -65,6 +68,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
 
     Executors must be able to read what others wrote there, so a machine-local
-    folder is only made where the master is local and the setting is absent.
+    folder is only made where the master is local and the setting is absent, as
+    in tests; it goes when the program ends.
     """
     return f"{_shared_base(spark)}/{name}-{uuid.uuid4().hex}"

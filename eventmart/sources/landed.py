@@ -8,13 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
+from eventmart.sources.files import path_exists
 
 
 def topic_path(root: str, topic: str) -> str:
@@ -22,14 +16,14 @@ def topic_path(root: str, topic: str) -> str:
 
 
 def landed(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """All landed rows of ``topic``; no rows if nothing has landed yet.
+    """All landed rows of ``topic``; a topic that isn't there is an error.
 
     The schema is declared, so no file is opened to plan the scan.
     """
     path = topic_path(root, topic)
     schema = schemas.landed(topic)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        raise FileNotFoundError(f"no landed topic at {path}")
     return spark.read.schema(schema).parquet(path)
 
 

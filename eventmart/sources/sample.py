@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from eventmart import schemas
 
-# ``event_id % SONGS`` picks the song, so only parts below it can match.
-SONGS = 200
 # Schemas are declared, so planning opens no file. Only these columns are used.
 TABLES = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
@@ -54,20 +52,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their user, place and song.
 
-    Nations and regions are 25 and 5 rows at every scale and at most ``SONGS``
-    parts can match, so these are broadcast. Customers grow with the data: that
-    join is left to Spark, which broadcasts them only while they are small and
-    splits a hot user's partition otherwise.
+    Nations and regions are 25 and 5 rows at every scale, so these are broadcast.
+    Customers and parts grow with the data: those joins are left to Spark, which
+    broadcasts a side only while it is small and splits hot partitions otherwise.
+    Every part is a song; their number comes from the file footers.
     """
     events = table(spark, sf_dir, "events")
     region = F.broadcast(table(spark, sf_dir, "region"))
     places = table(spark, sf_dir, "nation").join(region, F.expr("n_regionkey = r_regionkey"))
-    songs = table(spark, sf_dir, "part").where(f"p_partkey between 0 and {SONGS - 1}")
+    songs = table(spark, sf_dir, "part")
+    song = F.col("event_id") % F.lit(max(songs.count(), 1))
     return (
         events.withColumn("ts", F.col("ts").cast("timestamp"))
         .join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"))
         .join(F.broadcast(places), F.expr("c_nationkey = n_nationkey"))
-        .join(F.broadcast(songs), F.expr(f"event_id % {SONGS} = p_partkey"))
+        .join(songs, song == F.col("p_partkey"))
         .selectExpr(
             "event_id", "ts", "event_type", *[f"{sql} as {c}" for c, sql in _DERIVED.items()]
         )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart import schemas
 from eventmart.operators.dims import Star
-from eventmart.sources.landed import path_exists
+from eventmart.sources.files import path_exists
 
 
 def table_path(root: str, name: str) -> str:
@@ -24,7 +24,9 @@ def _read(spark: SparkSession, root: str, name: str, schema) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored dimension."""
+    """A stored dimension; one that isn't there is an error."""
+    if not path_exists(spark, table_path(root, name)):
+        raise FileNotFoundError(f"no dimension at {table_path(root, name)}")
     return _read(spark, root, name, schemas.DIMENSIONS[name])
 
 
@@ -38,6 +40,7 @@ def read_star(spark: SparkSession, root: str) -> Star:
 def read_fact(
     spark: SparkSession, root: str, name: str, date_ids: Sequence[str] | None = None
 ) -> DataFrame:
-    """A stored fact table, whole or only the partitions in ``date_ids``."""
+    """A stored fact table, whole or only the partitions in ``date_ids``; no rows
+    if none were stored yet."""
     fact = _read(spark, root, name, schemas.FACTS[name])
     return fact if date_ids is None else fact.where(F.col("date_id").isin(list(date_ids)))

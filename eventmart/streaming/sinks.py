@@ -6,16 +6,19 @@ storage that outlives the driver.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
-from functools import reduce
+from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import schemas
-from eventmart.sources.landed import path_exists, topic_path
+from eventmart.sources.files import delete, number_in, path_exists
+from eventmart.sources.landed import topic_path
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -66,18 +69,47 @@ def reject_stream(
     )
 
 
-def _key_is_null(table: str) -> Column:
-    tests = [F.col(c).isNull() for c in schemas.serving_key(table)]
-    return reduce(lambda a, b: a | b, tests)
+# Where the rows of a serving table lie: by event day, then by what wrote them.
+FOLDERS = T.StructType(
+    [
+        T.StructField("event_day", T.DateType()),
+        T.StructField("run", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("compacted", T.IntegerType()),
+    ]
+)
 
 
-def save_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch to its own folder; a replay replaces it.
+def _write_folders(rows: DataFrame, path: str, table: str) -> None:
+    """Write rows with their ``run``, ``batch_id`` and ``compacted``; a folder that
+    exists is replaced, all others stay.
 
-    ``rebalance`` lets AQE merge the many tiny aggregation partitions into
-    files of a useful size.
+    Rows are brought together by day and sorted by key, newest first, so that
+    minima and maxima in the files answer key and time filters.
     """
-    batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    partition, clustering = schemas.SERVING_KEYS[table]
+    placed = rows.withColumn("event_day", F.to_date(clustering)).hint("rebalance", "event_day")
+    placed = placed.sortWithinPartitions(*FOLDERS.names, *partition, F.desc(clustering))
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*FOLDERS.names).parquet(path)
+
+
+def save_batch(batch: DataFrame, root: str, table: str, batch_id: int, run: int = 0) -> None:
+    """Write one micro-batch to its own folders; a replay replaces it."""
+    marked = batch.withColumns(
+        {
+            "run": F.lit(run).cast("long"),
+            "batch_id": F.lit(batch_id).cast("long"),
+            "compacted": F.lit(0),
+        }
+    )
+    _write_folders(marked, topic_path(root, table), table)
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> int:
+    """The number of the query that owns ``checkpoint``: the milliseconds at which it
+    was first started, kept beside the checkpoint. A new checkpoint is a later run."""
+    return number_in(spark, f"{checkpoint.rstrip('/')}/serving_run", int(time.time() * 1000))
 
 
 def keyed_stream(
@@ -89,45 +121,111 @@ def keyed_stream(
 ) -> DataStreamWriter:
     """Upsert rows into the serving table ``table`` by its primary key.
 
-    Micro-batches are kept apart by ``batch_id`` and ``latest_by_key`` reads the
-    last one per key. Rows with a NULL in the key cannot be addressed: they are
-    left out and counted as ``null_keys`` in the observed metrics.
+    Micro-batches are kept apart by run and ``batch_id``; ``latest_by_key`` reads
+    the last one per key. NULL is a key like any other.
     """
-    path = topic_path(root, table)
-    null_key = _key_is_null(table)
-    keyed = rows.observe(
-        f"keyed_{table}",
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(null_key).alias("null_keys"),
-    ).where(~null_key)
-    stored = keyed.select(
+    run = run_of(rows.sparkSession, checkpoint)
+    stored = rows.observe(f"keyed_{table}", F.count(F.lit(1)).alias("rows")).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SERVING[table].fields]
     )
     return (
-        stored.writeStream.foreachBatch(lambda batch, batch_id: save_batch(batch, path, batch_id))
+        stored.writeStream.foreachBatch(
+            lambda batch, batch_id: save_batch(batch, root, table, batch_id, run)
+        )
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
 
 
-def latest_by_key(spark: SparkSession, root: str, table: str) -> DataFrame:
+def _stored_rows(spark: SparkSession, root: str, table: str) -> DataFrame:
+    schema = T.StructType([*schemas.SERVING[table].fields, *FOLDERS.fields])
+    return spark.read.schema(schema).parquet(topic_path(root, table))
+
+
+def _instant(moment: datetime) -> datetime:
+    """A time without zone means UTC, whatever the zone of the driver."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
+def latest_by_key(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
     """The serving table: for every key the row of the last micro-batch.
 
     A maximum per key rather than a ranking: it is combined within the scan
     tasks, and two rows of one batch with the same key resolve the same way on
-    every read.
+    every read. ``start`` and ``end`` bound the time, [start, end), and leave out
+    the folders of other days.
     """
     schema = schemas.SERVING[table]
-    path = topic_path(root, table)
-    if not path_exists(spark, path):
+    if not path_exists(spark, topic_path(root, table)):
         return spark.createDataFrame([], schema)
     key = schemas.serving_key(table)
     values = [c for c in schema.names if c not in key]
-    read_schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    last = F.max(F.struct("batch_id", *values)).alias("last")
-    newest = spark.read.schema(read_schema).parquet(path).groupBy(*key).agg(last)
-    return newest.select(*key, "last.*").select(*schema.names)
+    stored = _stored_rows(spark, root, table)
+    _, clustering = schemas.SERVING_KEYS[table]
+    if start is not None:
+        first = _instant(start).astimezone(timezone.utc)
+        stored = stored.where((F.col("event_day") >= first.date()) & (F.col(clustering) >= first))
+    if end is not None:
+        last = _instant(end).astimezone(timezone.utc)
+        stored = stored.where((F.col("event_day") <= last.date()) & (F.col(clustering) < last))
+    newest = F.max(F.struct("run", "batch_id", "compacted", *values)).alias("last")
+    return stored.groupBy(*key).agg(newest).select(*key, "last.*").select(*schema.names)
+
+
+def compact(spark: SparkSession, root: str, table: str, before: date) -> list[date]:
+    """Merge what is stored of each day before ``before`` into one row per key.
+
+    Days must be closed: their rows will not be written again. Merged rows take
+    the number of the day's last batch and are written before the folders they
+    come from go, so a reader sees the same rows at every moment, also after a
+    failure. Returns the days merged.
+    """
+    path = topic_path(root, table)
+    if not path_exists(spark, path):
+        return []
+    folders = (
+        _stored_rows(spark, root, table)
+        .where(F.col("event_day") < F.lit(before))
+        .groupBy("event_day")
+        .agg(F.sort_array(F.collect_set(F.struct("run", "batch_id", "compacted"))).alias("folders"))
+        .where("size(folders) > 1")
+        .collect()
+    )
+    days = sorted(row.event_day for row in folders)
+    if not days:
+        return []
+    schema, key = schemas.SERVING[table], schemas.serving_key(table)
+    values = [c for c in schema.names if c not in key]
+    stored = _stored_rows(spark, root, table).where(F.col("event_day").isin(days))
+    newest = F.max(F.struct("run", "batch_id", "compacted", *values)).alias("last")
+    merged = stored.groupBy("event_day", *key).agg(newest)
+    # A day's rows and its last batch, a few values per day.
+    ends = [(row.event_day, row.folders[-1].run, row.folders[-1].batch_id) for row in folders]
+    numbers = spark.createDataFrame(ends, "event_day date, run long, batch_id long")
+    merged = merged.select(*key, "event_day", *[f"last.{c}" for c in values])
+    merged = merged.join(F.broadcast(numbers), "event_day").withColumn("compacted", F.lit(1))
+    aside = f"{root.rstrip('/')}/_merging/{table}-{uuid.uuid4().hex}"
+    merged.write.parquet(aside)
+    again = spark.read.schema(merged.schema).parquet(aside)
+    _write_folders(again.select(*schema.names, *FOLDERS.names[1:]), path, table)
+    delete(spark, aside)
+    for row in folders:
+        last = row.folders[-1]
+        for old in row.folders:
+            if (old.run, old.batch_id, old.compacted) != (last.run, last.batch_id, 1):
+                delete(
+                    spark,
+                    f"{path}/event_day={row.event_day}/run={old.run}"
+                    f"/batch_id={old.batch_id}/compacted={old.compacted}",
+                )
+    return days
 
 
 def debug_stream(

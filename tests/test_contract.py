@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from eventmart.registry.oracles import all_oracles
+from eventmart.registry.queries import all_queries
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, timedelta
 
 import pytest
@@ -103,12 +104,44 @@ def test_rows_without_time_are_not_loaded(spark, make_topic):
     assert warehouse.read_fact(spark, out, "fact_listen").count() == 1
 
 
-def test_load_of_nothing_landed_is_empty(spark, tmp_path):
-    out = str(tmp_path / "warehouse")
-    loads.full_load(spark, str(tmp_path / "nowhere"), out, LAST, "version")
-    assert warehouse.read_dim(spark, out, "dim_user").count() == 0
-    assert warehouse.read_dim(spark, out, "dim_time").count() == 86400
-    assert warehouse.read_fact(spark, out, "fact_auth").count() == 0
+def test_a_wrong_root_leaves_the_warehouse_whole(spark, landed_root, tmp_path):
+    root = full(spark, landed_root, LAST, "version")
+    before = contents(spark, root)
+    with pytest.raises(FileNotFoundError):
+        loads.full_load(spark, str(tmp_path / "nowhere"), root, LAST)
+    assert contents(spark, root) == before
+    with pytest.raises(FileNotFoundError):
+        loads.incremental_load(spark, landed_root, str(tmp_path / "no_dims"), LAST, AFTER)
+
+
+def test_a_load_that_fails_half_way_leaves_the_warehouse_whole(spark, landed_root, monkeypatch):
+    root = full(spark, landed_root, LAST, "version")
+    before = contents(spark, root)
+
+    def fail(*_, **__):
+        raise RuntimeError("half way")
+
+    monkeypatch.setattr(loads.facts, "fact", fail)
+    with pytest.raises(RuntimeError, match="half way"):
+        loads.full_load(spark, landed_root, root, AFTER)
+    assert contents(spark, root) == before
+    parent, name = root.rsplit("/", 1)
+    assert [f for f in os.listdir(parent) if f.startswith(name)] == [name]
+
+
+def test_equal_events_are_loaded_alike_by_both_loads(spark, make_topic):
+    root = session.work_dir(spark, "landed")
+    for topic in schemas.STAR_TOPICS:
+        days = [dict(ts=f"2024-01-0{d} 10:00:00") for d in (1, 2, 2)]
+        land(make_topic(topic, days), root, topic)
+    grown = session.work_dir(spark, "warehouse")
+    loads.full_load(spark, root, grown, date(2024, 1, 2))
+    for _ in range(2):
+        loads.incremental_load(spark, root, grown, date(2024, 1, 2), date(2024, 1, 3))
+    whole = session.work_dir(spark, "warehouse")
+    loads.full_load(spark, root, whole, date(2024, 1, 3))
+    assert contents(spark, grown) == contents(spark, whole)
+    assert warehouse.read_fact(spark, grown, "fact_listen").count() == 3
 
 
 def test_landed_scan_modes(spark, landed_root):
@@ -121,8 +154,10 @@ def test_landed_scan_modes(spark, landed_root):
         landed.extract(spark, landed_root, "auth_events", "sometimes")
     with pytest.raises(ValueError, match="day"):
         landed.extract(spark, landed_root, "auth_events", "incremental")
-    missing = landed.extract(spark, landed_root + "/none", "auth_events", "full")
-    assert missing.count() == 0 and missing.schema == whole.schema
+    with pytest.raises(FileNotFoundError):
+        landed.extract(spark, landed_root + "/none", "auth_events", "full")
+    absent = landed.extract(spark, landed_root, "auth_events", "incremental", AFTER)
+    assert absent.count() == 0 and absent.schema == whole.schema
 
 
 def test_stored_facts_keep_text_keys(spark, grown):
@@ -154,6 +189,20 @@ def test_catalog_tables_answer_sql_and_follow_loads(spark, landed_root):
         assert declared == {f.name: f.dataType.simpleString() for f in schema.fields}, name
 
 
+def test_catalog_follows_another_root_and_shorter_loads(spark, landed_root):
+    first, count = full(spark, landed_root, AFTER, "version"), "SELECT count(*) FROM mart_two.fact_auth"
+    catalog.register(spark, first, "mart_two")
+    days = spark.sql("SHOW PARTITIONS mart_two.fact_auth").count()
+    loads.full_load(spark, landed_root, first, date(2024, 1, 10))
+    catalog.refresh(spark, "mart_two")
+    assert spark.sql("SHOW PARTITIONS mart_two.fact_auth").count() == 9 < days
+    assert spark.sql(count).first()[0] == warehouse.read_fact(spark, first, "fact_auth").count()
+    second = full(spark, landed_root, date(2024, 1, 20), "version") + "/it's"
+    loads.full_load(spark, landed_root, second, date(2024, 1, 20))
+    catalog.register(spark, second, "mart_two")
+    assert spark.sql(count).first()[0] == warehouse.read_fact(spark, second, "fact_auth").count()
+
+
 def test_serving_views(spark, tmp_path):
     assert catalog.register_serving(spark, str(tmp_path)) == list(schemas.SERVING)
     assert spark.sql("SELECT * FROM song_chart_minute").count() == 0

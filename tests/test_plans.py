@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from eventmart import schemas, session
 from eventmart.operators import analytics, dims, facts, lookup, minutes
 from eventmart.operators.conform import Activity, conform
@@ -95,7 +96,7 @@ def test_user_fan_out_is_broadcast_when_counted_small_and_salted_otherwise(
 ):
     small = plan(facts.fact_listen(events.listen, stored, user_match="id"))
     assert "BroadcastHashJoin" in small
-    monkeypatch.setitem(lookup.lookup.__kwdefaults__, "broadcast_rows", 0)
+    monkeypatch.setitem(lookup.lookup.__kwdefaults__, "broadcast_bytes", 0)
     spark = events.listen.sparkSession
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -143,13 +144,35 @@ def test_decode_parses_only_the_fields_a_metric_needs(spark):
 def test_serving_reads_push_the_time_range_to_the_files(spark, roots):
     root = session.work_dir(spark, "serving")
     source = landed.landed(spark, roots[0], "listen_events")
-    path = landed.topic_path(root, "song_chart_minute")
-    sinks.save_batch(minutes.song_chart_minute(source), path, 0)
+    sinks.save_batch(minutes.song_chart_minute(source), root, "song_chart_minute", 0)
     table = sinks.latest_by_key(spark, root, "song_chart_minute")
     recent = table.where("ingest_ts >= timestamp'2024-01-20' and song = 'x'")
     assert "GreaterThanOrEqual(ingest_ts" in plan(recent) and "EqualTo(song,x)" in plan(recent)
 
 
+def test_serving_reads_between_two_times_leave_out_other_days(spark, roots):
+    root = session.work_dir(spark, "serving")
+    source = landed.landed(spark, roots[0], "listen_events")
+    sinks.save_batch(minutes.song_chart_minute(source), root, "song_chart_minute", 0)
+    some = sinks.latest_by_key(
+        spark, root, "song_chart_minute", datetime(2024, 1, 3), datetime(2024, 1, 4, 12)
+    )
+    text = plan(some)
+    assert "PartitionFilters: [isnotnull(event_day" in text and "event_day" in text
+    assert rows(some.selectExpr("cast(ingest_ts as date)").distinct()) == [
+        (date(2024, 1, 3),), (date(2024, 1, 4),)
+    ]
+
+
+def test_new_members_move_no_stored_rows(events, spark, roots):
+    stored = warehouse.read_dim(spark, roots[1], "dim_user")
+    added = dims.new_members("dim_user", events, stored)
+    text = plan(added)
+    # The stored side is scanned and probed; only the day's candidates are grouped.
+    assert "LeftSemi, BuildRight" in text and "LeftAnti, BuildRight" in text
+    assert "SortMergeJoin" not in text
+
+
 def test_nothing_runs_in_python_workers(spark):
     messages = spark.range(1).select(F.lit("{}").alias("value"))
     for topic in schemas.TOPIC_COLUMNS:

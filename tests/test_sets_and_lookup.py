@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from eventmart.operators.lookup import lookup
+from eventmart.operators.lookup import lookup, width
 from eventmart.operators.sets import except_distinct, union_all
 from eventmart.operators.topk import top_k
 
@@ -45,7 +45,7 @@ def _hot_events(spark):
     )
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "salts": 1}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "salts": 1}])
 def test_lookup_keeps_every_match_however_it_is_joined(spark, options):
     events = _hot_events(spark)
     members = spark.createDataFrame(
@@ -63,8 +63,8 @@ def test_lookup_keeps_every_match_however_it_is_joined(spark, options):
 def test_lookup_drops_missing_keys_and_matches_signed_zero(spark):
     events = spark.createDataFrame([(0.0,), (-0.0,), (None,), (1.0,)], "x double")
     members = spark.createDataFrame([(0.0, "zero")], "x double, label string")
-    for bound in (0, 10):
-        got = lookup(events, members, {"x": "x"}, ["label"], broadcast_rows=bound)
+    for bound in (0, 1000):
+        got = lookup(events, members, {"x": "x"}, ["label"], broadcast_bytes=bound)
         assert [r.label for r in got.collect()] == ["zero", "zero"]
 
 
@@ -76,7 +76,7 @@ def test_lookup_salts_must_be_a_power_of_two(spark):
 def test_lookup_counts_before_it_broadcasts(spark):
     events, members = _hot_events(spark), spark.range(100).selectExpr("cast(id as string) as k")
     small = lookup(events, members, {"k": "k"}, [])
-    large = lookup(events, members, {"k": "k"}, [], broadcast_rows=99)
+    large = lookup(events, members, {"k": "k"}, [], broadcast_bytes=100 * width(members) - 1)
     assert "ResolvedHint (strategy=broadcast)" in _logical(small)
     assert "strategy=broadcast" not in _logical(large)
 
@@ -104,4 +104,4 @@ def test_top_k_limits_groups_before_the_shuffle(spark):
     df = spark.range(4000).selectExpr("id % 5 as g", "id * 7919 % 301 as n", "id")
     plan = top_k(df, ["g"], [F.desc("n"), F.asc("id")], 3)._jdf.queryExecution().executedPlan()
     text = plan.toString()
-    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+    assert text.count("WindowGroupLimit") == 4 and "Partial" in text

@@ -107,7 +107,7 @@ def test_shuffled_user_lookup_gives_the_same_copies(spark, activity, monkeypatch
     star = dims.star(spark, activity)
     keyed = facts.fact_page_view(activity.page_view, user_match="version")
     broadcast = rows(facts.lookup_user(keyed, star.user))
-    monkeypatch.setitem(facts.lookup.__kwdefaults__, "broadcast_rows", 0)
+    monkeypatch.setitem(facts.lookup.__kwdefaults__, "broadcast_bytes", 0)
     assert rows(facts.lookup_user(keyed, star.user)) == broadcast
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 import os
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,12 +101,13 @@ def test_late_rows_are_dropped_and_minutes_close_once(spark, tmp_path):
 
     topic.add(play(61, "x"))
     query = run_chart(spark, topic, root)
-    assert chart(spark, root) == [("x", 0, 2)]
-    assert observed(query, "keyed_song_chart_minute", "null_keys") == 1
+    first = [("x", 0, 2), (None, 0, 1)]  # NULL is a key like any other
+    assert chart(spark, root) == first
+    assert observed(query, "keyed_song_chart_minute", "rows") == 2
 
     topic.add(play(5, "late"), play(119, "x"))
     query = run_chart(spark, topic, root)
-    assert chart(spark, root) == [("x", 0, 2)]  # 119 s does not end minute 1
+    assert chart(spark, root) == first  # 119 s does not end minute 1
     dropped = sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress
@@ -116,7 +117,7 @@ def test_late_rows_are_dropped_and_minutes_close_once(spark, tmp_path):
 
     topic.add(play(120, "y"))  # the watermark reaches the end of minute 1
     run_chart(spark, topic, root)
-    assert chart(spark, root) == [("x", 0, 2), ("x", 1, 2)]
+    assert chart(spark, root) == [("x", 0, 2), ("x", 1, 2), (None, 0, 1)]
 
 
 def test_delay_admits_late_rows(spark, tmp_path):
@@ -135,19 +136,65 @@ def test_delay_admits_late_rows(spark, tmp_path):
 
 def test_replaying_a_batch_changes_nothing_and_later_batches_win(spark, make_topic):
     root = session.work_dir(spark, "replay")
-    path = landed.topic_path(root, "listen_count_minute")
     one = minutes.listen_count_minute(make_topic("listen_events", [dict()]))
     two = one.withColumn("count", F.lit(5).cast("bigint"))
-    sinks.save_batch(one, path, 0)
+    sinks.save_batch(one, root, "listen_count_minute", 0)
     before = rows(sinks.latest_by_key(spark, root, "listen_count_minute"))
-    sinks.save_batch(one, path, 0)
+    sinks.save_batch(one, root, "listen_count_minute", 0)
     assert rows(sinks.latest_by_key(spark, root, "listen_count_minute")) == before
-    sinks.save_batch(two, path, 10)
-    sinks.save_batch(one, path, 9)
+    sinks.save_batch(two, root, "listen_count_minute", 10)
+    sinks.save_batch(one, root, "listen_count_minute", 9)
     table = sinks.latest_by_key(spark, root, "listen_count_minute")
     assert [r["count"] for r in table.collect()] == [5]
 
 
+def test_a_new_checkpoint_is_a_later_run_and_loses_nothing(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for name, second, song in (("one", 1, "x"), ("two", 601, "y")):
+        topic = Topic(tmp_path / name)
+        topic.add(play(second, song), play(second + 1, None), play(second + 120, song))
+        rows_ = job.metric("song_chart_minute", topic.stream(spark))
+        checkpoint = f"{tmp_path}/checkpoint-{name}"
+        sinks.keyed_stream(
+            rows_, "song_chart_minute", root, checkpoint, sinks.AVAILABLE_NOW
+        ).start().awaitTermination()
+        assert sinks.run_of(spark, checkpoint) == sinks.run_of(spark, checkpoint)
+    assert chart(spark, root) == [("x", 0, 1), ("y", 10, 1), (None, 0, 1), (None, 10, 1)]
+    assert sinks.run_of(spark, f"{tmp_path}/checkpoint-one") < sinks.run_of(spark, f"{tmp_path}/checkpoint-two")
+
+
+def test_compaction_leaves_the_view_as_it_is(spark, sf_dir):
+    root, table = session.work_dir(spark, "serving"), "song_chart_minute"
+    rows_ = minutes.song_chart_minute(sample.topic(spark, sf_dir, "listen_events"))
+    sinks.save_batch(rows_, root, table, 0)
+    sinks.save_batch(rows_.withColumn("count", F.col("count") + 1), root, table, 1)
+    sinks.save_batch(rows_.where("song is null"), root, table, 0, run=5)
+    before = rows(sinks.latest_by_key(spark, root, table))
+    days = sinks.compact(spark, root, table, date(2024, 1, 20))
+    assert len(days) == 19 and max(days) == date(2024, 1, 19)
+    assert rows(sinks.latest_by_key(spark, root, table)) == before
+    stored = spark.read.parquet(f"{root}/{table}").where("event_day < '2024-01-20'")
+    assert stored.selectExpr("count(*) = count(distinct ingest_ts, coalesce(song, ''))").first()[0]
+    assert sinks.compact(spark, root, table, date(2024, 1, 20)) == []
+
+
+def test_await_any_raises_what_a_query_failed_of(spark, tmp_path):
+    topic = Topic(tmp_path / "in")
+    topic.add(play(1, "x"))
+
+    def fail(*_):
+        raise RuntimeError("no sink")
+
+    failing = topic.stream(spark).writeStream.foreachBatch(fail).option(
+        "checkpointLocation", f"{tmp_path}/c"
+    )
+    spark.streams.resetTerminated()
+    failing.start()
+    with pytest.raises(Exception, match="no sink"):
+        job.await_any(spark)
+    spark.streams.resetTerminated()
+
+
 def test_serving_table_without_data_is_empty(spark, tmp_path):
     table = sinks.latest_by_key(spark, str(tmp_path), "user_login")
     assert table.count() == 0 and table.columns == schemas.SERVING["user_login"].names
@@ -169,7 +216,7 @@ def test_landing_keeps_all_rows_and_counts_those_without_time(spark, tmp_path):
 def test_job_fills_nine_tables_and_rejects(spark, sf_dir):
     root = session.work_dir(spark, "job")
     queries = job.start_all(
-        lambda topic: _messages(spark, sf_dir, topic, stream=True), f"{root}/s", f"{root}/l", f"{root}/c", sinks.AVAILABLE_NOW, with_rejects=True
+        lambda topic: _messages(spark, sf_dir, topic), f"{root}/s", f"{root}/l", f"{root}/c", sinks.AVAILABLE_NOW, with_rejects=True
     )
     assert len(queries) == 12
     job.drain(queries)
@@ -183,7 +230,7 @@ def test_job_fills_nine_tables_and_rejects(spark, sf_dir):
 @pytest.mark.parametrize("table", [t for t in minutes.TABLES if t != "user_login"])
 def test_stream_equals_batch_up_to_the_watermark(spark, sf_dir, table):
     topic = minutes.INPUT_TOPIC[table]
-    stream = _messages(spark, sf_dir, topic, stream=True)
+    stream = _messages(spark, sf_dir, topic)
     name = f"mem_{table}"
     writer = sinks.debug_stream(job.metric(table, stream), sinks.AVAILABLE_NOW, "memory", name)
     writer.start().awaitTermination()
