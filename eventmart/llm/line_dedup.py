@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import stored, text_or_empty, workers_import
 
 MIN_WORDS = 50
+SLICE = 512  # documents whose lines a worker holds at a time
 
 
 def line_units(text: str) -> list[tuple[bytes, int, int, int]]:
@@ -45,8 +46,9 @@ def line_units(text: str) -> list[tuple[bytes, int, int, int]]:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["row", "text_hash", "digest", "unit", "start", "end", "words"]
-    for batch in batches:
+    names = ["text_hash", "digest", "unit", "start", "end", "words"]
+    for whole, first in ((b, i) for b in batches for i in range(0, b.num_rows, SLICE)):
+        batch = whole.slice(first, SLICE)
         row, digest, unit, start, end, words = [], [], [], [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             for u, (d, s, e, w) in enumerate(line_units(text)):
@@ -67,7 +69,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(end, pa.int32()),
                 pa.array(words, pa.int32()),
             ],
-            names=["doc_id", *names[1:]],
+            names=["doc_id", *names],
         )
 
 
@@ -124,7 +126,8 @@ def drop_repeats(
     )
     text, found = docs[text_column], cuts["_cuts"]
     same = cuts["_cut_id"].eqNullSafe(docs[id_column]) & (cuts["_cut_hash"] == F.xxhash64(text_or_empty(text)))
-    joined = docs.join(cuts, same, "left")
+    # Texts pass a hash of the cuts one by one; nothing as large as they is sorted.
+    joined = docs.join(cuts.hint("shuffle_hash"), same, "left")
     long = F.char_length(text_or_empty(text))
     # Kept pieces lie between the cuts, without the line feeds beside them.
     starts = F.concat(F.array(F.lit(0)), F.transform(found, lambda c: c["end"] + 1))
