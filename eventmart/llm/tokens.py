@@ -1,11 +1,12 @@
-"""Token ids of whole texts by the ``tokenizers`` library, a blank-free chunk at a time.
-
-The word vocabulary drops white space and cuts words at it, so a text's ids are
-those of its chunks in turn. Chunks repeat far more than texts do: their ids are
-kept as bytes in a bounded table per worker, and a text becomes one join of byte
-strings. A new chunk of Latin letters, digits and signs is cut by the
-vocabulary's own pattern, and its pieces are handed to the library's model; every
-other one goes through the library's whole path (normaliser, pattern, byte level).
+"""Token ids of whole texts by the ``tokenizers`` library, a piece at a time.
+
+The word vocabulary lower-cases a text, drops white space and cuts the rest into
+pieces by a pattern of its own; the ids of a text are those of its pieces in turn.
+Pieces repeat far more than texts do: each new one is handed to the library's
+model, and its ids are kept as bytes in a bounded table per worker, so that a text
+is one search by the pattern and one join of byte strings. Only characters of which
+it is certain that they need no normalising are cut here; chunks with others go
+through the library's whole path (normaliser, pattern, byte level).
 """
 
 from __future__ import annotations
@@ -14,15 +15,13 @@ import os
 import re
 from array import array
 
-MOST_CHUNKS = 600_000
-MOST_PIECES = 300_000
+MOST_PIECES = 800_000
 LONGEST_KEPT = 64
 
-# Chunks of these characters need no normalising but lower-casing: they are
-# composed, and which of them are letters is beyond doubt.
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-# The vocabulary's pattern for such chunks, lower-cased (fixed by its file).
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Characters beyond white space, ASCII and composed Latin letters.
+ODD = re.compile(r"[^\t\n\r -~À-ÿ]")
+# The vocabulary's pattern for lower-case text without those (fixed by its file).
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
 def byte_signs() -> dict[int, str]:
@@ -34,23 +33,23 @@ def byte_signs() -> dict[int, str]:
 
 
 class _Known(dict):
-    """Ids of chunks; a new chunk is looked up where it is missed."""
+    """Ids of pieces; a new piece is looked up where it is missed."""
 
     def __init__(self, make):
-        super().__init__({"": b""})
+        super().__init__()
         self.make = make
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.make(chunk)
-        if len(chunk) <= LONGEST_KEPT:
-            self[chunk] = ids
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.make(piece)
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
         return ids
 
 
 class ChunkIds:
     """Texts to ids (little-endian unsigned 32-bit, as bytes)."""
 
-    def __init__(self, path: str, most: int = MOST_CHUNKS):
+    def __init__(self, path: str, most: int = MOST_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -58,26 +57,28 @@ class ChunkIds:
         self.tokenize = self.library.model.tokenize
         self.signs = byte_signs()
         self.most = most
-        self.known = _Known(self._chunk)
-        self.pieces: dict[str, bytes] = {}
+        self.known = _Known(self._piece)
 
     def _piece(self, piece: str) -> bytes:
         signs = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
-        ids = self.pieces[piece] = array("I", [t.id for t in self.tokenize(signs)]).tobytes()
-        return ids
+        return array("I", [t.id for t in self.tokenize(signs)]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            found, pieces = PIECES.findall(chunk.lower()), self.pieces
-            if len(pieces) > MOST_PIECES:
-                pieces.clear()
-            return b"".join([pieces[p] if p in pieces else self._piece(p) for p in found])
-        return array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, PIECES.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
         if len(self.known) > self.most:
-            self.known = _Known(self._chunk)
-        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
+            self.known.clear()
+        if not ODD.search(text) and "<|" not in text:
+            return self._plain(text)
+        out = []
+        for chunk in text.replace("\n", " ").split(" "):
+            if ODD.search(chunk) or "<|" in chunk:
+                ids = self.library.encode(chunk, add_special_tokens=False).ids
+                out.append(array("I", ids).tobytes())
+            else:
+                out.append(self._plain(chunk))
+        return b"".join(out)
 
 
 _LOADED: dict[str, ChunkIds] = {}
