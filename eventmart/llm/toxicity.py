@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -112,19 +111,14 @@ def _fit_linear(rows: list[np.ndarray], more: np.ndarray, y: np.ndarray, terms:
 
 def choose_terms(rows: list[np.ndarray], labels: np.ndarray, most: int = MOST_TERMS) -> dict[int, int]:
     """The terms (numbers) that tell best whether a row has any category, and their places."""
-    seen = Counter()
-    for row in rows:
-        seen.update(row.tolist())
-    names = np.array([t for t, c in seen.items() if c >= LEAST_ROWS], dtype=np.int64)
-    if not len(names):
+    at = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    names, place, seen = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    kept = seen >= LEAST_ROWS
+    if not kept.any():
         return {}
-    names.sort()
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    flat = np.concatenate(rows)
-    place = np.searchsorted(names, flat).clip(0, len(names) - 1)
-    known = names[place] == flat
-    place, at = place[known], at[known]
-    total = np.bincount(place, minlength=len(names))
+    in_some = kept[place]
+    place, at = (np.cumsum(kept) - 1)[place[in_some]], at[in_some]
+    names, total = names[kept], seen[kept]
     # Rows of any category against the others: what tells categories apart only
     # (a language, say) would crowd out what they have in common.
     y = labels.max(axis=1)
