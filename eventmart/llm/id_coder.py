@@ -155,16 +155,17 @@ def encode_block(ids: np.ndarray, vocabulary: int, bits: int = ORDER2_BITS) -> b
     return HEAD.pack(MAGIC, VERSION, bits, *head, zlib.crc32(body)) + body
 
 
-def _give_off(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Lanes whose top 16 bits are settled; a range that has become narrow across
-    such a border is cut down to one side of it."""
-    settled = (low ^ (low + width)) < TOP
-    narrow = (width < BOTTOM) & ~settled
+def _give_off(low: np.ndarray, width: np.ndarray, of: np.ndarray | None) -> np.ndarray:
+    """Lanes (among ``of``, or all) whose top 16 bits are settled; a range that has
+    become narrow across such a border is cut down to one side of it."""
+    own_low, own_width = (low, width) if of is None else (low[of], width[of])
+    settled = (own_low ^ (own_low + own_width)) < TOP
+    narrow = (own_width < BOTTOM) & ~settled
     if narrow.any():
-        at = np.flatnonzero(narrow)
+        at = np.flatnonzero(narrow) if of is None else of[narrow]
         width[at] = (~low[at] + ONE_U) & (BOTTOM - ONE_U)
         settled |= narrow
-    return np.flatnonzero(settled)
+    return np.flatnonzero(settled) if of is None else of[settled]
 
 
 def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
@@ -193,7 +194,8 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
             part = width[at] // model.total
             low[at] += part * first.astype(U)
             width[at] = part * (model.cum[own + 1] - first).astype(U)
-        while len(at := _give_off(low, width)):
+        at = None
+        while len(at := _give_off(low, width, at)):
             now = low[at]
             out_lane.append(at)
             out_word.append(now >> W48)
@@ -264,7 +266,8 @@ def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.n
             x[at] = own
             low[at] += part * first.astype(U)
             width[at] = part * (model.cum[own + 1] - first).astype(U)
-        while len(at := _give_off(low, width)):
+        at = None
+        while len(at := _give_off(low, width, at)):
             low[at] <<= W16
             width[at] <<= W16
             code[at] = (code[at] << W16) | words[place[at]]
