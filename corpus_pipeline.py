@@ -41,7 +41,8 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.char_length("text").cast(kind)
-        cut = cut.withColumn("n_chars", F.when(F.col(name)["n_cut"] > 0, length).otherwise(F.col("n_chars")))
+        is_cut = F.col(name)["n_cut"] + F.col(name)["n_passages"] > 0
+        cut = cut.withColumn("n_chars", F.when(is_cut, length).otherwise(F.col("n_chars")))
     return cut.drop(name)
 
 

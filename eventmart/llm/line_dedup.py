@@ -1,6 +1,11 @@
-"""Substring dedup by line hashing, with the original offsets retained.
+"""Substring dedup by hashing lines and windows of words, with the original
+offsets retained.
 
-The units are lines. A unit is normalised (A-Z lower-cased, white space between
+Two kinds of repeats are cut out: runs of repeated lines, and passages of
+``min_words`` words or more wherever they begin and end in lines (all windows of
+so many words that a lesser (id, place) has, see ``passages``).
+
+For lines, a unit is normalised (A-Z lower-cased, white space between
 words one blank) and hashed to 128 bits; blank lines are no units. Digests are
 grouped over the whole corpus, and the occurrence of the least (id, position)
 stays; every other one is a repeat. Consecutive repeats of a document form a
@@ -15,7 +20,8 @@ Defined results: null texts stay null, blank ones as they are. Rows equal in id
 and text are one document and get one result. Null ids rank before others. A
 document that is all repeats is left with an empty text. Spans are character
 offsets [start, end) of the original text; joined by line feeds they are the new
-text. Columns of the input stay as they are; the result's name must be free.
+text. Where words follow each other in a period, the first ``min_words`` stay.
+Columns of the input stay as they are; the result's name must be free.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import stored, text_or_empty, workers_import
+from eventmart.llm.passages import repeated_stretches
 
 MIN_WORDS = 50
 SLICE = 512  # documents whose lines a worker holds at a time
@@ -76,8 +83,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_runs(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """(doc_id, text_hash, cuts): for each document with something to cut, the
-    runs' spans in order."""
+    """(doc_id, text_hash, cuts, n_cut, n_passages): for each document with
+    something to cut, the spans in order; how many runs of lines and how many
+    passages they come from."""
     workers_import(docs.sparkSession)
     source = docs.select(
         F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text")
@@ -107,8 +115,31 @@ def repeated_runs(
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
         .where(F.col("words") >= min_words)
     )
-    return runs.groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")
+    passages = _merged(repeated_stretches(source, min_words), 1)
+    both = runs.select("doc_id", "text_hash", "start", "end", F.lit(1).alias("n_cut"), F.lit(0).alias("n_passages"))
+    both = both.unionByName(
+        passages.select("doc_id", "text_hash", "start", "end", F.lit(0).alias("n_cut"), F.lit(1).alias("n_passages"))
+    )
+    return (
+        _merged(both, 0, "n_cut", "n_passages")
+        .groupBy("doc_id", "text_hash")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"),
+            *[F.sum(c).cast("int").alias(c) for c in ("n_cut", "n_passages")],
+        )
+    )
+
+
+def _merged(spans: DataFrame, gap: int, *sums: str) -> DataFrame:
+    """Spans of a document that overlap, or lie ``gap`` apart at most, as one."""
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    reached = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce((F.col("start") > reached + gap).cast("int"), F.lit(0))
+    return (
+        spans.withColumn("apart", apart)
+        .withColumn("span", F.sum("apart").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc_id", "text_hash", "span")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), *[F.sum(c).alias(c) for c in sums])
     )
 
 
@@ -119,17 +150,19 @@ def drop_repeats(
     min_words: int = MIN_WORDS,
     result: str = "repeats",
 ) -> DataFrame:
-    """``docs`` with cut texts and a column ``result``: struct of ``n_cut`` (runs
-    cut out) and ``kept_spans`` (array of start, end in the original text)."""
+    """``docs`` with cut texts and a column ``result``: struct of ``n_cut`` (runs of
+    lines cut out), ``kept_spans`` (array of start, end in the original text) and
+    ``n_passages`` (stretches of repeated windows cut out; whole lines may be both)."""
     cuts = repeated_runs(docs, id_column, text_column, min_words).select(
-        F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("cuts").alias("_cuts")
+        F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("cuts").alias("_cuts"),
+        F.col("n_cut").alias("_cut_runs"), F.col("n_passages").alias("_cut_passages"),
     )
     text, found = docs[text_column], cuts["_cuts"]
     same = cuts["_cut_id"].eqNullSafe(docs[id_column]) & (cuts["_cut_hash"] == F.xxhash64(text_or_empty(text)))
     # Texts pass a hash of the cuts one by one; nothing as large as they is sorted.
     joined = docs.join(cuts.hint("shuffle_hash"), same, "left")
     long = F.char_length(text_or_empty(text))
-    # Kept pieces lie between the cuts, without the line feeds beside them.
+    # Kept pieces lie between the cuts, without the white space beside them.
     starts = F.concat(F.array(F.lit(0)), F.transform(found, lambda c: c["end"] + 1))
     ends = F.concat(F.transform(found, lambda c: c["start"] - 1), F.array(long))
     pieces = F.filter(
@@ -147,8 +180,8 @@ def drop_repeats(
     cut_text = F.array_join(
         F.transform(pieces, lambda p: F.substring(text, p["start"] + 1, p["end"] - p["start"])), "\n"
     )
-    n_cut = F.when(is_cut, F.size(found)).otherwise(0)
+    n_cut, n_passages = (F.coalesce(cuts[c], F.lit(0)) for c in ("_cut_runs", "_cut_passages"))
     return joined.select(
         *[F.when(is_cut, cut_text).otherwise(text).alias(c) if c == text_column else docs[c] for c in docs.columns],
-        F.struct(n_cut.alias("n_cut"), spans.alias("kept_spans")).alias(result),
+        F.struct(n_cut.alias("n_cut"), spans.alias("kept_spans"), n_passages.alias("n_passages")).alias(result),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 
@@ -184,6 +185,56 @@ def test_lines_equal_brute_force(sample):
     assert got == want
 
 
+def brute_cuts(rows, n=50):
+    """Texts after the cut by all windows of ``n`` words and all runs of lines."""
+    found = {i: [(m.start(), m.end(), m.group().encode().lower()) for m in re.finditer(r"[^ \t\n\r\v\f]+", t)] for i, t in rows}
+    windows, lines, kept = {}, {}, {}
+    for i, t in rows:
+        words, spans = found[i], []
+        for p in range(len(words) - n + 1):
+            of, at = windows.setdefault(tuple(w for _, _, w in words[p : p + n]), (i, p))
+            if (of, at) != (i, p):
+                first = max(p, at + n) if of == i else p
+                spans.append((words[first][0], words[p + n - 1][1]))
+        run = []
+        for u, (digest, start, end, size) in enumerate([*line_dedup.line_units(t), (None, 0, 0, 0)]):
+            if digest is not None and lines.setdefault(digest, (i, u)) != (i, u):
+                run.append((start, end, size))
+                continue
+            if sum(s for *_, s in run) >= n:
+                spans.append((run[0][0], run[-1][1]))
+            run = []
+        pieces, at = [], 0
+        for start, end in sorted(spans):
+            pieces.append((at, start - 1))
+            at = max(at, end + 1)
+        pieces = [(a, b) for a, b in [*pieces, (at, len(t))] if b > a]
+        kept[i] = "\n".join(t[a:b] for a, b in pieces) if spans else t
+    return kept
+
+
+def test_passages_inside_lines(spark):
+    broken = PASSAGE.replace(" p30 ", "\np30\t ").replace("p9 ", "P9  ")
+    rows = [
+        (1, f"é before {PASSAGE} after it"), (2, f"ü other words {broken} and more\nend"),
+        (3, " ".join(PASSAGE.split()[:49]) + " of forty-nine"), (4, f"x {' '.join(PASSAGE.split()[5:55])} y"),
+        (5, "again " * 130), (6, f"{PASSAGE} {PASSAGE.replace('p59', 'q')}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.drop_repeats(docs).collect()}
+    assert [got[i].text for i in (1, 2, 3, 4)] == [rows[0][1], "ü other words\nand more\nend", rows[2][1], "x\ny"]
+    assert got[5].text == " ".join(["again"] * 50) and got[6].text == "q"
+    assert {i: r.text for i, r in got.items()} == brute_cuts(rows)
+    for i, text in rows:
+        assert "\n".join(text[s.start : s.end] for s in got[i].repeats.kept_spans) == got[i].text
+
+
+def test_passages_equal_brute_force(sample):
+    rows = sorted((i, t or "") for i, t in texts(sample))
+    got = {r.doc_id: r.text or "" for r in line_dedup.drop_repeats(sample).collect()}
+    assert got == brute_cuts(rows)
+
+
 # --- tokens: packing and files ------------------------------------------------------
 
 
