@@ -23,6 +23,7 @@ each. Inputs are the text alone.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -65,7 +66,8 @@ def text_numbers(text: str) -> list[float]:
     words = raw.split()
     m = len(words)
     lines = [line for line in raw.split(b"\n") if line]
-    different = len(set(words))
+    counts = Counter(words)
+    different = len(counts)
     again = sum(map(bytes.__eq__, words, words[1:])) if m > 1 else 0
     half = m // 2
     halves = sum(map(bytes.__eq__, words[:half], words[m - half :])) / half if half else 0.0
@@ -74,7 +76,7 @@ def text_numbers(text: str) -> list[float]:
     stops = sum(1 for w in words if w[-1] in STOPS)
     capitals = sum(map(bytes.isupper, words))
     short = sum(1 for s in sizes if s <= 2)
-    common = max((raw.count(b" " + w + b" ") for w in dict.fromkeys(words[:8])), default=0)
+    common = max(counts.values(), default=0)
     w = max(m, 1)
     return [
         math.log1p(n), math.log1p(m), sum(sizes) / w, share(UPPERS), share(DIGITS), share(STOPS), share(SIGNS),
