@@ -22,10 +22,10 @@ rows. Other columns of the input are not looked at.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import ascii_lower, free_name, stored, text_or_empty
+from eventmart.llm.common import ascii_lower, stored, text_or_empty
 
 CAPACITY = 1_000_000
 START_DEPTH = 4
@@ -176,9 +176,13 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     tied = stays.where("_tied")
     if tied.isEmpty():
         return rows(stays)
-    rank = free_name(docs, "rank")
-    order = Window.partitionBy(id_column, F.sha2(ascii_lower(text_or_empty(text_column)), 256)).orderBy(
-        F.to_json(F.struct(*docs.columns))
+    # The least row by all columns: it combines before the shuffle, so that rows
+    # which a third of the table repeats are one row per task.
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    picked = (
+        rows(tied)
+        .groupBy(F.col(id_column).alias("_tie_id"), sha.alias("_tie_sha"))
+        .agg(F.min_by(whole, F.to_json(whole)).alias("_tie_row"))
+        .select("_tie_row.*")
     )
-    picked = rows(tied).withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
-    return rows(stays.where(~F.col("_tied"))).unionByName(picked.drop(rank))
+    return rows(stays.where(~F.col("_tied"))).unionByName(picked)
