@@ -59,7 +59,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-# Scores, signatures and tokens are not SQL's; tests hold the stages against brute force.
+# Scores, signatures and tokens are not SQL's; tests/llm/test_pipeline_rows.py holds the
+# rows of each stage against brute force on its own input.
 ORACLE_SQL = None
 
 
