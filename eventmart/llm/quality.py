@@ -15,7 +15,7 @@ the driver. Scoring covers every row and its whole text, without a shuffle.
 
 Defined results: null texts count as empty and get the score of an empty text.
 Labels other than 0 and 1 and null ids teach nothing; an id with several labels
-counts by the least. Without labelled rows, or with one class only, the score is
+counts by the least, one with several rows by the least of their numbers. Without labelled rows, or with one class only, the score is
 the smoothed share of label 1 (0.5 without any). Repeated rows get one score
 each. Inputs are the text alone.
 """
@@ -255,7 +255,9 @@ def train(
         if texts.schema["doc_id"].dataType.simpleString() == "string"
         else "doc_id bigint, label int, numbers array<double>"
     )
-    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["numbers"]))
+    # One row per id leaves the tasks, however often it is repeated.
+    rows = rows.groupBy("doc_id", "label").agg(F.min("numbers").alias("numbers"))
+    found = sorted(rows.collect(), key=lambda r: r["doc_id"])
     x = np.array([r["numbers"] for r in found]).reshape(len(found), len(FEATURES))
     return fit(x, np.array([r["label"] for r in found], dtype=float))
 

@@ -17,7 +17,8 @@ and its whole text, without a shuffle.
 
 Defined results: null and empty texts have no terms and get the scores of the
 intercepts. Labels that are null and ids without a document teach nothing; an id
-with several labels counts as the greatest. Without labelled rows every score is
+with several labels counts as the greatest of each category, one with several
+rows by the row of the least text hash. Without labelled rows every score is
 0.01. Repeated rows get one score each; an empty table gives no rows; other columns
 are not looked at.
 """
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import text_or_empty, workers_import
+from eventmart.llm.common import stored, text_or_empty, workers_import
 
 SAMPLE_ROWS = 20_000
 MOST_TERMS = 2_000
@@ -180,25 +181,31 @@ def train(
     """
     workers_import(docs.sparkSession)
     known = labels.where(F.col(id_column).isNotNull())
-    rate = min(1.0, sample_rows / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64(id_column), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30))))
-    names = [c for c in docs.columns if c not in labels.columns or c == id_column]
-    # The chosen labels are bounded by ``sample_rows``.
-    joined = docs.select(*names).join(F.broadcast(chosen), id_column)
-    flags = F.array(*[c.cast("int") for c in categories.values()])
-    rows = joined.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"), flags.alias("labels"))
-    rows = rows.where(~F.exists("labels", lambda x: x.isNull()))
+    ids = known.select(id_column).distinct()
+    rate = min(1.0, sample_rows / max(1, ids.count()))
+    in_sample = F.pmod(F.xxhash64(id_column), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
+    names = [c for c in docs.columns if c not in labels.columns or c in (id_column, text_column)]
+    # The chosen ids are bounded by ``sample_rows``, and so is all that follows:
+    # documents and flags are one per id before they meet.
+    taught = docs.select(*names).join(F.broadcast(ids.where(in_sample)), id_column, "left_semi")
+    order = F.struct(F.xxhash64(text_or_empty(text_column)), F.to_json(F.struct(*names)))
+    one_each = taught.groupBy(F.col(id_column).alias("doc_id")).agg(F.min_by(F.struct(*names), order).alias("doc"))
+    one_each = stored(one_each, "taught")
+    beside = [c for c in names if c != text_column or text_column not in labels.columns]
+    flags = [c.cast("int") for c in categories.values()]
+    judged = one_each.select(*[F.col("doc")[c].alias(c) for c in beside]).join(known.where(in_sample), id_column)
+    judged = judged.select(F.col(id_column).alias("doc_id"), *[f.alias(f"flag{k}") for k, f in enumerate(flags)])
+    judged = judged.dropna().groupBy("doc_id").agg(
+        F.array(*[F.max(f"flag{k}") for k in range(len(flags))]).alias("labels")
+    )
+    rows = one_each.select("doc_id", text_or_empty(F.col("doc")[text_column]).alias("text")).join(judged, "doc_id")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(_termed, f"doc_id {id_type}, labels array<int>, terms array<int>").toArrow()
-    order = sorted(range(found.num_rows), key=lambda i: (str(found["doc_id"][i]), found["labels"][i].as_py()))
-    one: dict = {}
-    for i in order:  # an id with several labels: the greatest of each
-        key = found["doc_id"][i].as_py()
-        flags_ = np.array(found["labels"][i].as_py(), dtype=float)
-        if key in one:
-            one[key] = (one[key][0], np.maximum(one[key][1], flags_))
-        else:
-            one[key] = (found["terms"][i].values.to_numpy(), flags_)
+    places = sorted(range(found.num_rows), key=lambda i: str(found["doc_id"][i]))
+    one = {
+        found["doc_id"][i].as_py(): (found["terms"][i].values.to_numpy(), np.array(found["labels"][i].as_py(), dtype=float))
+        for i in places
+    }
     y = np.array([v[1] for v in one.values()]).reshape(len(one), len(categories))
     folds = np.array([zlib.crc32(str(k).encode()) % FOLDS for k in one], dtype=np.int64)
     return fit([v[0] for v in one.values()], y, folds, list(categories))

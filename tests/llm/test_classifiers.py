@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from eventmart.llm import quality
+from eventmart.llm import quality, toxicity
+from pyspark.sql import functions as F
 
 
 def test_top_word_is_counted_over_the_whole_text():
@@ -13,3 +14,22 @@ def test_top_word_is_counted_over_the_whole_text():
     assert top(opening + " spam" * 32) == 32 / 40
     assert top("a b\na a\na c") == 4 / 6
     assert top("") == top(" \n ") == 0
+
+
+def test_one_row_per_id_reaches_the_driver(spark, monkeypatch):
+    gathered = []
+    kind = type(spark.range(0))
+    collect, to_arrow = kind.collect, kind.toArrow
+    monkeypatch.setattr(kind, "collect", lambda df: gathered.append(found := collect(df)) or found)
+    monkeypatch.setattr(kind, "toArrow", lambda df: gathered.append(found := to_arrow(df)) or found)
+    rows = [(i, f"word{i % 2} and {j} more", "en") for i in range(20) for j in range(1 if i else 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = [(i, i % 2, (i + j) % 2) for i in range(20) for j in range(1 if i else 30)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    quality.train(docs, labels)
+    assert len(gathered.pop()) == 20
+    toxicity.train(docs, labels, {"toxic": (F.col("toxic") == 1) & (F.col("lang") == "en")})
+    found = gathered.pop()
+    assert found.num_rows == 20
+    flags = dict(zip(found["doc_id"].to_pylist(), found["labels"].to_pylist(), strict=True))
+    assert flags == {i: [1 if i == 0 else i % 2] for i in range(20)}
