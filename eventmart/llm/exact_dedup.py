@@ -4,11 +4,12 @@ Every document gets a 64-bit hash of its normalised text (A-Z lower-cased; null
 counts as empty). The directory names a bucket by the top bits of the hash: all
 buckets start with ``start_depth`` bits, and while a bucket holds more than
 ``capacity`` keys the directory is doubled for it, which splits the bucket by
-its next bit, up to ``max_depth`` bits. Buckets are key ranges. The texts of a
-bucket meet in a grouping by (bucket, hash, text), where equal hashes with
-unequal bytes stay apart as links of one chain. The index has one row per link
+its next bit, up to ``max_depth`` bits. Buckets are key ranges. The texts meet
+in a grouping by (hash, text), which takes the place of the buckets: the
+directory only labels the index. Equal hashes with unequal bytes stay apart as
+links of one chain. The index has one row per link
 with the row that stays, the group's size and its SHA-256; owner tasks write it,
-each the buckets of one key range, to the shared folder.
+each one range of hashes, to the shared folder.
 
 Everything is DataFrame work. The grouping combines before the shuffle, so a
 text that a third of all rows share is one row per task; documents then look up
