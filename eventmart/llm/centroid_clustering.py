@@ -161,7 +161,7 @@ def _seeds(whole: DataFrame, name: str, id_col: str, k: int, seed: int) -> np.nd
     """The ``k`` vectors with the least SHA-256 of ``seed:id``; only they reach the driver."""
     ident = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = whole.select(F.sha2(ident, 256).alias("h"), F.col(name).alias("v")).orderBy("h", "v").limit(k).collect()
-    return np.array([r.v for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r.v for r in rows], np.int64).reshape(len(rows), len(rows[0].v) if rows else 0)
 
 
 def _moved(whole: DataFrame, name: str, rows: np.ndarray) -> np.ndarray:

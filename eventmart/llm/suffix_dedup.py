@@ -6,7 +6,9 @@ bytes. Matches never cross documents.
 
 *Classes.* Equal texts are one class, held by its least id; the classes lie in a
 table bucketed by ``piece_group``, so that the three passes below read their texts
-without moving them again.
+without moving them again. Texts with more than ``COMMON`` copies (and more than one
+row in ``HOT_TEXTS``, so their digests, which are broadcast, are at most that many)
+collapse in the tasks that read them.
 
 *Candidates.* A window of ``min_length`` bytes is named by the least hash among its
 ``GRAM``-byte strings, and neighbouring windows of one name are a run. Equal windows
@@ -42,16 +44,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import free_name, stored, text_or_empty, workers_import
 from eventmart.session import work_dir
+from eventmart.sources.files import delete
 
 MIN_LENGTH = 50
 GRAM = 20
 GROUP_BYTES = 8 << 20
 HOT_GROUPS = 2000
+COMMON, HOT_TEXTS = 1000, 100_000
 STEP = 1 << 15
 LONGEST_RUN = 4096
 LOW = np.uint64((1 << 40) - 1)
@@ -235,19 +240,19 @@ def _shared_names(hot_groups: int):
     return shared
 
 
-def _packets(group: int, part: np.ndarray, kind: int, columns: list[np.ndarray], pieces: list[bytes], parts: int) -> pa.Table:
+def _packets(group: int, part: np.ndarray, kind: int, columns: list[np.ndarray], pieces: list[bytes]) -> pa.Table:
     """Rows of ``PACKET``, one per part, from columns already in order of part."""
     have, first = np.unique(part, return_index=True)
     edges = np.append(first, len(part))
-    ends = np.concatenate(([0], np.cumsum([len(p) for p in pieces]))).astype(np.int64) if pieces else np.zeros(len(part) + 1, np.int64)
-    body = np.frombuffer(b"".join(pieces), np.uint8)
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    bodies = [squeeze(b"".join(pieces[a:b])) for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
     return pa.table(
         {
             "part": pa.array(have, pa.int32()),
             "piece_group": pa.array(np.full(len(have), group), pa.int32()),
             "kind": pa.array(np.full(len(have), kind), pa.int32()),
             **{n: _binary(c, edges) for n, c in zip(("idx", "name", "owner", "size"), columns, strict=True)},
-            "data": _binary(body, ends[edges]),
+            "data": pa.array(bodies, pa.binary()),
         }
     )
 
@@ -303,7 +308,7 @@ def _candidate_runs(min_length: int, parts: int):
         sent = _packets(
             group, part[order], 0,
             [order.astype(np.int32), keys[order], lead[order], size[order]],
-            [pieces[i] for i in order.tolist()], parts,
+            [pieces[i] for i in order.tolist()],
         )
         later = (owner[doc] > lead[which]).astype(np.int32) if len(doc) else np.zeros(0, np.int32)
         state = np.stack([doc.astype(np.int32), first.astype(np.int32), count.astype(np.int32), later], 1).ravel()
@@ -372,9 +377,10 @@ def _factor_task(min_length: int, most: int = 1 << 18):
         name, _ = _values(table["name"], np.uint64)
         owner, _ = _values(table["owner"], np.int64)
         size, _ = _values(table["size"], np.int32)
-        data, _ = _values(table["data"], np.uint8)
+        loosen = zstandard.ZstdDecompressor().decompress
+        body = b"".join(loosen(d.as_py()) for d in table["data"])
         del table, held
-        body = data.tobytes()
+        data = np.frombuffer(body, np.uint8)
         ends = np.cumsum(size.astype(np.int64))
         starts = ends - size
         # Equal runs of all groups: one class with its least owner.
@@ -537,23 +543,23 @@ def _class_results(docs: DataFrame, min_length: int, hot_groups: int, group_byte
     setting = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(setting, -(-total // (4 * group_bytes))), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     groups = 4 * buckets
-    classes = (
-        docs.groupBy("_digest")
-        .agg(F.min("_id").alias("owner"), F.first("_text").alias("_text"))
-        .select(
-            F.pmod(F.xxhash64("_digest"), F.lit(groups)).cast("int").alias("piece_group"),
-            F.col("_digest").alias("digest"),
-            "owner",
-            F.encode("_text", "UTF-8").alias("data"),
-        )
+    grouped = lambda rows: rows.withColumn(
+        "piece_group", F.pmod(F.xxhash64("_digest"), F.lit(groups)).cast("int")
     )
-    name = f"suffix_classes_{uuid.uuid4().hex}"
-    (
-        classes.repartition(buckets, "piece_group")
-        .write.bucketBy(buckets, "piece_group")
-        .option("path", work_dir(spark, "suffix-classes"))
-        .saveAsTable(name)
+    # Texts move once. The commonest ones, at most HOT_TEXTS, are one row per task
+    # before they do; copies of others meet in the task that owns their group.
+    owners = docs.groupBy("_digest").agg(F.count(F.lit(1)).alias("n"))
+    rows = owners.agg(F.sum("n")).first()[0] or 0
+    hot = owners.where(F.col("n") > max(COMMON, rows // HOT_TEXTS)).select("_digest")
+    one = lambda rows, *by: rows.groupBy(*by, "_digest").agg(F.min("_id").alias("_id"), F.first("_text").alias("_text"))
+    common = one(docs.join(F.broadcast(hot), "_digest"))
+    others = docs.join(F.broadcast(hot), "_digest", "left_anti").select(common.columns)
+    placed = grouped(others.unionByName(common)).repartition(buckets, "piece_group")
+    classes = one(placed, "piece_group").select(
+        "piece_group", F.col("_digest").alias("digest"), F.col("_id").alias("owner"), F.encode("_text", "UTF-8").alias("data")
     )
+    name, path = f"suffix_classes_{uuid.uuid4().hex}", work_dir(spark, "suffix-classes")
+    classes.write.bucketBy(buckets, "piece_group").option("path", path).saveAsTable(name)
     try:
         held = spark.table(name)
         by_group = held.groupBy("piece_group")
@@ -569,6 +575,7 @@ def _class_results(docs: DataFrame, min_length: int, hot_groups: int, group_byte
         return stored(cut, "suffix-cuts")
     finally:
         spark.sql(f"drop table if exists {name}")
+        delete(spark, path)
 
 
 def find_repeats(
