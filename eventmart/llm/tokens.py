@@ -3,8 +3,8 @@
 The word vocabulary lower-cases a text, drops white space and cuts the rest into
 pieces by a pattern of its own; the ids of a text are those of its pieces in turn.
 Pieces repeat far more than texts do: each new one is handed to the library's
-model, and its ids are kept as bytes in a bounded table per worker, so that a text
-is one search by the pattern and one join of byte strings. Only characters of which
+model, and its ids are kept as bytes in a bounded table per worker, as are those of
+whole words, so that a text is one split at white space and one join of byte strings. Only characters of which
 it is certain that they need no normalising are cut here; chunks with others go
 through the library's whole path (normaliser, pattern, byte level).
 """
@@ -58,17 +58,23 @@ class ChunkIds:
         self.signs = byte_signs()
         self.most = most
         self.known = _Known(self._piece)
+        self.words = _Known(self._word)
 
     def _piece(self, piece: str) -> bytes:
         signs = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
         return array("I", [t.id for t in self.tokenize(signs)]).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, PIECES.findall(word)))
+
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.known.__getitem__, PIECES.findall(text.lower())))
+        # No piece spans white space, which is dropped: a word's pieces are its own.
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) > self.most:
-            self.known.clear()
+        for table in (self.known, self.words):
+            if len(table) > self.most:
+                table.clear()
         if not ODD.search(text) and "<|" not in text:
             return self._plain(text)
         out = []
