@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def block_units(members: DataFrame, group: str, member: str, size: int) -> DataFrame:
+def block_units(members: DataFrame, group: str, member: str, size: int, weight: str = "1") -> DataFrame:
     """One row per member and unit: the members' columns with ``unit`` (long) and
-    ``side`` (0: first block, 1: second, 2: a unit of one block against itself)."""
-    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    ``side`` (0: first block, 1: second, 2: a unit of one block against itself).
+    ``size`` bounds a block's expected sum of ``weight`` (members by default)."""
+    counts = members.groupBy(group).agg(F.sum(F.expr(weight)).alias("_n"), F.count(F.lit(1)).alias("_many"))
+    counts = counts.where("_many > 1").drop("_many")
     blocks = F.ceil(F.col("_n") / F.lit(size)).cast("int")
     dealt = members.join(counts, group).withColumn("_blocks", blocks)
     own = F.pmod(F.xxhash64(F.lit("block"), member), F.col("_blocks")).cast("int")

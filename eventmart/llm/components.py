@@ -51,8 +51,11 @@ def components(pairs: DataFrame) -> DataFrame:
             labels = label.select("node", F.col("label").alias("component"))
         else:
             later = label.select(F.col("node").alias("component"), "label")
-            labels = labels.join(later, "component", "left").select(
-                "node", F.coalesce("label", "component").alias("component")
+            labels = stored(
+                labels.join(later, "component", "left").select(
+                    "node", F.coalesce("label", "component").alias("component")
+                ),
+                "labels",
             )
         edges = stored(_simple(F.col("la"), F.col("lb"), edges.join(of_a, "a").join(of_b, "b")), "edges")
         turn += 1

@@ -12,11 +12,11 @@ everything after works on classes, so copies cost nothing.
 
 *Links.* What counts is which classes are connected, so a bucket is first compared
 in two star rounds, every member with one leader, which makes no more pairs than
-members. What is still apart in a bucket is compared in full: buckets of up to
-``BLOCK`` members give the pairs whose signatures are within six standard
-deviations of the threshold, larger ones are compared block by block inside
-tasks, from their sets, and only links come out. Every link is confirmed on the
-full sets by whole numbers: ``100 * both >= percent * either``.
+members. Buckets whose members are still apart are compared in full inside tasks,
+from the full sets and block by block, whatever their size: a block holds about
+``BLOCK`` shingles, so a bucket of small sets is one unit. Out come spanning forests of
+the components a unit links, fewer rows than it has members. Every link is confirmed
+on the full sets by whole numbers: ``100 * both >= percent * either``.
 
 Defined results: words are runs of bytes other than space and 0x09-0x0D, A-Z
 lower-cased. With fewer words than a shingle has, the whole sequence is the one
@@ -43,7 +43,8 @@ from eventmart.llm.common import stored, text_or_empty, workers_import
 from eventmart.llm.components import components
 
 BANDS, ROWS = 20, 4
-BLOCK = 128
+# Shingles and members of a block, as expected.
+BLOCK, MOST = 1 << 19, 1024
 CHUNK = 1 << 15
 
 # Odd multipliers of the mixing steps and the shift between coordinates.
@@ -108,7 +109,6 @@ def _sketcher(k: int, bands: int, rows: int):
             full = [i for i, s in enumerate(sets) if len(s)]
             node: list[bytes | None] = [None] * len(sets)
             keys: list = [None] * len(sets)
-            low: list[bytes | None] = [None] * len(sets)
             if full:
                 sig = signatures([sets[i] for i in full], bands * rows)
                 key = np.zeros((len(full), bands), dtype=np.uint64)
@@ -117,11 +117,9 @@ def _sketcher(k: int, bands: int, rows: int):
                     key *= MIX[r % 3]
                     key ^= key >> np.uint64(31)
                 key = key.view(np.int64)
-                low8 = (sig & np.uint32(255)).astype(np.uint8)
                 for j, i in enumerate(full):
                     node[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     keys[i] = key[j]
-                    low[i] = low8[j].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -129,9 +127,8 @@ def _sketcher(k: int, bands: int, rows: int):
                     pa.array(node, pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(low, pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "node", "n_shingles", "bands", "low"],
+                names=["doc_id", "text_hash", "node", "n_shingles", "bands"],
             )
 
     return sketch
@@ -170,64 +167,72 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_similar(percent)).select("a", "b")
 
 
-def _near_in_bucket(percent: int, coordinates: int):
-    """Pairs of a small bucket that are apart so far and may be similar."""
-    p = percent / 100
-    least = (p - 6 * (p * (1 - p) / coordinates) ** 0.5) * coordinates
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for unit in each_unit(batches):
-            low = np.frombuffer(b"".join(unit["low"]), dtype=np.uint8).reshape(len(unit), -1)
-            n = unit["n"].to_numpy()
-            comp = unit["comp"].to_numpy()
-            node = unit["node"].to_numpy()
-            out = []
-            for i in range(1, len(unit)):
-                same = (low[:i] == low[i]).sum(axis=1)
-                fits = 100 * np.minimum(n[:i], n[i]) >= percent * np.maximum(n[:i], n[i])
-                for j in np.flatnonzero((same >= least) & fits & (comp[:i] != comp[i])):
-                    x, y = (i, j) if node[i] < node[j] else (j, i)
-                    out.append((node[x], node[y], n[x], n[y]))
-            if out:
-                yield pd.DataFrame(out, columns=["a", "b", "na", "nb"])
-
-    return pairs
+def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Of (n, 2) pairs of small integers those that join what was apart: a spanning forest."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept = []
+    for x, y in pairs.tolist():
+        a, b = find(x), find(y)
+        if a != b:
+            root[b] = a
+            kept.append((x, y))
+    return kept
+
+
+def _intersections(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``first`` with the sets ``second``."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    start = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    times = np.diff(np.append(start, len(flat)))
+    index = np.repeat(np.cumsum(times > 1) - 1, times)
+    shared = np.repeat(times > 1, times)  # values of one set only count for nothing
+    owner, index = owner[shared], index[shared]
+    both = np.zeros((len(first), len(second)), dtype=np.float32)
+    row, column = np.full(len(sets), -1), np.full(len(sets), -1)
+    row[first], column[second] = np.arange(len(first)), np.arange(len(second))
+    wide = 4096
+    n = int(index[-1]) + 1 if len(index) else 0
+    edges = np.searchsorted(index, np.arange(0, n + wide, wide))
+    for i in range(len(edges) - 1):
+        o, c = owner[edges[i] : edges[i + 1]], index[edges[i] : edges[i + 1]] - i * wide
+        a = np.zeros((len(first), wide), dtype=np.float32)
+        b = np.zeros((len(second), wide), dtype=np.float32)
+        m = row[o] >= 0
+        a[row[o[m]], c[m]] = 1
+        m = column[o] >= 0
+        b[column[o[m]], c[m]] = 1
+        both += a @ b.T
+    return np.rint(both).astype(np.int64)
 
 
 def _linked_in_blocks(percent: int):
-    """Links between the members of two blocks that are apart so far."""
+    """Links between the members of two blocks that are apart so far, as pairs of their
+    components: a spanning forest, so at most one row less than a unit has components."""
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in each_unit(batches):
+            comp, index = np.unique(unit["comp"].to_numpy(), return_inverse=True)
             side = unit["side"].to_numpy()
             first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            if not len(first) or not len(second):
+            if len(comp) < 2 or not len(first) or not len(second):
                 continue
-            n, comp, node = (unit[c].to_numpy() for c in ("n", "comp", "node"))
-            sets = unit["shingles"].to_numpy()
-            values, index = np.unique(np.concatenate(sets), return_inverse=True)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            both = np.zeros((len(first), len(second)), dtype=np.float32)
-            place = np.full(len(sets), -1)
-            place[first] = np.arange(len(first))
-            other = np.full(len(sets), -1)
-            other[second] = np.arange(len(second))
-            for start in range(0, len(values), 8192):
-                inside = (index >= start) & (index < start + 8192)
-                o, c = owner[inside], index[inside] - start
-                a = np.zeros((len(first), 8192), dtype=np.float32)
-                b = np.zeros((len(second), 8192), dtype=np.float32)
-                m = place[o] >= 0
-                a[place[o[m]], c[m]] = 1
-                m = other[o] >= 0
-                b[other[o[m]], c[m]] = 1
-                both += a @ b.T
-            inter = np.rint(both).astype(np.int64)
+            n = unit["n"].to_numpy()
+            inter = _intersections(list(unit["shingles"]), first, second)
             either = n[first][:, None] + n[second][None, :] - inter
-            linked = (100 * inter >= percent * either) & (comp[first][:, None] != comp[second][None, :])
+            linked = (100 * inter >= percent * either) & (index[first][:, None] != index[second][None, :])
             x, y = np.nonzero(linked)
-            if len(x):
-                yield pd.DataFrame({"a": node[first[x]], "b": node[second[y]]})
+            kept = _forest(np.unique(np.stack([index[first[x]], index[second[y]]], 1), axis=0))
+            if kept:
+                yield pd.DataFrame({"a": [comp[i] for i, _ in kept], "b": [comp[j] for _, j in kept]})
 
     return links
 
@@ -251,8 +256,7 @@ def minhash_classes(
     sketched = stored(
         source.mapInArrow(
             _sketcher(shingle, bands, rows),
-            f"doc_id {id_type}, text_hash bigint, node binary, n_shingles bigint, "
-            "bands array<bigint>, low binary",
+            f"doc_id {id_type}, text_hash bigint, node binary, n_shingles bigint, bands array<bigint>",
         ),
         "sketches",
     )
@@ -264,7 +268,6 @@ def minhash_classes(
             F.min("doc_id").alias("least_id"),
             F.max("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
-            F.first("low").alias("low"),
             F.count(F.lit(1)).alias("size"),
         ),
         "classes",
@@ -305,15 +308,15 @@ def minhash_classes(
     labels = stored(components(links), "components")
 
     # What is still apart inside a bucket.
-    placed = members.select("bucket", "members", "node", "n").join(labels, "node", "left").select(
-        "bucket", "members", "node", "n", F.coalesce("component", "node").alias("comp")
+    placed = members.select("bucket", "node", "n").join(labels, "node", "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("comp")
     )
     still_open = (
         placed.groupBy("bucket")
         .agg(
             F.min("comp").alias("c0"),
             F.max("comp").alias("c1"),
-            F.max("members").alias("members"),
+            F.count(F.lit(1)).alias("members"),
             F.min("node").alias("n0"),
             F.max("node").alias("n1"),
             F.sum(F.xxhash64("node") % 2**40).alias("mark"),
@@ -324,43 +327,37 @@ def minhash_classes(
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket")
     )
-    rest = stored(placed.join(still_open, "bucket").drop("component"), "rest")
-    more = []
-    small, large = rest.where(F.col("members") <= BLOCK), rest.where(F.col("members") > BLOCK)
-    if not small.isEmpty():
-        low = small.join(classes.select("node", "low"), "node")
-        near = units_together(low.select(F.col("bucket").alias("unit"), "node", "n", "comp", "low"))
-        near = near.mapInPandas(
-            _near_in_bucket(percent, bands * rows), "a binary, b binary, na bigint, nb bigint"
+    rest = stored(placed.join(still_open, "bucket").select("bucket", "node", "n", "comp"), "rest")
+    if not rest.isEmpty():
+        full = rest.join(sets.dropDuplicates(["node"]), "node")
+        units = units_together(block_units(full, "bucket", "node", BLOCK, f"greatest(n, {BLOCK // MOST})"))
+        between = stored(
+            units.select("unit", "side", "node", "n", "comp", "shingles").mapInPandas(
+                _linked_in_blocks(percent), "a binary, b binary"
+            ),
+            "links",
         )
-        more.append(stored(confirmed(near.distinct(), sets, percent), "links"))
-    if not large.isEmpty():
-        full = large.select("bucket", "node", "n", "comp").join(sets.dropDuplicates(["node"]), "node")
-        units = units_together(block_units(full, "bucket", "node", BLOCK))
-        found = units.select("unit", "side", "node", "n", "comp", "shingles").mapInPandas(
-            _linked_in_blocks(percent), "a binary, b binary"
-        )
-        more.append(stored(found, "links"))
-    for found in more:
-        if not found.isEmpty():
-            # The components linked now are few: their graph is the one to join up.
-            between = _between(found, labels)
-            joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("joined"))
-            known = labels.union(between.select(F.col("a"), F.col("a"))).union(between.select(F.col("b"), F.col("b")))
-            known = known.groupBy("node").agg(F.min("component").alias("component"))
-            known = known.join(joined, "component", "left")
-            labels = stored(
-                known.select("node", F.coalesce("joined", "component").alias("component")), "components"
-            )
+        # The components linked now are few: their graph is the one to join up.
+        joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        known = labels.union(between.select(F.col("a"), F.col("a"))).union(between.select(F.col("b"), F.col("b")))
+        known = known.groupBy("node").agg(F.min("component").alias("component")).join(joined, "component", "left")
+        labels = stored(known.select("node", F.coalesce("joined", "component").alias("component")), "components")
 
     # Only classes of several documents or with links need a lookup.
-    grouped = classes.select("node", "least_id", "size").join(labels, "node", "left").select(
-        "node", "least_id", "size", F.coalesce("component", "node").alias("component")
+    # Both are stored, so that the join is of two plain shuffles, which Spark may split.
+    grouped = stored(
+        classes.select("node", "least_id", "size").join(labels, "node", "left").select(
+            "node", "least_id", "size", F.coalesce("component", "node").alias("component")
+        ),
+        "grouped",
     )
-    least = grouped.groupBy("component").agg(
-        F.min("least_id").alias("component_id"), F.sum("size").alias("group_size")
+    least = stored(
+        grouped.groupBy("component")
+        .agg(F.min("least_id").alias("component_id"), F.sum("size").alias("group_size"))
+        .where("group_size > 1"),
+        "least",
     )
-    looked_up = grouped.join(least.where("group_size > 1"), "component").select(
+    looked_up = grouped.join(least, "component").select(
         "node", "component_id", F.lit(True).alias("_grouped")
     )
     out = sketched.select("doc_id", "text_hash", "node", "n_shingles").join(looked_up, "node", "left")
@@ -370,14 +367,6 @@ def minhash_classes(
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links as pairs of components; a node that is in none stands for itself."""
-    la = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    lb = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = links.join(la, "a", "left").join(lb, "b", "left")
-    return joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-
-
 def keep_one_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
     """The documents that stay, with all their columns (id in doc_id)."""
     stays = minhash_classes(docs, percent, shingle).where("kept").select(
