@@ -7,8 +7,8 @@ all windows, with far fewer rows: each window is stood for by its least run of
 ``n // 4`` words, by hash (its anchor), which equal windows have in common.
 Neighbouring windows with one anchor are a unit, one row in about twenty words.
 
-Units whose anchor is met only once are left out. Equal units (anchor and all
-words) are compared as a whole. Where one anchor has unequal units, as at the
+Equal units (anchor and all words) are one class and compared as a whole; where a
+class has several members, all but the first are repeats. Where one anchor has unequal units, as at the
 ends of a copied passage, the first of each is taken apart into its windows.
 Hashes are of 64 bits for the anchor and 64 others for the words.
 """
@@ -169,18 +169,21 @@ def _windows(n: int):
     return run
 
 
-def _repeats(found: DataFrame) -> DataFrame:
+PLACE = ("doc_id", "text_hash", "start", "first_end", "end")
+
+
+def _classes(found: DataFrame) -> DataFrame:
+    """Equal units as one row: the first place and how many there are."""
+    return found.groupBy("value", "words").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("n"))
+
+
+def _repeats(found: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows of ``found`` that have an equal one before them, as stretches to cut.
-    What an equal window in the same document overlaps with stays with that one."""
-    place = F.struct("doc_id", "text_hash", "start", "first_end")
-    firsts = (
-        found.groupBy("value", "words")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("value", "words", "first")
-    )
-    firsts = stored(firsts, "firsts")  # so that the join is of two plain shuffles, which Spark may split
-    repeats = found.join(firsts, ["value", "words"]).where(~place.eqNullSafe(F.col("first")))
+    What an equal window in the same document overlaps with stays with that one.
+    ``classes`` is a stored table, so that the join is of two plain shuffles, which
+    Spark may split."""
+    firsts = classes.where("n > 1").select("value", "words", "first")
+    repeats = found.join(firsts, ["value", "words"]).where(~F.struct(*PLACE).eqNullSafe(F.col("first")))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     start = F.when(own, F.greatest("start", F.col("first.first_end") + 1)).otherwise(F.col("start"))
     return repeats.select("doc_id", "text_hash", start.alias("start"), "end").distinct()
@@ -193,18 +196,13 @@ def repeated_stretches(source: DataFrame, n: int) -> DataFrame:
     id_type = source.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {id_type}, text_hash bigint, value bigint, words bigint, start int, end int, first_end int"
     units = sized.mapInArrow(_units(n), shape)
-    shared = (
-        units.groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"), (F.min("words") != F.max("words")).alias("mixed"))
-        .where("n > 1")
-        .select("value", "mixed")
-    )
-    shared = stored(shared, "shared")
-    met = stored(units.join(shared, "value"), "met")
-    place = F.struct("doc_id", "text_hash", "start", "end")
-    apart = met.where("mixed").groupBy("value", "words").agg(F.min(place).alias("first"))
+    # Equal units are one row before anything is joined: a passage that a third of
+    # all documents share is as many rows as it has units.
+    classes = stored(_classes(units), "unit-classes")
+    mixed = classes.groupBy("value").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("value")
     parts = (
-        apart.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+        classes.join(mixed, "value")
+        .groupBy(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
         .agg(F.collect_list(F.struct("first.start", "first.end")).alias("parts"))
     )
     same = parts["_id"].eqNullSafe(sized["doc_id"]) & (parts["_hash"] == sized["text_hash"])
@@ -214,4 +212,4 @@ def repeated_stretches(source: DataFrame, n: int) -> DataFrame:
         .mapInArrow(_windows(n), shape),
         "windows",
     )
-    return _repeats(met).unionByName(_repeats(windows))
+    return _repeats(units, classes).unionByName(_repeats(windows, stored(_classes(windows), "window-classes")))
