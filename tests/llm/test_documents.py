@@ -117,7 +117,10 @@ def test_minhash_equals_brute_force(sample, k, percent):
 
 def test_minhash_large_groups_in_blocks(spark, monkeypatch):
     """Chains of near copies, compared in blocks smaller than the group."""
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 250)
+    given_off = []
+    keep = minhash_dedup.stored
+    monkeypatch.setattr(minhash_dedup, "stored", lambda df, name: given_off.append((name, out := keep(df, name))) or out)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(60)]
     rows = []
@@ -130,6 +133,20 @@ def test_minhash_large_groups_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in minhash_dedup.minhash_classes(docs, 85, 3).collect()}
     assert got == {i: rows[r][0] for (i, _), r in zip(rows, roots, strict=True)}
+    # Every bucket unit gives off fewer links than it has members.
+    assert all(df.count() < 60 * 20 * 2 for name, df in given_off if name == "links")
+
+
+def test_minhash_links_of_a_group_are_a_forest():
+    import pandas as pd
+
+    n = 40
+    sets = [np.arange(100, dtype=np.int64) + (i % 3) for i in range(n)]
+    unit = pd.DataFrame(
+        {"unit": 1, "side": 2, "node": [bytes([i]) for i in range(n)], "n": 100, "comp": [bytes([i]) for i in range(n)], "shingles": sets}
+    )
+    links = pd.concat(minhash_dedup._linked_in_blocks(85)(iter([unit])))
+    assert len(links) == n - 1
 
 
 def test_minhash_edges(edges, none):
