@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-from eventmart.operators.dims import SECONDS_PER_DAY, Star
+from eventmart.operators.dims import DIM_TIME_BYTES, Star
 from eventmart.operators.lookup import lookup
 from eventmart.operators.topk import top_k
 
@@ -56,7 +56,7 @@ def at_grain(
     if by_date:
         rows = lookup(rows, star.date, {"date_id": "date_id"}, by_date)
     if by_time:
-        rows = lookup(rows, star.time, {"time_id": "time_id"}, by_time, rows=SECONDS_PER_DAY)
+        rows = lookup(rows, star.time, {"time_id": "time_id"}, by_time, size=DIM_TIME_BYTES)
     return rows.select(*columns, *keep)
 
 

@@ -11,17 +11,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart import schemas
+from eventmart import schemas, session
 from eventmart.functions.calendar import clock_key, with_calendar
 from eventmart.functions.keys import location_key, song_key
 from eventmart.operators.conform import Activity
-from eventmart.operators.lookup import fits
+from eventmart.operators.lookup import BROADCAST_BYTES, row_bytes
 from eventmart.operators.sets import except_distinct, union_all
 
 SECONDS_PER_DAY = 86_400
+# Its keys are six digits: no row takes more than 64 bytes.
+DIM_TIME_BYTES = 64 * SECONDS_PER_DAY
 
 
 class Star(NamedTuple):
@@ -116,21 +118,32 @@ def dim_location(activity: Activity) -> DataFrame:
     return _identified("dim_location", _locations(activity))
 
 
+def _candidates(name: str, activity: Activity) -> tuple[DataFrame, int]:
+    """The members of ``activity``, stored once, and their bytes, measured as they are
+    written: the events are read by this one job only."""
+    build, natural_key = _BUILDERS[name]
+    found = build(activity).select(*natural_key)
+    spark, seen = found.sparkSession, Observation()
+    path = session.work_dir(spark, f"candidates-{name}")
+    found.observe(seen, F.sum(row_bytes(found)).alias("bytes")).write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path), seen.get["bytes"] or 0
+
+
 def new_members(name: str, activity: Activity, stored: DataFrame) -> DataFrame:
     """Members of ``activity`` that the stored dimension ``name`` lacks.
 
-    The candidates are grouped once and, if their counted size allows, sent to
+    The candidates are grouped once and, if their measured bytes allow, sent to
     the scan of the stored dimension, which gives back those it has: stored rows
     are read and not moved. Beyond that size both sides meet in one grouping.
     """
-    build, natural_key = _BUILDERS[name]
-    candidates = build(activity).select(*natural_key)
+    candidates, size = _candidates(name, activity)
+    natural_key = list(_BUILDERS[name][1])
     known = stored.select(*natural_key)
-    if not fits(candidates, candidates.count()):
+    if size > BROADCAST_BYTES:
         return _identified(name, except_distinct(candidates, known))
-    # Members are complete, so plain equality finds them.
-    met = known.join(F.broadcast(candidates), list(natural_key), "left_semi")
-    return _identified(name, candidates.join(F.broadcast(met), list(natural_key), "left_anti"))
+    # Members are complete, so plain equality finds them; those met are no more than sent.
+    met = known.join(F.broadcast(candidates), natural_key, "left_semi")
+    return _identified(name, candidates.join(F.broadcast(met), natural_key, "left_anti"))
 
 
 def star(spark: SparkSession, activity: Activity) -> Star:

@@ -20,7 +20,7 @@ from eventmart import schemas
 from eventmart.functions.calendar import date_key, time_key, with_calendar
 from eventmart.functions.keys import location_key, song_key
 from eventmart.operators import dims
-from eventmart.operators.lookup import lookup
+from eventmart.operators.lookup import lookup, measure
 from eventmart.operators.sets import except_distinct
 
 EVENT_SONG_KEY = ("song", "artist", "duration")
@@ -35,7 +35,7 @@ def _check(user_match: str, method: str) -> None:
 
 def lookup_time(events: DataFrame, dim_time: DataFrame) -> DataFrame:
     on = {c: c for c in schemas.TIME_KEY}
-    return lookup(events, dim_time, on, ["time_id"], rows=dims.SECONDS_PER_DAY)
+    return lookup(events, dim_time, on, ["time_id"], size=dims.DIM_TIME_BYTES)
 
 
 def lookup_date(events: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -55,14 +55,14 @@ def lookup_user(
     events: DataFrame,
     dim_user: DataFrame,
     user_match: str = "id",
-    user_rows: int | None = None,
+    user_bytes: int | None = None,
     copies: bool = True,
 ) -> DataFrame:
     """Join with user versions; facts keep the id only.
 
     On ``id`` the versions are counted per user first, so the joined side has
     one row per user, and the copies are made after the join, if they are wanted.
-    ``user_rows`` is the size of ``dim_user`` where it is known.
+    ``user_bytes`` is the measured size of ``dim_user`` where it is known.
     """
     if user_match == "version":
         on = {c: c for c in schemas.USER_KEY}
@@ -70,8 +70,9 @@ def lookup_user(
             "_seen"
         )
     versions = dim_user.groupBy("userId").agg(F.count(F.lit(1)).cast("int").alias("_versions"))
-    rows = dim_user.count() if user_rows is None else user_rows
-    matched = lookup(events, versions, {"userId": "userId"}, ["_versions"], rows=rows)
+    # Ids with a count take no more than the versions they are taken from.
+    size = measure(dim_user) if user_bytes is None else user_bytes
+    matched = lookup(events, versions, {"userId": "userId"}, ["_versions"], size=size)
     if not copies:
         return matched.select(*events.columns)
     copy = F.explode(F.sequence(F.lit(1), F.col("_versions"))).alias("_copy")
@@ -127,7 +128,7 @@ def fact(
     *,
     user_match: str = "version",
     method: str = "key",
-    user_rows: int | None = None,
+    user_bytes: int | None = None,
     copies: bool = True,
 ) -> DataFrame:
     """Build the fact table ``name`` from its topic's conformed events.
@@ -136,7 +137,7 @@ def fact(
     """
     _check(user_match, method)
     build = _by_key if method == "key" else _by_join
-    return build(name, events, star, user_match, user_rows=user_rows, copies=copies)
+    return build(name, events, star, user_match, user_bytes=user_bytes, copies=copies)
 
 
 def fact_listen(events: DataFrame, star: dims.Star | None = None, **options: str) -> DataFrame:

@@ -3,26 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side of at most this many bytes, by its rows and types, is sent to every executor.
+# A side whose measured rows take at most this many bytes is sent to every executor.
 BROADCAST_BYTES = 64 << 20
-TEXT_BYTES = 48  # what a text is taken for
 # Pieces a key is cut into when both sides are shuffled; a power of two.
 SALTS = 16
 
 
-def width(side: DataFrame) -> int:
-    """Bytes of a row, estimated from the column types."""
-    texts = sum(isinstance(f.dataType, T.StringType) for f in side.schema.fields)
-    return 16 + TEXT_BYTES * texts + 8 * (len(side.columns) - texts)
+def row_bytes(side: DataFrame) -> Column:
+    """Bytes of a row in memory: its texts as they are, eight for anything else."""
+    texts = [f.name for f in side.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = F.lit(16 + 8 * len(side.columns)).cast("bigint")
+    return reduce(lambda n, c: n + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)), texts, fixed)
 
 
-def fits(side: DataFrame, rows: int, most: int = BROADCAST_BYTES) -> bool:
-    return rows * width(side) <= most
+def measure(side: DataFrame) -> int:
+    """Bytes of all rows; reads the text columns, and only footers where there are none."""
+    return side.agg(F.sum(row_bytes(side))).first()[0] or 0
 
 
 def lookup(
@@ -31,16 +33,15 @@ def lookup(
     on: Mapping[str, str],
     take: Sequence[str],
     *,
-    rows: int | None = None,
+    size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``events`` with ``members`` and keep ``take`` of the latter.
 
-    ``on`` maps event columns to member columns. ``rows`` is an upper bound on
-    the members where one is known; otherwise they are counted (file footers
-    only, for a stored dimension). Within ``broadcast_bytes`` the members are
-    broadcast and the events do not move.
+    ``on`` maps event columns to member columns. ``size`` is an upper bound on the
+    members' bytes where one is known; otherwise they are measured. Within
+    ``broadcast_bytes`` the members are broadcast and the events do not move.
 
     Beyond it both sides shuffle on the key and a salt. The salt spreads one
     key's events over ``salts`` tasks and the members are repeated once per
@@ -54,9 +55,7 @@ def lookup(
     keys = {left: f"_key_{i}" for i, left in enumerate(on)}
     side = members.select(*[F.col(on[left]).alias(key) for left, key in keys.items()], *take)
     equal = [F.col(left) == F.col(key) for left, key in keys.items()]
-    if rows is None:
-        rows = members.count()
-    if fits(side, rows, broadcast_bytes):
+    if (measure(side) if size is None else size) <= broadcast_bytes:
         matched = events.join(F.broadcast(side), equal)
     elif salts == 1:
         matched = events.join(side, equal)

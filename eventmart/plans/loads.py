@@ -1,8 +1,9 @@
 """The two load jobs of the star schema.
 
-Both take the dates they work on as arguments, write dimensions before facts,
-and can be run again after a failure: keys do not change between runs, the full
-load replaces, and the incremental load adds only what is not stored.
+Both take the dates they work on as arguments, write dimensions before facts, publish
+all tables by one commit, and can be run again after a failure: keys do not change
+between runs, the full load replaces, and the incremental load adds only what is not
+stored.
 
 Nothing is cached: every dimension and fact reads just its own columns, so the
 scans together read little more than each column once, while holding the
@@ -11,20 +12,24 @@ enriched events of all topics would cost more than the scans.
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 from functools import partial
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from eventmart import schemas
 from eventmart.functions.nulls import GUEST_IDS
-from eventmart.operators import dims, facts
+from eventmart.operators import dims, facts, rollups
 from eventmart.operators.conform import Activity, conform
-from eventmart.plans.tables import replace_folder, run_together, write_table
+from eventmart.operators.lookup import measure
+from eventmart.plans.tables import load_folder, run_together, stage_table
+from eventmart.sources import commits
 from eventmart.sources.files import delete
 from eventmart.sources.landed import landed_before, landed_day
-from eventmart.sources.warehouse import read_dim, read_fact, read_star
+from eventmart.sources.warehouse import read_dim, read_fact, read_rollup, read_star, snapshot
 
 _DIMENSIONS = {
     "dim_date": dims.dim_date,
@@ -45,51 +50,85 @@ def full_load(
     as_of: date,
     user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
+    with_rollups: bool = False,
 ) -> None:
     """Rebuild all dimensions and facts from the days before ``as_of``.
 
-    Everything is written to a folder of its own beside ``warehouse_root`` and takes
-    its place only when it is whole; whatever fails before leaves the old tables.
+    ``with_rollups`` keeps the roll-ups of ``operators.rollups`` as well; loads of one
+    warehouse should agree on it. All eight tables are written to folders of their own and published by one commit
+    that takes out the old ones; whatever fails before leaves the old tables, and a
+    reader sees all tables of one load or all of the other.
     One fact per event (``version``) is a scan and a write, as landed rows already
     are grouped by day; matching on the id brings them together by day again.
     """
     activity = _activity(
         lambda topic: landed_before(spark, landed_root, topic, as_of), guest_ids
     )
-    root = warehouse_root.rstrip("/")
-    aside = f"{root}-loading-{uuid.uuid4().hex}"
+    root, load = warehouse_root.rstrip("/"), commits.new_name()
+    with _staged(spark, root, load):
+        added = _stage_all(spark, activity, root, load, user_match)
+        if with_rollups:
+            added |= _stage_rollups(spark, root, load, commits.State(), added)
+    commits.commit(spark, root, lambda now: {"add": added, "remove": list(now.folders)})
+    commits.vacuum(spark, root)
+
+
+@contextmanager
+def _staged(spark: SparkSession, root: str, load: str) -> Iterator[None]:
+    """Take away what a load has written if it fails before it is published."""
     try:
-        _write_all(spark, activity, aside, user_match)
+        yield
     except BaseException:
-        delete(spark, aside)
+        for name in (*schemas.DIMENSIONS, *schemas.FACTS, *rollups.ROLLUPS, "user_numbers"):
+            delete(spark, f"{root}/{load_folder(name, load)}")
         raise
-    replace_folder(spark, aside, root)
 
 
-def _write_all(spark: SparkSession, activity: Activity, root: str, user_match: str) -> None:
+def _together(spark: SparkSession, stages: list[partial]) -> dict[str, dict]:
+    """Staged tables written at once, as entries to add."""
+    return {folder: about for entries in run_together(spark, stages) for folder, about in entries.items()}
+
+
+def _stage_all(spark: SparkSession, activity: Activity, root: str, load: str, user_match: str) -> dict[str, dict]:
     built = {"dim_time": dims.dim_time(spark)}
     built |= {name: build(activity) for name, build in _DIMENSIONS.items()}
-    run_together(
-        spark,
-        [
-            partial(write_table, rows, root, name, "overwrite", rebalance=[])
-            for name, rows in built.items()
-        ],
+    added = _together(
+        spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in built.items()]
     )
     star, by_day, users = None, None, None
     if user_match == "id":
-        star, by_day = read_star(spark, root), ["date_id"]
-        users = star.user.count()
+        star, by_day = read_star(spark, root, commits.State(folders=added)), ["date_id"]
+        users = measure(star.user)
     built = {
-        name: facts.fact(name, events, star, user_match=user_match, user_rows=users)
+        name: facts.fact(name, events, star, user_match=user_match, user_bytes=users)
         for name, events in zip(schemas.FACTS, activity, strict=True)
     }
-    run_together(
+    return added | _together(
         spark,
-        [
-            partial(write_table, rows, root, name, "overwrite", ["date_id"], by_day)
-            for name, rows in built.items()
-        ],
+        [partial(stage_table, rows, root, name, load, ["date_id"], by_day) for name, rows in built.items()],
+    )
+
+
+def _stage_rollups(
+    spark: SparkSession, root: str, load: str, before: commits.State, added: dict[str, dict]
+) -> dict[str, dict]:
+    """What this load's facts add to the roll-ups, from its staged facts."""
+    new = commits.State(folders=added)
+    listens, auth = (read_fact(spark, root, name, None, new) for name in ("fact_listen", "fact_auth"))
+    known = read_rollup(spark, root, "user_numbers", before)
+    first = known.agg(F.max("number")).first()[0]
+    numbers = rollups.number_users(
+        auth.where("success"), None if first is None else known, 0 if first is None else first + 1
+    )
+    staged = stage_table(numbers, root, "user_numbers", load, rebalance=[])
+    everyone = read_rollup(spark, root, "user_numbers", commits.State(folders=before.folders | staged))
+    built = {
+        "rollup_songs": rollups.plays(listens, "song_id"),
+        "rollup_places": rollups.plays(listens, "location_id"),
+        "rollup_logins": rollups.logins(auth, everyone),
+    }
+    return staged | _together(
+        spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in built.items()]
     )
 
 
@@ -101,8 +140,9 @@ def incremental_load(
     as_of: date,
     user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
+    with_rollups: bool = False,
 ) -> None:
-    """Add one landed day: first its new dimension members, then its new facts.
+    """Add one landed day, its new dimension members and its new facts, by one commit.
 
     ``process_date`` must be over at ``as_of``. Landed days are UTC days of the
     event time, so the stored facts to compare with are one partition.
@@ -112,32 +152,35 @@ def incremental_load(
     activity = _activity(
         lambda topic: landed_day(spark, landed_root, topic, process_date), guest_ids
     )
-    added = {}
-    for name in _DIMENSIONS:
-        added[name] = dims.new_members(name, activity, read_dim(spark, warehouse_root, name))
-    run_together(
-        spark,
-        [
-            partial(write_table, rows, warehouse_root, name, "append", rebalance=[])
-            for name, rows in added.items()
-        ],
-    )
-    star, users = None, None
-    if user_match == "id":
-        star = read_star(spark, warehouse_root)
-        users = star.user.count()
-    date_ids = [process_date.strftime("%Y%m%d")]
-    added = {}
-    for name, events in zip(schemas.FACTS, activity, strict=True):
-        built = facts.fact(
-            name, events, star, user_match=user_match, user_rows=users, copies=False
+    root, load = warehouse_root.rstrip("/"), commits.new_name()
+    seen = snapshot(spark, root)
+    with _staged(spark, root, load):
+        known = {name: read_dim(spark, root, name, seen) for name in _DIMENSIONS}
+        found = run_together(spark, [partial(dims.new_members, n, activity, stored) for n, stored in known.items()])
+        members = dict(zip(known, found, strict=True))
+        added = _together(
+            spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in members.items()]
         )
-        stored = read_fact(spark, warehouse_root, name, date_ids)
-        added[name] = facts.new_facts(built, stored, user_match)
-    run_together(
-        spark,
-        [
-            partial(write_table, rows, warehouse_root, name, "append", ["date_id"], [])
-            for name, rows in added.items()
-        ],
-    )
+        star, users = None, None
+        if user_match == "id":
+            star = read_star(spark, root, commits.State(folders=seen.folders | added))
+            users = measure(star.user)
+        date_ids = [process_date.strftime("%Y%m%d")]
+        built = {}
+        for name, events in zip(schemas.FACTS, activity, strict=True):
+            rows = facts.fact(name, events, star, user_match=user_match, user_bytes=users, copies=False)
+            stored = read_fact(spark, root, name, date_ids, seen)
+            built[name] = facts.new_facts(rows, stored, user_match)
+        added |= _together(
+            spark, [partial(stage_table, rows, root, name, load, ["date_id"], []) for name, rows in built.items()]
+        )
+
+        if with_rollups:
+            added |= _stage_rollups(spark, root, load, seen, added)
+
+        def change(now: commits.State) -> dict:
+            if now.folders != seen.folders:
+                raise RuntimeError("another load was published meanwhile; nothing was added, run again")
+            return {"add": added}
+
+        commits.commit(spark, root, change)

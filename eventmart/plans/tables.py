@@ -2,30 +2,40 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.sources.files import delete, path_exists, rename
-from eventmart.sources.landed import topic_path
-from eventmart.sources.warehouse import table_path
+from eventmart import schemas
+from eventmart.operators.rollups import ROLLUPS, USER_NUMBERS
+from eventmart.sources import commits
+from eventmart.sources.landed import land_rows
+from eventmart.sources.warehouse import folders_of
 
 MODES = ("overwrite", "append")
+T = TypeVar("T")
 
 
-def write_table(
+def load_folder(name: str, load: str) -> str:
+    """Where a load's part of a table lies. Facts have the load as a column of the path, as
+    their day is one; a dimension's folder has no columns, so SQL tables of it have none more."""
+    return f"{name}/load={load}" if name in schemas.FACTS else f"{name}/load-{load}"
+
+
+def stage_table(
     rows: DataFrame,
     root: str,
     name: str,
-    mode: str,
+    load: str,
     partition_by: Sequence[str] = (),
     rebalance: Sequence[str] | None = None,
-) -> None:
-    """Write parquet to ``root/name``.
+) -> dict[str, dict]:
+    """Write parquet to a folder of ``load`` under ``root/name`` without publishing it;
+    returns the entries a commit is to add.
 
     ``rebalance`` redistributes the rows for writing: by the given columns, so
     a day is a few files rather than one per task, or evenly for no columns.
@@ -33,47 +43,67 @@ def write_table(
     several. ``None`` writes rows where they are, which is right while they
     still are in the order of an input partitioned the same way.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if rebalance is not None:
         rows = rows.hint("rebalance", *rebalance)
-    writer = rows.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(table_path(root, name))
-
-
-def land(rows: DataFrame, root: str, topic: str, mode: str = "append") -> None:
-    """Land a batch of events the way the stream does: by UTC day of ``ts``."""
-    dated = rows.withColumn("date", F.to_date("ts")).hint("rebalance", "date")
-    dated.write.mode(mode).partitionBy("date").parquet(topic_path(root, topic))
-
-
-def replace_folder(spark: SparkSession, new: str, place: str) -> None:
-    """Put the folder ``new`` in the place of ``place``: two renames, then the old
-    one goes. A failure between the renames brings the old one back."""
-    old = f"{place}-replaced-{uuid.uuid4().hex}"
-    stood = path_exists(spark, place)
-    if stood:
-        rename(spark, place, old)
-    try:
-        rename(spark, new, place)
-    except BaseException:
-        if stood:
-            rename(spark, old, place)
-        raise
-    if stood:
-        delete(spark, old)
-
-
-def run_together(spark: SparkSession, writes: Sequence[Callable[[], None]]) -> None:
+    added = commits.write(rows, root, load_folder(name, load), list(partition_by))
+    return {folder: {**about, "table": name} for folder, about in added.items()}
+
+
+def write_table(
+    rows: DataFrame,
+    root: str,
+    name: str,
+    mode: str,
+    partition_by: Sequence[str] = (),
+    rebalance: Sequence[str] | None = None,
+) -> None:
+    """Write one table and publish it by itself; see ``stage_table``."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    added = stage_table(rows, root, name, commits.new_name(), partition_by, rebalance)
+    old = lambda now: folders_of(now, name) if mode == "overwrite" else []
+    commits.commit(rows.sparkSession, root, lambda now: {"add": added, "remove": old(now)})
+
+
+def merge_folders(spark: SparkSession, root: str) -> None:
+    """Bring each dimension, and each day of a fact, that several loads added to
+    together in one folder: one commit, after which old folders wait for ``vacuum``."""
+    seen = commits.state(spark, root)
+    groups: dict[tuple[str, str | None], list[str]] = {}
+    for folder, about in seen.folders.items():
+        groups.setdefault((about["table"], about.get("date_id")), []).append(folder)
+    old = {name: [f for (t, _), fs in groups.items() if t == name and len(fs) > 1 for f in fs] for name, _ in groups}
+    old = {name: folders for name, folders in old.items() if folders}
+    if not old:
+        return
+    load, added = commits.new_name(), {}
+    for name, folders in old.items():
+        schema = {**schemas.DIMENSIONS, **schemas.FACTS, **ROLLUPS, "user_numbers": USER_NUMBERS}[name]
+        by = ["date_id"] if name in schemas.FACTS else []
+        added |= stage_table(commits.read(spark, root, schema, folders), root, name, load, by, by)
+    gone = [f for folders in old.values() for f in folders]
+    commits.commit(
+        spark, root, lambda now: {"add": added, "remove": gone} if set(gone) <= set(now.folders) else None
+    )
+
+
+def land(rows: DataFrame, root: str, topic: str, mode: str = "append", name: str | None = None) -> None:
+    """Land a batch of events the way the stream does: by UTC day of ``ts``.
+
+    A batch with a ``name`` is landed once, however often it is repeated.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    land_rows(rows, root, topic, f"batch-{name or commits.new_name()}", replace=mode == "overwrite")
+
+
+def run_together(spark: SparkSession, writes: Sequence[Callable[[], T]]) -> list[T]:
     """Submit independent writes at once, so one fills the tail of another.
 
     They keep the caller's job group and tags. The first failure is raised after
-    all have ended.
+    all have ended. Returns what the writes return.
     """
     as_caller = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
         started = [pool.submit(as_caller(write)) for write in writes]
-    for write in started:
-        write.result()
+    return [write.result() for write in started]

@@ -516,6 +516,32 @@ FROM (SELECT userId, count(*) AS plays FROM ({_fact_select("fact_listen", "versi
       GROUP BY userId)"""
     )
 
+    marked = [f"{_MS} AS ts" if c == "ts" else "mark AS userAgent" if c == "userAgent" else c for c in schemas.TOPIC_COLUMNS["page_view_events"]]
+    sql["landed_stream_restart"] = _topics_query(
+        f"SELECT {', '.join(marked)}, CAST(ts AS DATE) AS date FROM page_view_events, (VALUES ('first'), ('second'), ('batch')) AS m(mark)"
+    )
+    sql["landed_absent_day"] = sql["landed_day"]
+    sql["stream_resumed"] = sql["stream_song_chart_minute"]
+    sql["serving_by_key"] = _topics_query(
+        f"""
+SELECT * REPLACE ("count" + 2 AS "count") FROM ({_minute_sql("artist_chart_minute")})
+WHERE artist = (SELECT artist FROM listen_events GROUP BY artist ORDER BY count(*) DESC, artist LIMIT 1)"""
+    )
+    for table in minute_tables:
+        sql[f"by_topic_{table}"] = sql[table]
+    sql["by_topic_landed_counts"] = _topics_query(_count_rows({t: t for t in schemas.STAR_TOPICS}))
+    tables = {"dim_time": "dim_time"} | {n: f"old_{n}" for n in schemas.DIMENSIONS if n != "dim_time"}
+    tables |= {n: f"({_fact_select(n, 'version', _BEFORE_LAST, 'old_')})" for n in schemas.FACTS}
+    sql["load_seen_by_old_reader"] = _load_query(_count_rows(tables))
+    # Roll-ups answer as the facts do.
+    for grain in ("year", "month", "week", "day", "hour"):
+        for question in ("logged_in_users", "songs_played"):
+            sql[f"rollup_{question}_{grain}"] = sql[f"{question}_{grain}"]
+    for grain in ("year", "month", "day"):
+        for question in ("top_songs", "top_artists"):
+            sql[f"rollup_{question}_{grain}"] = sql[f"{question}_{grain}"]
+    sql["rollup_top_locations"] = sql["top_locations"]
+
     sql["repair_text"] = "SELECT doc_id, trim(text, '\"') AS text FROM documents"
     sql["repair_song_text"] = _topics_query("SELECT song, artist FROM listen_events")
     return sql

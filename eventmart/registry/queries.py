@@ -20,11 +20,11 @@ from pyspark.sql import types as T
 from eventmart import schemas, session
 from eventmart.functions.nulls import default_guests
 from eventmart.functions.text import repair_text
-from eventmart.operators import analytics, dims, facts, minutes
+from eventmart.operators import analytics, dims, facts, minutes, rollups
 from eventmart.operators.conform import Activity, conform
 from eventmart.operators.sets import except_distinct, union_all
 from eventmart.plans import catalog, loads
-from eventmart.plans.tables import land, run_together
+from eventmart.plans.tables import land, merge_folders, run_together
 from eventmart.sources import landed, sample, warehouse
 from eventmart.sources.files import path_exists
 from eventmart.sources.topics import topic_stream
@@ -257,6 +257,82 @@ def _landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.landed(spark, root, topic)
 
 
+def _landed_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed topic from two checkpoints and one batch landing: the deliveries go to
+    the first stream, all messages again to a second one under a new checkpoint, whose rows
+    are marked, and all events once more as a batch that is repeated."""
+    topic = "page_view_events"
+    root = session.work_dir(spark, "landed")
+    for mark in ("first", "second"):
+        events = ingest.events(_messages(spark, sf_dir, topic), topic).withColumn("userAgent", F.lit(mark))
+        for _ in range(2):
+            writer = sinks.land_stream(events, root, topic, f"{root}/checkpoint-{mark}", sinks.AVAILABLE_NOW)
+            job.drain([writer.start()])
+    batch = _decoded(topic, spark, sf_dir).withColumn("userAgent", F.lit("batch"))
+    for _ in range(2):
+        land(batch, root, topic, name="backfill")
+    landed.merge_days(spark, root, topic, _day_span(spark, sf_dir)[1])
+    return landed.landed(spark, root, topic)
+
+
+def _absent_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days around the last one: those that were not landed have no rows."""
+    root, last = _land_all(spark, sf_dir), _day_span(spark, sf_dir)[1]
+    days = [last + timedelta(days=d) for d in (0, 1, 400)]
+    return union_all([landed.landed_day(spark, root, "auth_events", day) for day in days])
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric that ends after the first delivery and is started again on its checkpoint
+    once the others are there: its state and its place in the topic go on."""
+    table, topic = "song_chart_minute", "listen_events"
+    root = session.work_dir(spark, "serving")
+    base = _base(spark, sf_dir).withColumn("_delivery", _delivery(spark, sf_dir))
+    for numbers in ((0,), range(1, DELIVERIES)):
+        for i in numbers:
+            part = sample.as_json(sample.as_topic(base.where(F.col("_delivery") == i), topic))
+            part.repartition(FILES).write.mode("append").parquet(f"{root}/in/{topic}")
+        messages = topic_stream(spark, topic, {"maxFilesPerTrigger": str(FILES)}, fmt="parquet", path=f"{root}/in")
+        writer = sinks.keyed_stream(
+            job.metric(table, messages), table, root, f"{root}/checkpoint", sinks.AVAILABLE_NOW
+        )
+        job.drain([writer.start()])
+    return sinks.latest_by_key(spark, root, table)
+
+
+def _by_topic_root(spark: SparkSession, sf_dir: str) -> str:
+    """The job with one query per topic over messages of which every tenth comes late."""
+
+    def build(root: str) -> None:
+        queries = job.start_by_topic(
+            lambda t: _messages(spark, sf_dir, t, late=True), f"{root}/serving", f"{root}/landed", f"{root}/checkpoint", sinks.AVAILABLE_NOW
+        )
+        job.drain(queries)
+
+    return _once(spark, sf_dir, "topics", build)
+
+
+def _by_topic_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.merged_counts(spark, f"{_by_topic_root(spark, sf_dir)}/serving", table)
+
+
+def _by_topic_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{_by_topic_root(spark, sf_dir)}/landed"
+    return _row_counts({t: landed.landed(spark, root, t) for t in schemas.STAR_TOPICS})
+
+
+def _serving_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minutes of the artist with most plays, of three batches merged in levels."""
+    table = "artist_chart_minute"
+    root = session.work_dir(spark, "serving")
+    rows = _minute_table(table, spark, sf_dir)
+    for number in range(3):
+        sinks.save_batch(rows.withColumn("count", F.col("count") + number), root, table, number)
+    sinks.compact(spark, root, table, _day_span(spark, sf_dir)[1], fan_in=3)
+    most = rows.groupBy("artist").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), F.asc("artist")).first()
+    return sinks.latest_by_key(spark, root, table, where=F.col("artist") == F.lit(most["artist"]))
+
+
 def _stream_job_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run all nine queries to the end of the input; rows per written table."""
     root = session.work_dir(spark, "job")
@@ -371,6 +447,38 @@ def stored_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "warehouse", build, "all")
 
 
+def _old_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table as a reader has them that began before a load and two merges."""
+    root = session.work_dir(spark, "warehouse")
+    landed_root, last = _land_all(spark, sf_dir), _day_span(spark, sf_dir)[1]
+    loads.full_load(spark, landed_root, root, last)
+    seen = warehouse.snapshot(spark, root)
+    loads.incremental_load(spark, landed_root, root, last, last + timedelta(days=1))
+    merge_folders(spark, root)
+    tables = {n: warehouse.read_dim(spark, root, n, seen) for n in schemas.DIMENSIONS}
+    tables |= {n: warehouse.read_fact(spark, root, n, None, seen) for n in schemas.FACTS}
+    return _row_counts(tables)
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    """All days but the last by a full load, the last two by incremental ones, with roll-ups."""
+
+    def build(root: str) -> None:
+        landed_root, last = _land_all(spark, sf_dir), _day_span(spark, sf_dir)[1]
+        loads.full_load(spark, landed_root, root, last - timedelta(days=1), with_rollups=True)
+        for day in (last - timedelta(days=1), last):
+            loads.incremental_load(spark, landed_root, root, day, day + timedelta(days=1), with_rollups=True)
+
+    return _once(spark, sf_dir, "warehouse", build, "rollups")
+
+
+def _rollup(question: Callable[..., DataFrame], name: str, grain: str | None, options: dict, spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _rolled_up(spark, sf_dir)
+    state = warehouse.snapshot(spark, root)
+    rollup = warehouse.read_rollup(spark, root, name, state)
+    return question(rollup, warehouse.read_star(spark, root, state), grain, **options)
+
+
 def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(
         [
@@ -496,6 +604,22 @@ def all_queries() -> dict[str, Query]:
     queries["keyed_sink_restart"] = _keyed_restart
     queries["landed_stream"] = _landed_stream
     queries["stream_job_counts"] = _stream_job_counts
+    queries["landed_stream_restart"] = _landed_restart
+    queries["landed_absent_day"] = _absent_day
+    queries["stream_resumed"] = _resumed
+    queries["serving_by_key"] = _serving_by_key
+    for table in minutes.TABLES:
+        if table != "user_login":
+            queries[f"by_topic_{table}"] = partial(_by_topic_table, table)
+    queries["by_topic_landed_counts"] = _by_topic_landed
+    queries["load_seen_by_old_reader"] = _old_reader
+    for grain in rollups.COARSE:
+        queries[f"rollup_logged_in_users_{grain}"] = partial(_rollup, rollups.logged_in_users, "rollup_logins", grain, {})
+        queries[f"rollup_songs_played_{grain}"] = partial(_rollup, rollups.songs_played, "rollup_songs", grain, {})
+    for grain in ("year", "month", "day"):
+        queries[f"rollup_top_songs_{grain}"] = partial(_rollup, rollups.top_songs, "rollup_songs", grain, {"k": TOP})
+        queries[f"rollup_top_artists_{grain}"] = partial(_rollup, rollups.top_artists, "rollup_songs", grain, {"k": TOP})
+    queries["rollup_top_locations"] = partial(_rollup, rollups.top_locations, "rollup_places", None, {"k": TOP})
     for grain in analytics.GRAINS:
         queries[f"logged_in_users_{grain}"] = partial(_logged_in_users, grain)
         queries[f"songs_played_{grain}"] = partial(_songs_played, grain)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -45,3 +48,48 @@ def number_in(spark: SparkSession, path: str, first: int) -> int:
     finally:
         target.close()
     return first
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in the folder ``path``; none if it is missing."""
+    system, hadoop_path = _system(spark, path)
+    if not system.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(hadoop_path)]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, hadoop_path = _system(spark, path)
+    stream = system.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make the file ``path`` appear whole; False if it is there already.
+
+    The text is written aside first; the rename that shows it fails where the
+    name is taken.
+    """
+    context = spark.sparkContext
+    jvm = context._jvm
+    system, hadoop_path = _system(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(aside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    place = jvm.org.apache.hadoop.fs.FileContext.getFileContext(hadoop_path.toUri(), context._jsc.hadoopConfiguration()) \
+        if hadoop_path.toUri().getScheme() else jvm.org.apache.hadoop.fs.FileContext.getFileContext(context._jsc.hadoopConfiguration())
+    none = context._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        place.rename(aside, hadoop_path, none)
+    except Py4JJavaError as failed:
+        system.delete(aside, False)
+        if "FileAlreadyExistsException" in failed.java_exception.getClass().getName() or system.exists(hadoop_path):
+            return False
+        raise
+    return True

@@ -1,40 +1,87 @@
-"""Landed topics: parquet partitioned by ``date``."""
+"""Landed topics: parquet in folders by run, batch and ``date``, published by commits.
+
+Streams and batch loads land in the same way, under any number of checkpoints; only
+published folders are read, so an attempt that failed is never seen.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import schemas
-from eventmart.sources.files import path_exists
+from eventmart.sources import commits
 
 
 def topic_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/{topic}"
 
 
+def _days(spark: SparkSession, root: str, topic: str, wanted: Callable[[str | None], bool]) -> DataFrame:
+    """Rows of the published folders whose day is wanted, of one state of the log."""
+    path = topic_path(root, topic)
+    if not commits.exists(spark, path):
+        raise FileNotFoundError(f"no landed topic at {path}")
+    found = commits.state(spark, path).folders
+    return commits.read(spark, path, schemas.landed(topic), [f for f, about in found.items() if wanted(about["date"])])
+
+
 def landed(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """All landed rows of ``topic``; a topic that isn't there is an error.
 
     The schema is declared, so no file is opened to plan the scan.
     """
-    path = topic_path(root, topic)
-    schema = schemas.landed(topic)
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"no landed topic at {path}")
-    return spark.read.schema(schema).parquet(path)
+    return _days(spark, root, topic, lambda day: True)
 
 
 def landed_before(spark: SparkSession, root: str, topic: str, as_of: date) -> DataFrame:
-    """Rows of the days before ``as_of`` (a partition filter)."""
-    return landed(spark, root, topic).where(F.col("date") < F.lit(as_of))
+    """Rows of the days before ``as_of``: folders of other days aren't listed."""
+    last = as_of.isoformat()
+    return _days(spark, root, topic, lambda day: day is not None and day < last).where(F.col("date") < F.lit(as_of))
 
 
 def landed_day(spark: SparkSession, root: str, topic: str, day: date) -> DataFrame:
-    """Rows of one day: other partitions are pruned, an absent day has no rows."""
-    return landed(spark, root, topic).where(F.col("date") == F.lit(day))
+    """Rows of one day: other folders aren't listed, an absent day has no rows."""
+    name = day.isoformat()
+    return _days(spark, root, topic, lambda found: found == name).where(F.col("date") == F.lit(day))
+
+
+def land_rows(rows: DataFrame, root: str, topic: str, run: str, number: int = 0, replace: bool = False) -> None:
+    """Publish events as the landing ``number`` of ``run``, by UTC day of ``ts``.
+
+    The same landing again changes nothing. ``replace`` takes out what was there.
+    """
+    spark, path = rows.sparkSession, topic_path(root, topic)
+    if commits.is_done(spark, path, run, number):
+        return
+    dated = rows.withColumn("date", F.to_date("ts")).hint("rebalance", "date")
+    added = commits.write(dated, path, f"run={run}/batch={number}", ["date"])
+    commits.commit(
+        spark, path, lambda now: {"add": added, "remove": list(now.folders) if replace else []}, (run, number)
+    )
+
+
+def merge_days(spark: SparkSession, root: str, topic: str, before: date) -> list[str]:
+    """Bring what was landed of each day before ``before`` together in one folder.
+
+    Readers at work keep the old folders until ``commits.vacuum``; rows landed late
+    for a merged day are a folder of their own. Returns the days merged.
+    """
+    path, last = topic_path(root, topic), before.isoformat()
+    folders: dict[str, list[str]] = {}
+    for folder, about in commits.state(spark, path).folders.items():
+        if about["date"] is not None and about["date"] < last:
+            folders.setdefault(about["date"], []).append(folder)
+    old = [f for several in folders.values() if len(several) > 1 for f in several]
+    if not old:
+        return []
+    rows = commits.read(spark, path, schemas.landed(topic), old).hint("rebalance", "date")
+    added = commits.write(rows, path, f"run=merged-{commits.new_name()}/batch=0", ["date"])
+    commits.commit(spark, path, lambda now: {"add": added, "remove": old} if set(old) <= set(now.folders) else None)
+    return sorted(d for d, several in folders.items() if len(several) > 1)
 
 
 def extract(

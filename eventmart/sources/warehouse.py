@@ -9,38 +9,58 @@ from pyspark.sql import functions as F
 
 from eventmart import schemas
 from eventmart.operators.dims import Star
-from eventmart.sources.files import path_exists
+from eventmart.operators.rollups import ROLLUPS, USER_NUMBERS
+from eventmart.sources import commits
 
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _read(spark: SparkSession, root: str, name: str, schema) -> DataFrame:
-    path = table_path(root, name)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+def snapshot(spark: SparkSession, root: str) -> commits.State:
+    """The warehouse as it is published now; reads that are given it agree with one
+    another, whatever loads are published meanwhile."""
+    return commits.state(spark, root)
 
 
-def read_dim(spark: SparkSession, root: str, name: str) -> DataFrame:
+def folders_of(state: commits.State, name: str, date_ids: Sequence[str] | None = None) -> list[str]:
+    """Published folders of a table, of some partitions only if asked."""
+    return [
+        f for f, about in state.folders.items()
+        if about["table"] == name and (date_ids is None or about.get("date_id") in set(date_ids))
+    ]
+
+
+def read_dim(spark: SparkSession, root: str, name: str, state: commits.State | None = None) -> DataFrame:
     """A stored dimension; one that isn't there is an error."""
-    if not path_exists(spark, table_path(root, name)):
+    found = folders_of(state or snapshot(spark, root), name)
+    if not found:
         raise FileNotFoundError(f"no dimension at {table_path(root, name)}")
-    return _read(spark, root, name, schemas.DIMENSIONS[name])
+    return commits.read(spark, root, schemas.DIMENSIONS[name], found)
 
 
-def read_star(spark: SparkSession, root: str) -> Star:
-    """All five stored dimensions."""
-    return Star(
-        *[read_dim(spark, root, f"dim_{part}") for part in Star._fields]
-    )
+def read_star(spark: SparkSession, root: str, state: commits.State | None = None) -> Star:
+    """All five stored dimensions, of one state."""
+    state = state or snapshot(spark, root)
+    return Star(*[read_dim(spark, root, f"dim_{part}", state) for part in Star._fields])
 
 
 def read_fact(
-    spark: SparkSession, root: str, name: str, date_ids: Sequence[str] | None = None
+    spark: SparkSession,
+    root: str,
+    name: str,
+    date_ids: Sequence[str] | None = None,
+    state: commits.State | None = None,
 ) -> DataFrame:
     """A stored fact table, whole or only the partitions in ``date_ids``; no rows
     if none were stored yet."""
-    fact = _read(spark, root, name, schemas.FACTS[name])
+    found = folders_of(state or snapshot(spark, root), name, date_ids)
+    fact = commits.read(spark, root, schemas.FACTS[name], found)
     return fact if date_ids is None else fact.where(F.col("date_id").isin(list(date_ids)))
+
+
+def read_rollup(spark: SparkSession, root: str, name: str, state: commits.State | None = None) -> DataFrame:
+    """The parts of a roll-up (or of ``user_numbers``) that loads have published."""
+    state = state or snapshot(spark, root)
+    schema = USER_NUMBERS if name == "user_numbers" else ROLLUPS[name]
+    return commits.read(spark, root, schema, folders_of(state, name))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from eventmart import schemas
 from eventmart.operators import minutes
+from eventmart.plans.tables import run_together
+from eventmart.sources.landed import land_rows
 from eventmart.streaming import ingest, sinks
 
 
@@ -66,6 +69,55 @@ def start_all(
     return [writer.start() for writer in writers]
 
 
+def topic_query(
+    messages: DataFrame,
+    topic: str,
+    serving_root: str,
+    landed_root: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] = sinks.EVERY_MINUTE,
+) -> DataStreamWriter:
+    """One query for all that is made of a topic: each micro-batch is read and decoded
+    once, landed, and counted into every table of the topic.
+
+    A batch publishes only its own counts, which the sink adds up by key and minute.
+    So there is no state to keep and no watermark to wait for: a row that comes late
+    corrects the minute it belongs to, and a replayed batch changes nothing.
+    """
+    spark = messages.sparkSession
+    run = sinks.run_of(spark, checkpoint)
+    tables = [t for t in minutes.TABLES if minutes.INPUT_TOPIC[t] == topic]
+
+    def each(batch: DataFrame, number: int) -> None:
+        events = ingest.events(batch, topic).persist()
+        try:
+            writes = [partial(land_rows, events, landed_root, topic, f"stream-{run}", number)]
+            for table in tables:
+                save = sinks.save_batch if table == "user_login" else sinks.save_counts
+                writes.append(partial(save, minutes.TABLES[table](events), serving_root, table, number, run))
+            run_together(batch.sparkSession, writes)
+        finally:
+            events.unpersist()
+
+    return messages.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger)
+
+
+def start_by_topic(
+    topics: Callable[[str], DataFrame],
+    serving_root: str,
+    landed_root: str,
+    checkpoint_root: str,
+    trigger: Mapping[str, object] = sinks.EVERY_MINUTE,
+) -> list[StreamingQuery]:
+    """Start one query per topic; see ``topic_query``. The tables of counts are read with
+    ``sinks.merged_counts``, the login feed with ``sinks.latest_by_key``."""
+    root = checkpoint_root.rstrip("/")
+    return [
+        topic_query(topics(t), t, serving_root, landed_root, f"{root}/topic-{t}", trigger).start()
+        for t in schemas.STAR_TOPICS
+    ]
+
+
 def await_any(spark: SparkSession) -> None:
     """Block until one query ends; its failure is raised here."""
     spark.streams.awaitAnyTermination()

@@ -7,18 +7,18 @@ storage that outlives the driver.
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Mapping
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from eventmart import schemas
-from eventmart.sources.files import delete, number_in, path_exists
-from eventmart.sources.landed import topic_path
+from eventmart.sources import commits
+from eventmart.sources.files import number_in
+from eventmart.sources.landed import land_rows, topic_path
 
 EVERY_MINUTE = {"processingTime": "1 minute"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -33,20 +33,21 @@ def land_stream(
 ) -> DataStreamWriter:
     """Append normalised events to ``root/topic``, partitioned by UTC day.
 
-    The file sink commits each micro-batch once. Events without a time land in
-    the NULL partition, which no day filter selects, and are counted as
-    ``no_time`` in the query's observed metrics.
+    Every micro-batch is one commit under the run its checkpoint stands for: a replay
+    changes nothing, a new checkpoint is a run of its own beside the others, and batch
+    landings may share the root. Events without a time land in the NULL partition,
+    which no day filter selects, and are counted as ``no_time`` in the query's
+    observed metrics.
     """
-    dated = events.observe(
+    observed = events.observe(
         f"landed_{topic}",
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("ts").isNull()).alias("no_time"),
-    ).withColumn("date", F.to_date("ts"))
+    )
+    run = f"stream-{run_of(events.sparkSession, checkpoint)}"
     return (
-        dated.writeStream.format("parquet")
-        .partitionBy("date")
+        observed.writeStream.foreachBatch(lambda batch, number: land_rows(batch, root, topic, run, number))
         .outputMode("append")
-        .option("path", topic_path(root, topic))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
@@ -69,47 +70,44 @@ def reject_stream(
     )
 
 
-# Where the rows of a serving table lie: by event day, then by what wrote them.
-FOLDERS = T.StructType(
-    [
-        T.StructField("event_day", T.DateType()),
-        T.StructField("run", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("compacted", T.IntegerType()),
-    ]
-)
+# What wrote a row of a serving table; the greatest pair stands for its key.
+WRITER = T.StructType([T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())])
 
 
-def _write_folders(rows: DataFrame, path: str, table: str) -> None:
-    """Write rows with their ``run``, ``batch_id`` and ``compacted``; a folder that
-    exists is replaced, all others stay.
+def _store(rows: DataFrame, root: str, table: str, folder: str) -> dict[str, dict]:
+    """Write rows with their ``run`` and ``batch_id`` as a sorted run per event day.
 
-    Rows are brought together by day and sorted by key, newest first, so that
-    minima and maxima in the files answer key and time filters.
+    Rows are brought together by day and sorted by key, newest first; minima, maxima
+    and Bloom filters of the keys in the files let a read by key open few of them.
     """
     partition, clustering = schemas.SERVING_KEYS[table]
     placed = rows.withColumn("event_day", F.to_date(clustering)).hint("rebalance", "event_day")
-    placed = placed.sortWithinPartitions(*FOLDERS.names, *partition, F.desc(clustering))
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*FOLDERS.names).parquet(path)
+    placed = placed.sortWithinPartitions("event_day", *partition, F.desc(clustering))
+    texts = [c for c in partition if isinstance(schemas.SERVING[table][c].dataType, T.StringType)]
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in texts}
+    return commits.write(placed, topic_path(root, table), folder, ["event_day"], blooms)
 
 
 def save_batch(batch: DataFrame, root: str, table: str, batch_id: int, run: int = 0) -> None:
-    """Write one micro-batch to its own folders; a replay replaces it."""
-    marked = batch.withColumns(
-        {
-            "run": F.lit(run).cast("long"),
-            "batch_id": F.lit(batch_id).cast("long"),
-            "compacted": F.lit(0),
-        }
-    )
-    _write_folders(marked, topic_path(root, table), table)
+    """Publish one micro-batch as sorted runs of level 0; a replay changes nothing."""
+    spark, path = batch.sparkSession, topic_path(root, table)
+    if commits.is_done(spark, path, str(run), batch_id):
+        return
+    marked = batch.withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(batch_id).cast("long")})
+    added = _store(marked, root, table, f"depth=0/by={run}/batch={batch_id}")
+    entries = {f: {**about, "level": 0} for f, about in added.items()}
+    commits.commit(spark, path, lambda now: {"add": entries}, (str(run), batch_id))
+
+
+def save_counts(counts: DataFrame, root: str, table: str, batch_id: int, run: int = 0) -> None:
+    """Publish one micro-batch's own counts; ``merged_counts`` adds those of a run up."""
+    save_batch(counts, root, table, batch_id, run)
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> int:
-    """The number of the query that owns ``checkpoint``: the milliseconds at which it
+    """The number of the query that owns ``checkpoint``: the microseconds at which it
     was first started, kept beside the checkpoint. A new checkpoint is a later run."""
-    return number_in(spark, f"{checkpoint.rstrip('/')}/serving_run", int(time.time() * 1000))
+    return number_in(spark, f"{checkpoint.rstrip('/')}/serving_run", time.time_ns() // 1000)
 
 
 def keyed_stream(
@@ -121,8 +119,8 @@ def keyed_stream(
 ) -> DataStreamWriter:
     """Upsert rows into the serving table ``table`` by its primary key.
 
-    Micro-batches are kept apart by run and ``batch_id``; ``latest_by_key`` reads
-    the last one per key. NULL is a key like any other.
+    Micro-batches are commits kept apart by run and ``batch_id``; ``latest_by_key``
+    reads the last one per key. NULL is a key like any other.
     """
     run = run_of(rows.sparkSession, checkpoint)
     stored = rows.observe(f"keyed_{table}", F.count(F.lit(1)).alias("rows")).select(
@@ -138,9 +136,17 @@ def keyed_stream(
     )
 
 
-def _stored_rows(spark: SparkSession, root: str, table: str) -> DataFrame:
-    schema = T.StructType([*schemas.SERVING[table].fields, *FOLDERS.fields])
-    return spark.read.schema(schema).parquet(topic_path(root, table))
+def _runs(
+    spark: SparkSession, root: str, table: str, first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """Rows of the published runs of the days from ``first`` to ``last``."""
+    schema = T.StructType([*schemas.SERVING[table].fields, T.StructField("event_day", T.DateType()), *WRITER.fields])
+    found = commits.state(spark, topic_path(root, table)).folders
+    wanted = [
+        f for f, about in found.items()
+        if (first is None or (about["event_day"] or "") >= first) and (last is None or (about["event_day"] or "") <= last)
+    ]
+    return commits.read(spark, topic_path(root, table), schema, wanted)
 
 
 def _instant(moment: datetime) -> datetime:
@@ -154,78 +160,105 @@ def latest_by_key(
     table: str,
     start: datetime | None = None,
     end: datetime | None = None,
+    where: Column | None = None,
+    adds: bool = False,
 ) -> DataFrame:
     """The serving table: for every key the row of the last micro-batch.
 
     A maximum per key rather than a ranking: it is combined within the scan
     tasks, and two rows of one batch with the same key resolve the same way on
     every read. ``start`` and ``end`` bound the time, [start, end), and leave out
-    the folders of other days.
+    the folders of other days. ``where`` is a condition on key columns, which reaches
+    the files before anything is grouped: their filters leave out what can't match.
+    The rows are those of one state of the log, whatever is published meanwhile.
+    ``adds``: see ``merged_counts``.
     """
     schema = schemas.SERVING[table]
-    if not path_exists(spark, topic_path(root, table)):
-        return spark.createDataFrame([], schema)
     key = schemas.serving_key(table)
     values = [c for c in schema.names if c not in key]
-    stored = _stored_rows(spark, root, table)
     _, clustering = schemas.SERVING_KEYS[table]
-    if start is not None:
-        first = _instant(start).astimezone(timezone.utc)
+    first = _instant(start).astimezone(timezone.utc) if start is not None else None
+    last = _instant(end).astimezone(timezone.utc) if end is not None else None
+    day = lambda moment: moment.date().isoformat() if moment else None
+    stored = _runs(spark, root, table, day(first), day(last))
+    if first:
         stored = stored.where((F.col("event_day") >= first.date()) & (F.col(clustering) >= first))
-    if end is not None:
-        last = _instant(end).astimezone(timezone.utc)
+    if last:
         stored = stored.where((F.col("event_day") <= last.date()) & (F.col(clustering) < last))
-    newest = F.max(F.struct("run", "batch_id", "compacted", *values)).alias("last")
+    if where is not None:
+        stored = stored.where(where)
+    if adds:
+        stored = _added_up(stored, key)
+    newest = F.max(F.struct("run", "batch_id", *values)).alias("last")
     return stored.groupBy(*key).agg(newest).select(*key, "last.*").select(*schema.names)
 
 
-def compact(spark: SparkSession, root: str, table: str, before: date) -> list[date]:
-    """Merge what is stored of each day before ``before`` into one row per key.
+def _added_up(stored: DataFrame, key: list[str]) -> DataFrame:
+    """Counts of the batches of one run as one row per key; calendar fields go with the key."""
+    others = [c for c in stored.columns if c not in {*key, "run", "batch_id", "count", "event_day"}]
+    return stored.groupBy(*key, "run").agg(
+        F.sum("count").alias("count"), F.max("batch_id").alias("batch_id"), *[F.first(c).alias(c) for c in others]
+    )
+
 
-    Days must be closed: their rows will not be written again. Merged rows take
-    the number of the day's last batch and are written before the folders they
-    come from go, so a reader sees the same rows at every moment, also after a
-    failure. Returns the days merged.
+def merged_counts(spark: SparkSession, root: str, table: str, **bounds: object) -> DataFrame:
+    """A table written by ``save_counts``: per key the sum over the batches of the latest
+    run that has it, so a row counts in its minute however late it came. ``bounds`` are
+    those of ``latest_by_key``."""
+    return latest_by_key(spark, root, table, adds=True, **bounds)
+
+
+def compact(
+    spark: SparkSession, root: str, table: str, before: date, fan_in: int = 2, adds: bool = False
+) -> list[date]:
+    """Merge the sorted runs of each day before ``before`` into one row per key.
+
+    Runs of one level are merged into one of the next where a day has ``fan_in`` of
+    them, so a row is rewritten once per level; with the default a day becomes
+    one run. Merged rows keep the run and batch they come from, so days needn't be
+    closed. The merged runs and the end of the old ones are one commit; the old
+    files stay for readers at work until ``vacuum``. With ``adds`` the table holds counts
+    of batches, which are added up per run. Returns the days merged.
     """
     path = topic_path(root, table)
-    if not path_exists(spark, path):
-        return []
-    folders = (
-        _stored_rows(spark, root, table)
-        .where(F.col("event_day") < F.lit(before))
-        .groupBy("event_day")
-        .agg(F.sort_array(F.collect_set(F.struct("run", "batch_id", "compacted"))).alias("folders"))
-        .where("size(folders) > 1")
-        .collect()
-    )
-    days = sorted(row.event_day for row in folders)
-    if not days:
-        return []
-    schema, key = schemas.SERVING[table], schemas.serving_key(table)
-    values = [c for c in schema.names if c not in key]
-    stored = _stored_rows(spark, root, table).where(F.col("event_day").isin(days))
-    newest = F.max(F.struct("run", "batch_id", "compacted", *values)).alias("last")
-    merged = stored.groupBy("event_day", *key).agg(newest)
-    # A day's rows and its last batch, a few values per day.
-    ends = [(row.event_day, row.folders[-1].run, row.folders[-1].batch_id) for row in folders]
-    numbers = spark.createDataFrame(ends, "event_day date, run long, batch_id long")
-    merged = merged.select(*key, "event_day", *[f"last.{c}" for c in values])
-    merged = merged.join(F.broadcast(numbers), "event_day").withColumn("compacted", F.lit(1))
-    aside = f"{root.rstrip('/')}/_merging/{table}-{uuid.uuid4().hex}"
-    merged.write.parquet(aside)
-    again = spark.read.schema(merged.schema).parquet(aside)
-    _write_folders(again.select(*schema.names, *FOLDERS.names[1:]), path, table)
-    delete(spark, aside)
-    for row in folders:
-        last = row.folders[-1]
-        for old in row.folders:
-            if (old.run, old.batch_id, old.compacted) != (last.run, last.batch_id, 1):
-                delete(
-                    spark,
-                    f"{path}/event_day={row.event_day}/run={old.run}"
-                    f"/batch_id={old.batch_id}/compacted={old.compacted}",
-                )
-    return days
+    merged_days: set[str] = set()
+    while True:
+        groups: dict[tuple[str, int], list[str]] = {}
+        for folder, about in commits.state(spark, path).folders.items():
+            if about["event_day"] is not None and about["event_day"] < before.isoformat():
+                level = 0 if fan_in <= 2 else about["level"]
+                groups.setdefault((about["event_day"], level), []).append(folder)
+        ready = {g: f for g, f in groups.items() if len(f) >= max(fan_in, 2)}
+        if not ready:
+            return [date.fromisoformat(d) for d in sorted(merged_days)]
+        _merge(spark, root, table, ready, adds)
+        merged_days |= {day for day, _ in ready}
+
+
+def _merge(
+    spark: SparkSession, root: str, table: str, ready: dict[tuple[str, int], list[str]], adds: bool
+) -> None:
+    """Publish one run of the next level for each group of runs."""
+    path, key = topic_path(root, table), schemas.serving_key(table)
+    values = [c for c in schemas.SERVING[table].names if c not in key]
+    schema = T.StructType([*schemas.SERVING[table].fields, *WRITER.fields])
+    for level in sorted({level for _, level in ready}):
+        old = [f for (_, of), several in ready.items() if of == level for f in several]
+        stored = commits.read(spark, path, schema, old)
+        newest = F.max(F.struct("run", "batch_id", *values)).alias("last")
+        merged = _added_up(stored, key) if adds else stored.groupBy(*key).agg(newest).select(*key, "last.*")
+        name = f"depth={level + 1}/by=merged/batch={commits.new_name()}"
+        added = _store(merged.select(*schema.names), root, table, name)
+        entries = {f: {**about, "level": level + 1} for f, about in added.items()}
+        commits.commit(
+            spark, path,
+            lambda now: {"add": entries, "remove": old} if set(old) <= set(now.folders) else None,  # noqa: B023
+        )
+
+
+def vacuum(spark: SparkSession, root: str, table: str, keep_seconds: float = commits.KEEP_SECONDS) -> list[str]:
+    """Delete merged-away runs that no reader can still hold; returns their folders."""
+    return commits.vacuum(spark, topic_path(root, table), keep_seconds)
 
 
 def debug_stream(

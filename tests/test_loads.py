@@ -8,8 +8,8 @@ import pytest
 from conftest import rows
 from eventmart import schemas, session
 from eventmart.plans import catalog, loads
-from eventmart.plans.tables import land, write_table
-from eventmart.sources import landed, sample, warehouse
+from eventmart.plans.tables import land, merge_folders, write_table
+from eventmart.sources import commits, landed, sample, warehouse
 
 LAST = date(2024, 1, 30)
 AFTER = LAST + timedelta(days=1)
@@ -129,6 +129,43 @@ def test_a_load_that_fails_half_way_leaves_the_warehouse_whole(spark, landed_roo
     assert [f for f in os.listdir(parent) if f.startswith(name)] == [name]
 
 
+def test_readers_keep_to_one_load(spark, landed_root, monkeypatch):
+    """What was read before a load stays readable, and no reader sees half of one."""
+    root = full(spark, landed_root, LAST, "version")
+    seen = warehouse.snapshot(spark, root)
+    old = {n: warehouse.read_dim(spark, root, n, seen) for n in schemas.DIMENSIONS}
+    old |= {n: warehouse.read_fact(spark, root, n, None, seen) for n in schemas.FACTS}
+    before = {n: rows(df) for n, df in old.items()}
+    stage = loads.stage_table
+
+    def look(*args, **options):
+        found = stage(*args, **options)
+        assert warehouse.snapshot(spark, root) == seen  # nothing shows while it is written
+        return found
+
+    monkeypatch.setattr(loads, "stage_table", look)
+    loads.incremental_load(spark, landed_root, root, LAST, AFTER)
+    monkeypatch.undo()
+    loads.full_load(spark, landed_root, root, AFTER)
+    merge_folders(spark, root)
+    assert {n: rows(df) for n, df in old.items()} == before
+    assert commits.vacuum(spark, root, 0) and contents(spark, root) == contents(spark, full(spark, landed_root, AFTER, "version"))
+
+
+def test_two_loads_at_once_publish_one(spark, landed_root, monkeypatch):
+    root = full(spark, landed_root, LAST, "version")
+    fact = loads.facts.fact
+
+    def meanwhile(name, *args, **options):
+        if name == "fact_listen":
+            commits.commit(spark, root, lambda now: {"remove": [next(iter(now.folders))]})
+        return fact(name, *args, **options)
+
+    monkeypatch.setattr(loads.facts, "fact", meanwhile)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        loads.incremental_load(spark, landed_root, root, LAST, AFTER)
+
+
 def test_equal_events_are_loaded_alike_by_both_loads(spark, make_topic):
     root = session.work_dir(spark, "landed")
     for topic in schemas.STAR_TOPICS:

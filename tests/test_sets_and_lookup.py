@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from eventmart.operators.lookup import lookup, width
+from eventmart.operators.lookup import lookup, measure
 from eventmart.operators.sets import except_distinct, union_all
 from eventmart.operators.topk import top_k
 
@@ -73,12 +73,14 @@ def test_lookup_salts_must_be_a_power_of_two(spark):
         lookup(spark.range(1), spark.range(1), {"id": "id"}, [], salts=6)
 
 
-def test_lookup_counts_before_it_broadcasts(spark):
+def test_lookup_measures_before_it_broadcasts(spark):
     events, members = _hot_events(spark), spark.range(100).selectExpr("cast(id as string) as k")
     small = lookup(events, members, {"k": "k"}, [])
-    large = lookup(events, members, {"k": "k"}, [], broadcast_bytes=100 * width(members) - 1)
+    large = lookup(events, members, {"k": "k"}, [], broadcast_bytes=measure(members) - 1)
     assert "ResolvedHint (strategy=broadcast)" in _logical(small)
     assert "strategy=broadcast" not in _logical(large)
+    long = members.withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert measure(long) >= 100 * 1000
 
 
 def _logical(df):

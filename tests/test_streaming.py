@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from eventmart import schemas, session
 from eventmart.operators import minutes
+from eventmart.plans.tables import land
 from eventmart.registry.queries import _messages
-from eventmart.sources import landed, sample
+from eventmart.sources import commits, landed, sample
 from eventmart.sources.topics import kafka_options, topic_stream
 from eventmart.streaming import ingest, job, sinks
 
@@ -173,11 +174,109 @@ def test_compaction_leaves_the_view_as_it_is(spark, sf_dir):
     days = sinks.compact(spark, root, table, date(2024, 1, 20))
     assert len(days) == 19 and max(days) == date(2024, 1, 19)
     assert rows(sinks.latest_by_key(spark, root, table)) == before
-    stored = spark.read.parquet(f"{root}/{table}").where("event_day < '2024-01-20'")
-    assert stored.selectExpr("count(*) = count(distinct ingest_ts, coalesce(song, ''))").first()[0]
+    found = sinks._runs(spark, root, table).where("event_day < '2024-01-20'")
+    assert found.selectExpr("count(*) = count(distinct ingest_ts, coalesce(song, ''))").first()[0]
     assert sinks.compact(spark, root, table, date(2024, 1, 20)) == []
 
 
+def test_readers_outlive_a_compaction_and_levels_merge(spark, sf_dir):
+    root, table = session.work_dir(spark, "serving"), "song_chart_minute"
+    rows_ = minutes.song_chart_minute(sample.topic(spark, sf_dir, "listen_events"))
+    for number in range(3):
+        sinks.save_batch(rows_.withColumn("count", F.col("count") + number), root, table, number)
+    reader = sinks.latest_by_key(spark, root, table)  # planned on what is published now
+    before = rows(reader)
+    assert len(sinks.compact(spark, root, table, date(2024, 1, 20), fan_in=3)) == 19
+    levels = {about["level"] for about in commits.state(spark, f"{root}/{table}").folders.values()}
+    assert levels == {0, 1}
+    assert rows(reader) == before == rows(sinks.latest_by_key(spark, root, table))
+    assert sinks.vacuum(spark, root, table) == [] and rows(reader) == before
+    assert len(sinks.vacuum(spark, root, table, keep_seconds=0)) == 57
+    assert rows(sinks.latest_by_key(spark, root, table)) == before
+
+
+def test_a_read_by_key_reaches_the_files(spark, sf_dir):
+    root, table = session.work_dir(spark, "serving"), "artist_chart_minute"
+    rows_ = minutes.artist_chart_minute(sample.topic(spark, sf_dir, "listen_events"))
+    sinks.save_batch(rows_, root, table, 0)
+    artist = rows_.first()["artist"]
+    found = sinks.latest_by_key(spark, root, table, where=F.col("artist") == artist)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(artist,{artist})" in plan
+    assert rows(found) == rows(sinks.latest_by_key(spark, root, table).where(F.col("artist") == artist))
+
+
+def test_landing_survives_new_checkpoints_and_batch_landings(spark, tmp_path):
+    """Two checkpoints and one batch on one root give all rows; replays and attempts
+    that were not published change nothing."""
+    root = str(tmp_path / "landed")
+    for name in ("one", "two"):
+        topic = Topic(tmp_path / name)
+        topic.add(play(1, name), play(50_400, name), "{bad")
+        events = ingest.events(topic.stream(spark), "listen_events")
+        for _ in range(2):
+            sinks.land_stream(
+                events, root, "listen_events", f"{tmp_path}/c-{name}", sinks.AVAILABLE_NOW
+            ).start().awaitTermination()
+    batch = landed.landed(spark, root, "listen_events").where("song = 'one'").drop("date")
+    batch = spark.createDataFrame(batch.collect(), batch.schema)
+    for _ in range(2):
+        land(batch.withColumn("song", F.lit("batch")), root, "listen_events", name="late-file")
+    commits.write(batch.withColumn("date", F.to_date("ts")), f"{root}/listen_events", "run=died/batch=0", ["date"])
+    got = landed.landed(spark, root, "listen_events")
+    want = [("batch", 2), ("one", 2), ("two", 2), (None, 2)]
+    assert rows(got.groupBy("song").count()) == sorted(want, key=repr)
+    reader = landed.landed(spark, root, "listen_events")
+    assert landed.merge_days(spark, root, "listen_events", date(2024, 1, 2)) == ["2024-01-01"]
+    assert rows(reader) == rows(landed.landed(spark, root, "listen_events")) == rows(got)
+    sinks_run = next(r for r in commits.state(spark, f"{root}/listen_events").done if r.startswith("stream-"))
+    landed.land_rows(batch, root, "listen_events", sinks_run, 0)
+    assert landed.landed(spark, root, "listen_events").count() == 8
+
+
+def test_commits_of_two_writers_both_count(spark, tmp_path):
+    """A writer that finds its number taken commits on top; snapshots keep the state."""
+    root = str(tmp_path / "table")
+    for i in range(commits.SNAPSHOT + 3):
+        seen = []
+
+        def change(now, i=i, seen=seen):
+            if not seen and i == 5:  # another writer comes first
+                seen.append(1)
+                commits.commit(spark, root, lambda _: {"add": {"other": {}}})
+            return {"add": {f"f{i}": {}}, "remove": ["f0"] if i == 3 else []}
+
+        commits.commit(spark, root, change, ("w", i))
+    now = commits.state(spark, root)
+    assert set(now.folders) == {"other", *(f"f{i}" for i in range(1, commits.SNAPSHOT + 3))}
+    assert now.done == {"w": commits.SNAPSHOT + 2} and set(now.gone) == {"f0"}
+    assert commits.commit(spark, root, lambda _: {"add": {"again": {}}}, ("w", 7)).folders == now.folders
+
+
+def test_one_query_per_topic_counts_late_rows(spark, sf_dir, tmp_path):
+    """Counts of the batches, late rows included, equal a batch job's over everything."""
+    root = session.work_dir(spark, "job")
+    started = job.start_by_topic(
+        lambda t: _messages(spark, sf_dir, t, late=True), f"{root}/s", f"{root}/l", f"{root}/c", sinks.AVAILABLE_NOW
+    )
+    assert len(started) == 3
+    job.drain(started)
+    for table in minutes.TABLES:
+        events = sample.topic(spark, sf_dir, minutes.INPUT_TOPIC[table])
+        read = sinks.latest_by_key if table == "user_login" else sinks.merged_counts
+        got = read(spark, f"{root}/s", table)
+        want = minutes.TABLES[table](events).select(*got.columns)
+        if table == "user_login":
+            want = want.withColumn("ts", F.date_trunc("millisecond", "ts")).dropDuplicates(schemas.serving_key(table))
+            assert rows(got.select(*schemas.serving_key(table))) == rows(want.select(*schemas.serving_key(table)))
+            continue
+        assert rows(got) == rows(want), table
+        assert sinks.compact(spark, f"{root}/s", table, date(2024, 2, 20), adds=True)
+        assert rows(read(spark, f"{root}/s", table)) == rows(want), table
+    for topic in schemas.STAR_TOPICS:
+        assert landed.landed(spark, f"{root}/l", topic).count() == sample.topic(spark, sf_dir, topic).count()
+
+
 def test_await_any_raises_what_a_query_failed_of(spark, tmp_path):
     topic = Topic(tmp_path / "in")
     topic.add(play(1, "x"))
