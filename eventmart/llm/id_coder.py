@@ -8,11 +8,12 @@ many lanes there are.
 
 For an id there are three predictions: order 2 (the id last seen after the two
 ids before), order 1 (after the one before) and order 0 (counts of all ids).
-Orders 2 and 1 have a confidence each; the odds that the first candidate is right
-are mixed from both by weights learnt on the way, those of the second candidate
-come from its confidence. One coding step says which candidate is right or that
-none is, and in that case the id follows by its order-0 counts. All sums are of
-whole numbers, so decoding repeats encoding exactly, on any machine.
+Orders 2 and 1 have a confidence each, order 0 the share of the candidate among all
+ids so far, by powers of 16; the odds that the first candidate is right are mixed
+from the three by weights learnt on the way, those of the second candidate come from
+its confidence. One coding step says which candidate is right or that none is, and in
+that case the id follows by its order-0 counts. All sums are of whole numbers, so
+decoding repeats encoding exactly, on any machine.
 
 The range coder is carry-less with 64 bits and gives off 16 bits at a time; each
 lane has its own stream.
@@ -26,15 +27,16 @@ import zlib
 import numpy as np
 
 MAGIC = b"IDCM"
-VERSION = 1
+VERSION = 2
 HEAD = struct.Struct("<4sHHIIIII")  # magic, version, log2 of order-2 size, ids, lanes, vocabulary, two checksums
 LANES, STEPS = 8192, 128
 ORDER2_BITS = 18
-REFRESH = 4  # steps between two updates of odds and counts
+REFRESH = 8  # steps between two updates of odds and counts
 COUNT_STEP = 32
 ONE = 4096  # probabilities are out of this
 SURE = 8  # kinds of confidence, 0: no prediction yet
-CONTEXTS = SURE * SURE * 2
+SHARES = 4  # kinds of order-0 shares: above 1/16, 1/256, 1/4096 or less
+CONTEXTS = SURE * SURE * 2 * SHARES
 
 U = np.uint64
 # With 2**34 left of a range, two more words name a point inside of it whatever follows.
@@ -64,21 +66,24 @@ class _Model:
         self.cum = np.arange(vocabulary + 1, dtype=np.int64)
         self.total = U(vocabulary)
         self.new_ids: list[np.ndarray] = []
+        self.share = np.full(vocabulary, SHARES - 1, dtype=np.int64)
         context = np.arange(CONTEXTS)
+        self.of0, context = context % SHARES, context // SHARES
         self.of2, self.of1 = context // (2 * SURE), context % (2 * SURE)
         sure = np.arange(SURE)
         self.p2 = (ONE * sure // 9).clip(16)
         self.p1 = np.tile((ONE * sure // 10).clip(16), 2)
         self.pb = np.tile((ONE * sure // 12).clip(8), 2)
+        self.p0 = ONE >> (4 * np.arange(1, SHARES + 1)).clip(None, 10)
         self.of_b = (self.of1 % SURE) + SURE * (self.of2 > 0)
-        self.weights = [1 << 15, 1 << 15]
+        self.weights = [1 << 15, 1 << 15, 0]
         self.seen = np.zeros(3 * CONTEXTS, dtype=np.int64)
         self._odds()
 
     def _odds(self) -> None:
         """Shares of the first candidate, the second and neither, per context."""
-        self.s2, self.s1 = STRETCH[self.p2[self.of2]], STRETCH[self.p1[self.of1]]
-        x = (self.s2 * self.weights[0] + self.s1 * self.weights[1]) >> 15
+        self.stretched = STRETCH[self.p2[self.of2]], STRETCH[self.p1[self.of1]], STRETCH[self.p0[self.of0]]
+        x = sum(s * w for s, w in zip(self.stretched, self.weights, strict=True)) >> 15
         self.fa = np.minimum(SQUASH[x.clip(-2048, 2047) + 2048], ONE - 2)
         fb = (((ONE - self.fa) * self.pb[self.of_b]) >> 12).clip(1, ONE - 1 - self.fa)
         edges = np.stack((np.zeros_like(fb), self.fa, self.fa + fb, np.full_like(fb, ONE)))
@@ -92,6 +97,8 @@ class _Model:
         self.a, self.b = self.e2 >> 3, self.e1 >> 3
         self.c2, self.c1 = self.e2 & 7, self.e1 & 7
         self.context = self.c2 * (2 * SURE) + self.c1 + SURE * (self.a == self.b)
+        self.context *= SHARES
+        self.context += self.share[self.a]
 
     def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
         """``kind``: 0 the first candidate was right, 1 the second, 2 neither."""
@@ -110,16 +117,21 @@ class _Model:
     def _refresh(self) -> None:
         self.counts += COUNT_STEP * np.bincount(np.concatenate(self.new_ids), minlength=len(self.counts))
         np.cumsum(self.counts, out=self.cum[1:])
-        self.total = U(self.cum[-1])
+        total = int(self.cum[-1])
+        self.total = U(total)
         self.new_ids = []
+        self.share[:] = SHARES - 1
+        for kind in range(SHARES - 2, -1, -1):
+            self.share[self.counts > total >> 4 * (kind + 1)] = kind
         hits_a, hits_b, neither = self.seen.reshape(3, CONTEXTS)
         n = hits_a + hits_b + neither
         error = hits_a * ONE - n * self.fa
         all_ = int(n.sum()) * 64
-        self.weights[0] = min(max(self.weights[0] + int((error * self.s2).sum()) // all_, 0), 1 << 16)
-        self.weights[1] = min(max(self.weights[1] + int((error * self.s1).sum()) // all_, 0), 1 << 16)
+        for i, stretched in enumerate(self.stretched):
+            self.weights[i] = min(max(self.weights[i] + int((error * stretched).sum()) // all_, 0), 1 << 16)
         for table, of, right, tried in (
-            (self.p2, self.of2, hits_a, n), (self.p1, self.of1, hits_a, n), (self.pb, self.of_b, hits_b, n - hits_a)
+            (self.p2, self.of2, hits_a, n), (self.p1, self.of1, hits_a, n), (self.p0, self.of0, hits_a, n),
+            (self.pb, self.of_b, hits_b, n - hits_a),
         ):
             hits, tries = np.zeros(len(table), dtype=np.int64), np.zeros(len(table), dtype=np.int64)
             np.add.at(hits, of, right)

@@ -4,23 +4,38 @@ The word vocabulary lower-cases a text, drops white space and cuts the rest into
 pieces by a pattern of its own; the ids of a text are those of its pieces in turn.
 Pieces repeat far more than texts do: each new one is handed to the library's
 model, and its ids are kept as bytes in a bounded table per worker, as are those of
-whole words, so that a text is one split at white space and one join of byte strings. Only characters of which
+whole words, so that a text is one split at white space and one join of byte strings.
+A vocabulary that cuts texts otherwise is refused. Only characters of which
 it is certain that they need no normalising are cut here; chunks with others go
 through the library's whole path (normaliser, pattern, byte level).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 
-MOST_PIECES = 800_000
+MOST_PIECES = 1_500_000
 LONGEST_KEPT = 64
 
 # Characters beyond white space, ASCII and composed Latin letters.
 ODD = re.compile(r"[^\t\n\r -~À-ÿ]")
-# The vocabulary's pattern for lower-case text without those (fixed by its file).
+# Fixed values of the vocabulary's file: how it cuts a text into pieces.
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+# The same pattern for lower-case text without those characters.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
 
@@ -54,27 +69,29 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        if json.loads(self.library.to_str())["pre_tokenizer"] != PRE_TOKENIZER:
+            raise ValueError(f"{path} doesn't cut texts as the word vocabulary does")
         self.tokenize = self.library.model.tokenize
         self.signs = byte_signs()
         self.most = most
-        self.known = _Known(self._piece)
-        self.words = _Known(self._word)
+        self.known = _Known(self._word)
+
+    def _word(self, word: str) -> bytes:
+        pieces = PIECES.findall(word)
+        # A piece is a word of its own, so both share one table.
+        return self._piece(word) if pieces == [word] else b"".join(map(self.known.__getitem__, pieces))
 
     def _piece(self, piece: str) -> bytes:
         signs = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.signs)
         return array("I", [t.id for t in self.tokenize(signs)]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        return b"".join(map(self.known.__getitem__, PIECES.findall(word)))
-
     def _plain(self, text: str) -> bytes:
         # No piece spans white space, which is dropped: a word's pieces are its own.
-        return b"".join(map(self.words.__getitem__, text.lower().split()))
+        return b"".join(map(self.known.__getitem__, text.lower().split()))
 
     def encode(self, text: str) -> bytes:
-        for table in (self.known, self.words):
-            if len(table) > self.most:
-                table.clear()
+        if len(self.known) > self.most:
+            self.known.clear()
         if not ODD.search(text) and "<|" not in text:
             return self._plain(text)
         out = []
