@@ -4,17 +4,18 @@ Every document gets a 64-bit hash of its normalised text (A-Z lower-cased; null
 counts as empty). The directory names a bucket by the top bits of the hash: all
 buckets start with ``start_depth`` bits, and while a bucket holds more than
 ``capacity`` keys the directory is doubled for it, which splits the bucket by
-its next bit, up to ``max_depth`` bits. Buckets are key ranges. The texts meet
-in a grouping by (hash, text), which takes the place of the buckets: the
-directory only labels the index. Equal hashes with unequal bytes stay apart as
-links of one chain. The index has one row per link
-with the row that stays, the group's size and its SHA-256; owner tasks write it,
-each one range of hashes, to the shared folder.
+its next bit, up to ``max_depth`` bits. Buckets are ranges of keys and own the texts:
+texts are grouped by (bucket, hash, bytes), equal hashes with unequal bytes of a
+bucket stay apart as links of one chain, and owner tasks write the buckets, range
+after range, to the shared folder. The index has one row per link with the row that
+stays, the group's size and its SHA-256. Documents find their bucket in the directory
+and look up their link in it by hash and SHA-256.
 
 Everything is DataFrame work. The grouping combines before the shuffle, so a
-text that a third of all rows share is one row per task; documents then look up
-their link by (hash, SHA-256) in a join whose larger partitions Spark may split.
-A chain in which two unequal texts had the same SHA-256 would stop the job.
+text that a third of all rows share is one row per task; look-ups are a join whose
+larger partitions Spark may split, and rows that repeat both id and text are written
+out by several tasks. A chain in which two unequal texts had the same SHA-256 would
+stop the job.
 
 Defined results: a null text equals the empty text. Null ids rank below all
 others. Of rows equal in id and text exactly one stays. An empty table gives no
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import ascii_lower, stored, text_or_empty
 
-CAPACITY = 1_000_000
+CAPACITY = 256
 START_DEPTH = 4
 MAX_DEPTH = 18
+CHUNK = 4096  # repeats of one id and text that a task writes out at a time
 
 
 def _top_bits(hash_: Column, bits: int) -> Column:
@@ -47,8 +49,8 @@ def directory(
 
     One row per used entry of ``max_depth`` bits, so ``2**max_depth`` at most:
     entry, n, depth; the bucket an entry points to is its top ``depth`` bits. A
-    bucket still overfull at ``max_depth`` stays whole in the directory and is
-    split over tasks all the same, as rows are dealt by hash.
+    bucket still overfull at ``max_depth`` stays whole in the directory; its texts
+    are dealt to tasks by hash and bytes as well.
     """
     entries = hashes.groupBy(_top_bits(F.col("hash"), max_depth).alias("entry")).agg(
         F.count(F.lit(1)).alias("n")
@@ -75,6 +77,15 @@ def directory(
     return found
 
 
+def in_bucket(keyed: DataFrame, found: DataFrame, max_depth: int) -> DataFrame:
+    """``keyed`` (column ``hash``) with the depth and bucket the directory ``found`` names."""
+    # 2**max_depth rows at most, whatever the input.
+    depths = F.broadcast(found.select(F.col("entry").alias("_entry"), "depth"))
+    entry = _top_bits(F.col("hash"), max_depth)
+    bucket = F.expr(f"shiftright(_entry, {max_depth} - depth)")
+    return keyed.join(depths, entry == F.col("_entry")).withColumn("bucket", bucket).drop("_entry")
+
+
 def build_index(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -85,7 +96,7 @@ def build_index(
 ) -> tuple[DataFrame, DataFrame]:
     """(entries, index), both stored in the shared folder.
 
-    ``entries``: hash, text_sha256, doc_id, copies; one row per id and text.
+    ``entries``: depth, bucket, hash, text_sha256, doc_id, copies; one row per id and text.
     ``index``: depth, bucket, hash, link, text_sha256, keep_id, group_size; one
     row per distinct text.
     """
@@ -100,34 +111,33 @@ def build_index(
         "entries",
     )
     found = directory(entries.select("hash").distinct(), capacity, start_depth, max_depth)
-    entry = _top_bits(F.col("hash"), max_depth)
-    # 2**max_depth rows at most, whatever the input.
-    depths = F.broadcast(found.select("entry", "depth"))
-    texts = keyed.groupBy("hash", "norm").agg(
+    texts = in_bucket(keyed, found, max_depth).groupBy("depth", "bucket", "hash", "norm").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
     chains = (
-        texts.select("hash", F.struct(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size").alias("text"))
-        .groupBy("hash")
+        texts.select(
+            "depth", "bucket", "hash",
+            F.struct(F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size").alias("text"),
+        )
+        .groupBy("depth", "bucket", "hash")
         .agg(F.sort_array(F.collect_list("text")).alias("chain"))
     )
     apart = F.size(F.array_distinct("chain.text_sha256")) == F.size("chain")
-    links = chains.select(
-        "hash",
+    index = chains.select(
+        "depth", "bucket", "hash",
         F.posexplode(
             F.when(apart, F.col("chain")).otherwise(
                 F.raise_error(F.lit("unequal texts with one SHA-256"))
             )
         ).alias("link", "text"),
-    ).select("hash", "link", "text.*")
-    index = (
-        links.withColumn("entry", entry)
-        .join(depths, "entry")
-        .withColumn("bucket", F.expr(f"shiftright(entry, {max_depth} - depth)"))
-        .drop("entry")
-    )
-    owned = index.repartitionByRange(F.shiftrightunsigned("hash", 1)).sortWithinPartitions("hash", "link")
-    return entries, stored(owned, "index")
+    ).select("depth", "bucket", "hash", "link", "text.*")
+    # A bucket's range of keys is in one file, in order, unless it is cut for its size.
+    lowest = F.expr(f"shiftleft(bucket, {max_depth} - depth)")
+    owned = index.repartitionByRange(lowest, F.shiftrightunsigned("hash", 1)).sortWithinPartitions("bucket", "depth", "hash", "link")
+    return in_bucket(entries, found, max_depth), stored(owned, "index")
+
+
+KEY = ["depth", "bucket", "hash", "text_sha256"]
 
 
 def exact_dedup(
@@ -141,8 +151,17 @@ def exact_dedup(
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, and
     where the index has its text (bucket, depth, link)."""
     entries, index = build_index(docs, id_column, text_column, capacity, start_depth, max_depth)
-    found = entries.join(index, ["hash", "text_sha256"])
-    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    many = entries.where(F.col("copies") > CHUNK)
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    rows = entries.where(F.col("copies") <= CHUNK).join(index, KEY).select("*", copy)
+    if not many.isEmpty():
+        # First the chunks of a row's repeats, dealt to all tasks, then the repeats.
+        chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {CHUNK}"))).alias("chunk")
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = many.join(index, KEY).select("*", chunk).repartition(n, "hash", "doc_id", "chunk")
+        first = F.col("chunk") * CHUNK
+        each = F.explode(F.sequence(first + 1, F.least(first + CHUNK, F.col("copies")))).alias("copy")
+        rows = rows.unionByName(chunks.select("*", each).drop("chunk"))
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return rows.select(
         "doc_id", "keep_id", "group_size", stays.alias("kept"), "text_sha256",
@@ -159,7 +178,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """
     entries, index = build_index(docs, id_column, text_column)
     stays = (
-        entries.join(index, ["hash", "text_sha256"])
+        entries.join(index, KEY)
         .where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .select(
             F.col("text_sha256").alias("_sha"),
