@@ -275,15 +275,16 @@ def minhash_classes(
     in_bucket = classes.select("node", "n", F.posexplode("bands").alias("band", "key")).select(
         "node", "n", F.xxhash64("band", "key").alias("bucket")
     )
-    buckets = (
+    buckets = stored(
         in_bucket.groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("members"),
             F.min(F.struct("node", "n")).alias("least"),
             F.max(F.struct("node", "n")).alias("most"),
         )
-        .where("members > 1")
-    )
+        .where("members > 1"),
+        "buckets",
+    )  # stored, so that the join is of two plain shuffles, which Spark may split
     members = stored(in_bucket.join(buckets, "bucket"), "members")
 
     # The full sets of the classes that share a bucket with another one.
