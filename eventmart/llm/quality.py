@@ -251,9 +251,7 @@ def train(
     texts = docs.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
     # The chosen labels are bounded by ``sample_rows``.
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(
-        _measured, "doc_id string, label int, numbers array<double>"
-        if texts.schema["doc_id"].dataType.simpleString() == "string"
-        else "doc_id bigint, label int, numbers array<double>"
+        _measured, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, numbers array<double>"
     )
     # One row per id leaves the tasks, however often it is repeated.
     rows = rows.groupBy("doc_id", "label").agg(F.min("numbers").alias("numbers"))

@@ -145,7 +145,7 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.drop_repeats(table(spark, sf_dir, "documents"))
+    cut = line_dedup.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "repeats.n_cut", "repeats.n_passages", "repeats.kept_spans", "text")
 
 

@@ -71,6 +71,26 @@ def test_exact_dedup_splits_buckets(sample):
     assert all(len(keys) <= 5 for (d, _), keys in depths.items() if d < 10)
 
 
+def test_exact_dedup_index_owns_the_texts(spark):
+    """At its own capacity the directory doubles on the sf0.1 table, and look-ups go through it."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    entries, index = exact_dedup.build_index(docs)
+    sizes = index.groupBy("depth", "bucket").agg(F.countDistinct("hash").alias("n")).collect()
+    assert max(r.depth for r in sizes) > exact_dedup.START_DEPTH and max(r.n for r in sizes) <= exact_dedup.CAPACITY
+    assert index.count() == index.select(exact_dedup.KEY).distinct().count()
+    assert entries.join(index, exact_dedup.KEY).count() == entries.count()
+
+
+def test_exact_dedup_writes_repeats_out_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "CHUNK", 3)
+    rows = [(1, "a")] * 10 + [(2, "A")] * 7 + [(None, "b")] * 4 + [(3, "c")]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size) for r in got) == sorted(
+        [(1, 2, 17)] * 10 + [(2, 2, 17)] * 7 + [(0, 0, 4)] * 4 + [(3, 3, 1)]
+    )
+    assert sorted((r.doc_id or 0) for r in got if r.kept) == [0, 2, 3]
+
+
 def test_keep_one_keeps_columns_and_one_of_each(edges, none):
     kept = exact_dedup.keep_one(edges)
     assert kept.columns == edges.columns
