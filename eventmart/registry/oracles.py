@@ -426,6 +426,28 @@ GROUP BY ALL"""
     sql["fact_listen_by_version_join"] = sql["fact_listen_by_version"]
 
     conformed = lambda query: _with(_BASE, _TOPICS, _CONFORMED, query=query)
+    level = "CASE WHEN hour(ts) % 12 < 6 THEN 'paid' ELSE 'free' END AS level"
+    person = f"userId, lastName, firstName, gender, {level}, registration, ts"
+
+    def validity(topics: list[str]) -> str:
+        seen = " UNION ALL ".join(f"SELECT {person} FROM {t}" for t in topics)
+        # NULL is the least value, as in the engine.
+        order = ", ".join(f"coalesce({c}, '')" for c in ("lastName", "firstName", "gender", "level", "registration"))
+        values = "lastName := lastName, firstName := firstName, gender := gender, level := level, registration := registration"
+        return f"""
+  SELECT userId, v.lastName AS lastName, v.firstName AS firstName, v.gender AS gender, v.level AS level,
+    v.registration AS registration, ts AS valid_from, lead(ts) OVER (PARTITION BY userId ORDER BY ts) AS valid_to
+  FROM (
+    SELECT *, lag(v) OVER (PARTITION BY userId ORDER BY ts) AS previous
+    FROM (SELECT userId, ts, arg_max(struct_pack({values}), [{order}]) AS v FROM ({seen}) WHERE userId IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)
+  ) WHERE previous IS DISTINCT FROM v"""
+
+    sql["user_validity"] = conformed(validity(["listen", "auth", "page_view"]))
+    sql["listen_as_of_user"] = conformed(
+        f"""
+SELECT l.userId, l.ts, l.song, v.level AS valid_level, v.gender AS valid_gender, v.valid_from AS valid_valid_from
+FROM listen l ASOF LEFT JOIN ({validity(["auth", "page_view"])}) v ON l.userId = v.userId AND l.ts >= v.valid_from"""
+    )
     sql["page_view_guest_defaults"] = conformed(
         f"SELECT {', '.join(schemas.TOPIC_COLUMNS['page_view_events'])} FROM page_view"
     )

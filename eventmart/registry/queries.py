@@ -1,8 +1,9 @@
 """Registered queries: every operator over the whole sample tables.
 
 Each takes a session and the folder of the sample tables. The topics are derived
-from the tables. Queries on loads and streams start from them in the two forms
-the engine stores, landed parquet and JSON messages; all others write nothing.
+from the tables, whose join is stored once per application and folder. Queries on
+loads and streams start from the two forms the engine stores, landed parquet and JSON
+messages.
 Times leave as timestamps without zone (they are UTC).
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from eventmart import schemas, session
 from eventmart.functions.nulls import default_guests
 from eventmart.functions.text import repair_text
-from eventmart.operators import analytics, dims, facts, minutes, rollups
+from eventmart.operators import analytics, dims, facts, minutes, rollups, validity
 from eventmart.operators.conform import Activity, conform
 from eventmart.operators.sets import except_distinct, union_all
 from eventmart.plans import catalog, loads
@@ -94,7 +95,8 @@ def _land_all(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return sample.topic(spark, sf_dir, name)
+    """A topic's rows from the stored base, so that a query is its operator's own work."""
+    return sample.as_topic(_base(spark, sf_dir), name)
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> Activity:
@@ -370,6 +372,25 @@ def _fact(
     return facts.fact(name, events, star, user_match=user_match, method=method)
 
 
+def _validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of users over time; a user's level changes with the hour of the day."""
+    return validity.user_validity(_levelled(spark, sf_dir))
+
+
+def _levelled(spark: SparkSession, sf_dir: str) -> Activity:
+    """Events whose users change their level every quarter of a day."""
+    paid = F.when(F.hour("ts") % 12 < 6, "paid").otherwise("free")
+    return Activity(*[t.withColumn("level", paid) for t in _activity(spark, sf_dir)])
+
+
+def _listen_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listens with the version that logins and page views show for their time."""
+    activity = _levelled(spark, sf_dir)
+    versions = validity.user_validity(activity._replace(listen=activity.listen.limit(0)))
+    listens = activity.listen.select("userId", "ts", "song")
+    return validity.as_of(listens, versions, ["level", "gender", "valid_from"])
+
+
 def _second_at_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logins per second of the day: the generated clock joined with the facts."""
     logins = _fact("fact_auth", "version", "key", spark, sf_dir)
@@ -578,6 +599,8 @@ def all_queries() -> dict[str, Query]:
         queries[f"{name}_by_version"] = partial(_fact, name, "version", "key")
         queries[f"{name}_by_join"] = partial(_fact, name, "id", "join")
     queries["fact_listen_by_version_join"] = partial(_fact, "fact_listen", "version", "join")
+    queries["user_validity"] = _validity
+    queries["listen_as_of_user"] = _listen_as_of
     queries["page_view_guest_defaults"] = _guest_defaults
     queries["union_all_topics"] = _union_all_topics
     queries["page_view_only_users"] = _silent_users
