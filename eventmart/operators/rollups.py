@@ -107,6 +107,7 @@ def _top(
     rows, columns = _periods(rollup, star, grain)
     summed = rows.groupBy(*columns, key).agg(F.sum("plays").alias("plays"))
     named = lookup(summed, members, {key: key}, take, salts=1).groupBy(*columns, *keep).agg(F.sum("plays").alias("plays"))
+    named = named.select(*columns, keep[0], "plays", *keep[1:])
     return top_k(named, columns, [F.desc("plays"), *[F.asc(c) for c in order]], k)
 
 
