@@ -99,11 +99,13 @@ def repeated_runs(
         "units",
     )
     place = F.struct("doc_id", "text_hash", "unit")
-    firsts = (
+    # Stored, so that the join is of two plain shuffles, which Spark may split.
+    firsts = stored(
         units.groupBy("digest")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first != last")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "firsts",
     )
     repeats = units.join(firsts, "digest").where(~place.eqNullSafe(F.col("first")))
     # Rows equal in id and text say the same; a document's own repeats only.
