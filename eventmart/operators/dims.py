@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from eventmart import schemas, session
 from eventmart.functions.calendar import clock_key, with_calendar
 from eventmart.functions.keys import location_key, song_key
+from eventmart.operators import membership
 from eventmart.operators.conform import Activity
 from eventmart.operators.lookup import BROADCAST_BYTES, row_bytes
 from eventmart.operators.sets import except_distinct, union_all
@@ -129,21 +130,37 @@ def _candidates(name: str, activity: Activity) -> tuple[DataFrame, int]:
     return spark.read.schema(found.schema).parquet(path), seen.get["bytes"] or 0
 
 
-def new_members(name: str, activity: Activity, stored: DataFrame) -> DataFrame:
+def natural_key(name: str) -> list[str]:
+    return list(_BUILDERS[name][1])
+
+
+def new_members(
+    name: str, activity: Activity, stored: DataFrame, known_filter: DataFrame | None = None
+) -> DataFrame:
     """Members of ``activity`` that the stored dimension ``name`` lacks.
 
     The candidates are grouped once and, if their measured bytes allow, sent to
     the scan of the stored dimension, which gives back those it has: stored rows
     are read and not moved. Beyond that size both sides meet in one grouping.
+    ``known_filter`` has the parts of the dimension's membership filter: only what it
+    may know is looked for, and where that is nothing the dimension isn't read.
     """
     candidates, size = _candidates(name, activity)
-    natural_key = list(_BUILDERS[name][1])
-    known = stored.select(*natural_key)
+    keys = natural_key(name)
+    known = stored.select(*keys)
     if size > BROADCAST_BYTES:
         return _identified(name, except_distinct(candidates, known))
+    asked = candidates
+    blocks = known_filter.agg(F.max("blocks")).first()[0] if known_filter is not None else None
+    if blocks:
+        path = session.work_dir(stored.sparkSession, f"possible-{name}")
+        membership.possible(candidates, keys, known_filter, blocks).write.parquet(path)
+        asked = stored.sparkSession.read.schema(candidates.schema).parquet(path)
+        if asked.isEmpty():
+            return _identified(name, candidates)
     # Members are complete, so plain equality finds them; those met are no more than sent.
-    met = known.join(F.broadcast(candidates), natural_key, "left_semi")
-    return _identified(name, candidates.join(F.broadcast(met), natural_key, "left_anti"))
+    met = known.join(F.broadcast(asked), keys, "left_semi")
+    return _identified(name, candidates.join(F.broadcast(met), keys, "left_anti"))
 
 
 def star(spark: SparkSession, activity: Activity) -> Star:

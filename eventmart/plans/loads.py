@@ -22,14 +22,22 @@ from pyspark.sql import functions as F
 
 from eventmart import schemas
 from eventmart.functions.nulls import GUEST_IDS
-from eventmart.operators import dims, facts, rollups
+from eventmart.operators import dims, facts, membership, rollups
 from eventmart.operators.conform import Activity, conform
 from eventmart.operators.lookup import measure
 from eventmart.plans.tables import load_folder, run_together, stage_table
 from eventmart.sources import commits
 from eventmart.sources.files import delete
 from eventmart.sources.landed import landed_before, landed_day
-from eventmart.sources.warehouse import read_dim, read_fact, read_rollup, read_star, snapshot
+from eventmart.sources.warehouse import (
+    folders_of,
+    read_dim,
+    read_fact,
+    read_filter,
+    read_rollup,
+    read_star,
+    snapshot,
+)
 
 _DIMENSIONS = {
     "dim_date": dims.dim_date,
@@ -51,11 +59,13 @@ def full_load(
     user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
     with_rollups: bool = False,
+    with_filters: bool = False,
 ) -> None:
     """Rebuild all dimensions and facts from the days before ``as_of``.
 
-    ``with_rollups`` keeps the roll-ups of ``operators.rollups`` as well; loads of one
-    warehouse should agree on it. All eight tables are written to folders of their own and published by one commit
+    ``with_rollups`` keeps the roll-ups of ``operators.rollups`` as well, ``with_filters``
+    the filters of ``operators.membership``; loads of one warehouse should agree on
+    both. All eight tables are written to folders of their own and published by one commit
     that takes out the old ones; whatever fails before leaves the old tables, and a
     reader sees all tables of one load or all of the other.
     One fact per event (``version``) is a scan and a write, as landed rows already
@@ -69,6 +79,8 @@ def full_load(
         added = _stage_all(spark, activity, root, load, user_match)
         if with_rollups:
             added |= _stage_rollups(spark, root, load, commits.State(), added)
+        if with_filters:
+            added |= _stage_filters(spark, root, load, commits.State(), added)
     commits.commit(spark, root, lambda now: {"add": added, "remove": list(now.folders)})
     commits.vacuum(spark, root)
 
@@ -79,7 +91,7 @@ def _staged(spark: SparkSession, root: str, load: str) -> Iterator[None]:
     try:
         yield
     except BaseException:
-        for name in (*schemas.DIMENSIONS, *schemas.FACTS, *rollups.ROLLUPS, "user_numbers"):
+        for name in (*schemas.DIMENSIONS, *schemas.FACTS, *rollups.ROLLUPS, "user_numbers", *(f"filter_{d}" for d in _DIMENSIONS)):
             delete(spark, f"{root}/{load_folder(name, load)}")
         raise
 
@@ -109,6 +121,25 @@ def _stage_all(spark: SparkSession, activity: Activity, root: str, load: str, us
     )
 
 
+def _stage_filters(
+    spark: SparkSession, root: str, load: str, before: commits.State, added: dict[str, dict]
+) -> dict[str, dict]:
+    """The parts of the membership filters that this load's own members make. A filter
+    keeps its number of blocks until a full load makes it anew."""
+    new, built = commits.State(folders=added), {}
+    for name in _DIMENSIONS:
+        members = read_dim(spark, root, name, new)
+        blocks = None
+        if folders_of(before, f"filter_{name}"):
+            blocks = read_filter(spark, root, name, before).agg(F.max("blocks")).first()[0]
+        built[f"filter_{name}"] = membership.build(
+            members, dims.natural_key(name), blocks or membership.blocks_for(members.count())
+        )
+    return _together(
+        spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in built.items()]
+    )
+
+
 def _stage_rollups(
     spark: SparkSession, root: str, load: str, before: commits.State, added: dict[str, dict]
 ) -> dict[str, dict]:
@@ -141,6 +172,7 @@ def incremental_load(
     user_match: str = "version",
     guest_ids: tuple[str, str] = GUEST_IDS,
     with_rollups: bool = False,
+    with_filters: bool = False,
 ) -> None:
     """Add one landed day, its new dimension members and its new facts, by one commit.
 
@@ -156,7 +188,10 @@ def incremental_load(
     seen = snapshot(spark, root)
     with _staged(spark, root, load):
         known = {name: read_dim(spark, root, name, seen) for name in _DIMENSIONS}
-        found = run_together(spark, [partial(dims.new_members, n, activity, stored) for n, stored in known.items()])
+        filters = {name: read_filter(spark, root, name, seen) if with_filters else None for name in _DIMENSIONS}
+        found = run_together(
+            spark, [partial(dims.new_members, n, activity, stored, filters[n]) for n, stored in known.items()]
+        )
         members = dict(zip(known, found, strict=True))
         added = _together(
             spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in members.items()]
@@ -177,6 +212,8 @@ def incremental_load(
 
         if with_rollups:
             added |= _stage_rollups(spark, root, load, seen, added)
+        if with_filters:
+            added |= _stage_filters(spark, root, load, seen, added)
 
         def change(now: commits.State) -> dict:
             if now.folders != seen.folders:

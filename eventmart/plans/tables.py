@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import schemas
+from eventmart.operators.membership import FILTER
 from eventmart.operators.rollups import ROLLUPS, USER_NUMBERS
 from eventmart.sources import commits
 from eventmart.sources.landed import land_rows
@@ -78,7 +79,8 @@ def merge_folders(spark: SparkSession, root: str) -> None:
         return
     load, added = commits.new_name(), {}
     for name, folders in old.items():
-        schema = {**schemas.DIMENSIONS, **schemas.FACTS, **ROLLUPS, "user_numbers": USER_NUMBERS}[name]
+        known = {**schemas.DIMENSIONS, **schemas.FACTS, **ROLLUPS, "user_numbers": USER_NUMBERS}
+        schema = FILTER if name.startswith("filter_") else known[name]
         by = ["date_id"] if name in schemas.FACTS else []
         added |= stage_table(commits.read(spark, root, schema, folders), root, name, load, by, by)
     gone = [f for folders in old.values() for f in folders]

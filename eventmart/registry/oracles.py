@@ -501,6 +501,7 @@ GROUP BY ALL"""
     )
     for topic in schemas.TOPIC_COLUMNS:
         sql[f"decode_{topic}"] = _decoded_sql(topic)
+    sql["decode_open_listen_events"] = _decoded_sql("listen_events", ", length(song) AS build")
     sql["stream_job_counts"] = _stream_job_sql()
 
     for grain in GRAINS:
@@ -555,6 +556,9 @@ WHERE artist = (SELECT artist FROM listen_events GROUP BY artist ORDER BY count(
     tables = {"dim_time": "dim_time"} | {n: f"old_{n}" for n in schemas.DIMENSIONS if n != "dim_time"}
     tables |= {n: f"({_fact_select(n, 'version', _BEFORE_LAST, 'old_')})" for n in schemas.FACTS}
     sql["load_seen_by_old_reader"] = _load_query(_count_rows(tables))
+    tables = {"dim_time": "dim_time"} | {n: n for n in schemas.DIMENSIONS if n != "dim_time"}
+    tables |= {n: _loaded_fact_sql(n, "version") for n in schemas.FACTS}
+    sql["filtered_load_counts"] = _load_query(_count_rows(tables))
     # Roll-ups answer as the facts do.
     for grain in ("year", "month", "week", "day", "hour"):
         for question in ("logged_in_users", "songs_played"):

@@ -197,6 +197,15 @@ def _decoded(topic: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.events(sample.as_json(_topic(spark, sf_dir, topic)), topic)
 
 
+def _decoded_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with a field the wire schema doesn't know, decoded to VARIANT once."""
+    topic = "listen_events"
+    sent = _topic(spark, sf_dir, topic).withColumn("client", F.struct(F.length("song").alias("build")))
+    opened = ingest.normalize(ingest.decode_open(sample.as_json(sent), topic), topic)
+    build = ingest.field("client.build", "bigint").alias("build")
+    return opened.select(*schemas.TOPIC_COLUMNS[topic], build)
+
+
 def _stream_table(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run one metric as a stream into its keyed sink and read the sink."""
     root = session.work_dir(spark, "serving")
@@ -481,6 +490,18 @@ def _old_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row_counts(tables)
 
 
+def _filtered_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the incremental load twice, with candidates met through the stored filters."""
+    root = session.work_dir(spark, "warehouse")
+    landed_root, last = _land_all(spark, sf_dir), _day_span(spark, sf_dir)[1]
+    loads.full_load(spark, landed_root, root, last, with_filters=True)
+    for _ in range(2):
+        loads.incremental_load(spark, landed_root, root, last, last + timedelta(days=1), with_filters=True)
+    tables = {n: warehouse.read_dim(spark, root, n) for n in schemas.DIMENSIONS}
+    tables |= {n: warehouse.read_fact(spark, root, n) for n in schemas.FACTS}
+    return _row_counts(tables)
+
+
 def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
     """All days but the last by a full load, the last two by incremental ones, with roll-ups."""
 
@@ -618,6 +639,7 @@ def all_queries() -> dict[str, Query]:
     queries["catalog_sql"] = _catalog_sql
     for topic in schemas.TOPIC_COLUMNS:
         queries[f"decode_{topic}"] = partial(_decoded, topic)
+    queries["decode_open_listen_events"] = _decoded_open
     for table in minutes.TABLES:
         queries[f"stream_{table}"] = partial(_stream_table, table)
     queries["stream_late_rows_dropped"] = partial(_late_rows, minutes.NO_DELAY)
@@ -636,6 +658,7 @@ def all_queries() -> dict[str, Query]:
             queries[f"by_topic_{table}"] = partial(_by_topic_table, table)
     queries["by_topic_landed_counts"] = _by_topic_landed
     queries["load_seen_by_old_reader"] = _old_reader
+    queries["filtered_load_counts"] = _filtered_load_counts
     for grain in rollups.COARSE:
         queries[f"rollup_logged_in_users_{grain}"] = partial(_rollup, rollups.logged_in_users, "rollup_logins", grain, {})
         queries[f"rollup_songs_played_{grain}"] = partial(_rollup, rollups.songs_played, "rollup_songs", grain, {})

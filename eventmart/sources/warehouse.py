@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart import schemas
 from eventmart.operators.dims import Star
+from eventmart.operators.membership import FILTER
 from eventmart.operators.rollups import ROLLUPS, USER_NUMBERS
 from eventmart.sources import commits
 
@@ -64,3 +65,8 @@ def read_rollup(spark: SparkSession, root: str, name: str, state: commits.State
     state = state or snapshot(spark, root)
     schema = USER_NUMBERS if name == "user_numbers" else ROLLUPS[name]
     return commits.read(spark, root, schema, folders_of(state, name))
+
+
+def read_filter(spark: SparkSession, root: str, name: str, state: commits.State | None = None) -> DataFrame:
+    """The parts of the membership filter of the dimension ``name``."""
+    return commits.read(spark, root, FILTER, folders_of(state or snapshot(spark, root), f"filter_{name}"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,23 @@ def decode(messages: DataFrame, topic: str, columns: Sequence[str] | None = None
     return messages.select(event.alias("event")).select("event.*")
 
 
+def decode_open(messages: DataFrame, topic: str) -> DataFrame:
+    """The topic's typed fields and the whole message as a VARIANT in ``message``.
+
+    A message is parsed once; fields the wire schema doesn't know stay in ``message``,
+    from which ``field`` takes them when they are wanted. Broken JSON and values of
+    another type give NULLs.
+    """
+    opened = messages.select(F.try_parse_json(F.col("value").cast("string")).alias("message"))
+    typed = [field(f.name, f.dataType.simpleString()).alias(f.name) for f in schemas.wire(topic).fields]
+    return opened.select(*typed, "message")
+
+
+def field(name: str, kind: str, message: str = "message") -> Column:
+    """A field of a VARIANT message as a value of type ``kind``, or NULL."""
+    return F.try_variant_get(message, f"$.{name}", kind)
+
+
 def normalize(decoded: DataFrame, topic: str) -> DataFrame:
     """Epoch milliseconds to timestamps, song and artist text repaired.
 

@@ -85,6 +85,15 @@ def test_decode_reads_bytes_and_all_topics(spark):
         assert event.select(F.unix_millis("ts"), "userId").first()[:] == (1500, 4)
 
 
+def test_open_decode_keeps_unknown_fields(spark):
+    texts = ['{"ts": 1704103200000, "song": "x", "client": {"build": 7}}', '{"ts": "soon", "userId": 3}', "{bad", "[]", ""]
+    found = ingest.decode_open(spark.createDataFrame([(t,) for t in texts], "value string"), "listen_events")
+    got = found.select("ts", "song", "userId", ingest.field("client.build", "int"), ingest.field("client.build", "boolean"))
+    assert [tuple(r) for r in got.collect()] == [
+        (1704103200000, "x", None, 7, True), (None, None, 3, None, None), *[(None,) * 5] * 3
+    ]
+
+
 def test_text_is_repaired_before_it_is_grouped(spark):
     messages = spark.createDataFrame(
         [(json.dumps(play(1, "BeyoncÃ©")),), (json.dumps(play(2, '"Beyoncé"')),)], "value string"
