@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from eventmart import schemas
 from eventmart.operators import minutes
 from eventmart.plans.tables import run_together
+from eventmart.sources import commits
 from eventmart.sources.landed import land_rows
 from eventmart.streaming import ingest, sinks
 
@@ -91,10 +92,11 @@ def topic_query(
     def each(batch: DataFrame, number: int) -> None:
         events = ingest.events(batch, topic).persist()
         try:
-            writes = [partial(land_rows, events, landed_root, topic, f"stream-{run}", number)]
+            step = commits.step_for(events, "ts")  # no table has days the events have not
+            writes = [partial(land_rows, events, landed_root, topic, f"stream-{run}", number, step=step)]
             for table in tables:
                 save = sinks.save_batch if table == "user_login" else sinks.save_counts
-                writes.append(partial(save, minutes.TABLES[table](events), serving_root, table, number, run))
+                writes.append(partial(save, minutes.TABLES[table](events), serving_root, table, number, run, step))
             run_together(batch.sparkSession, writes)
         finally:
             events.unpersist()

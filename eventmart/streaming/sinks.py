@@ -45,8 +45,16 @@ def land_stream(
         F.count_if(F.col("ts").isNull()).alias("no_time"),
     )
     run = f"stream-{run_of(events.sparkSession, checkpoint)}"
+
+    def land(batch: DataFrame, number: int) -> None:
+        batch.persist()  # its days are counted and its rows written, its metrics are of one pass
+        try:
+            land_rows(batch, root, topic, run, number)
+        finally:
+            batch.unpersist()
+
     return (
-        observed.writeStream.foreachBatch(lambda batch, number: land_rows(batch, root, topic, run, number))
+        observed.writeStream.foreachBatch(land)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -74,34 +82,51 @@ def reject_stream(
 WRITER = T.StructType([T.StructField("run", T.LongType()), T.StructField("batch_id", T.LongType())])
 
 
-def _store(rows: DataFrame, root: str, table: str, folder: str) -> dict[str, dict]:
-    """Write rows with their ``run`` and ``batch_id`` as a sorted run per event day.
+def _store(rows: DataFrame, root: str, table: str, folder: str, step: int) -> dict[str, dict]:
+    """Write rows with their ``run`` and ``batch_id`` as a sorted run per event day, or per
+    span of ``step`` days.
 
     Rows are brought together by day and sorted by key, newest first; minima, maxima
-    and Bloom filters of the keys in the files let a read by key open few of them.
+    and Bloom filters of the keys in the files let a read by key open few of them. The
+    filters are as large as the keys of their file ask for.
     """
     partition, clustering = schemas.SERVING_KEYS[table]
-    placed = rows.withColumn("event_day", F.to_date(clustering)).hint("rebalance", "event_day")
+    placed = rows.withColumn("event_day", commits.first_day(clustering, step)).hint("rebalance", "event_day")
     placed = placed.sortWithinPartitions("event_day", *partition, F.desc(clustering))
     texts = [c for c in partition if isinstance(schemas.SERVING[table][c].dataType, T.StringType)]
     blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in texts}
-    return commits.write(placed, topic_path(root, table), folder, ["event_day"], blooms)
+    blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
+    return commits.write(placed, topic_path(root, table), folder, ["event_day"], blooms, step)
 
 
-def save_batch(batch: DataFrame, root: str, table: str, batch_id: int, run: int = 0) -> None:
-    """Publish one micro-batch as sorted runs of level 0; a replay changes nothing."""
+def save_batch(batch: DataFrame, root: str, table: str, batch_id: int, run: int = 0, step: int | None = None) -> None:
+    """Publish one micro-batch as sorted runs of level 0; a replay changes nothing.
+
+    ``step`` is the number of days of a run where it is known; otherwise the days of the
+    batch, which is held for it, are counted."""
     spark, path = batch.sparkSession, topic_path(root, table)
     if commits.is_done(spark, path, str(run), batch_id):
         return
     marked = batch.withColumns({"run": F.lit(run).cast("long"), "batch_id": F.lit(batch_id).cast("long")})
-    added = _store(marked, root, table, f"depth=0/by={run}/batch={batch_id}")
+    folder = f"depth=0/by={run}/batch={batch_id}"
+    if step:
+        added = _store(marked, root, table, folder, step)
+    else:
+        marked.persist()
+        try:
+            step = commits.step_for(marked, schemas.SERVING_KEYS[table][1])
+            added = _store(marked, root, table, folder, step)
+        finally:
+            marked.unpersist()
     entries = {f: {**about, "level": 0} for f, about in added.items()}
     commits.commit(spark, path, lambda now: {"add": entries}, (str(run), batch_id))
 
 
-def save_counts(counts: DataFrame, root: str, table: str, batch_id: int, run: int = 0) -> None:
+def save_counts(
+    counts: DataFrame, root: str, table: str, batch_id: int, run: int = 0, step: int | None = None
+) -> None:
     """Publish one micro-batch's own counts; ``merged_counts`` adds those of a run up."""
-    save_batch(counts, root, table, batch_id, run)
+    save_batch(counts, root, table, batch_id, run, step)
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> int:
@@ -142,11 +167,13 @@ def _runs(
     """Rows of the published runs of the days from ``first`` to ``last``."""
     schema = T.StructType([*schemas.SERVING[table].fields, T.StructField("event_day", T.DateType()), *WRITER.fields])
     found = commits.state(spark, topic_path(root, table)).folders
-    wanted = [
-        f for f, about in found.items()
-        if (first is None or (about["event_day"] or "") >= first) and (last is None or (about["event_day"] or "") <= last)
-    ]
-    return commits.read(spark, topic_path(root, table), schema, wanted)
+    wanted = {
+        f: about for f, about in found.items()
+        if (first is None or (commits.last_day(about, "event_day") or "") >= first)
+        and (last is None or (about["event_day"] or "") <= last)
+    }
+    rows = commits.read(spark, topic_path(root, table), schema, list(wanted))
+    return commits.by_day(rows, "event_day", schemas.SERVING_KEYS[table][1], list(wanted.values()))
 
 
 def _instant(moment: datetime) -> datetime:
@@ -218,27 +245,29 @@ def compact(
     one run. Merged rows keep the run and batch they come from, so days needn't be
     closed. The merged runs and the end of the old ones are one commit; the old
     files stay for readers at work until ``vacuum``. With ``adds`` the table holds counts
-    of batches, which are added up per run. Returns the days merged.
+    of batches, which are added up per run. Where runs hold spans of days, those that
+    overlap are merged into the widest. Returns the (first) days merged.
     """
     path = topic_path(root, table)
     merged_days: set[str] = set()
     while True:
-        groups: dict[tuple[str, int], list[str]] = {}
-        for folder, about in commits.state(spark, path).folders.items():
-            if about["event_day"] is not None and about["event_day"] < before.isoformat():
-                level = 0 if fan_in <= 2 else about["level"]
-                groups.setdefault((about["event_day"], level), []).append(folder)
+        levels: dict[int, dict[str, dict]] = {}
+        found = commits.state(spark, path).folders
+        for folder, about in found.items():
+            if about["event_day"] is not None and commits.last_day(about, "event_day") < before.isoformat():
+                levels.setdefault(0 if fan_in <= 2 else about["level"], {})[folder] = about
+        groups = {(d, n): f for n, over in levels.items() for d, f in commits.overlapping(over, "event_day").items()}
         ready = {g: f for g, f in groups.items() if len(f) >= max(fan_in, 2)}
         if not ready:
             return [date.fromisoformat(d) for d in sorted(merged_days)]
-        _merge(spark, root, table, ready, adds)
+        _merge(spark, root, table, ready, adds, max(found[f].get("days", 1) for fs in ready.values() for f in fs))
         merged_days |= {day for day, _ in ready}
 
 
 def _merge(
-    spark: SparkSession, root: str, table: str, ready: dict[tuple[str, int], list[str]], adds: bool
+    spark: SparkSession, root: str, table: str, ready: dict[tuple[str, int], list[str]], adds: bool, step: int
 ) -> None:
-    """Publish one run of the next level for each group of runs."""
+    """Publish one run of the next level for each group of runs, none of which is wider than ``step``."""
     path, key = topic_path(root, table), schemas.serving_key(table)
     values = [c for c in schemas.SERVING[table].names if c not in key]
     schema = T.StructType([*schemas.SERVING[table].fields, *WRITER.fields])
@@ -248,7 +277,7 @@ def _merge(
         newest = F.max(F.struct("run", "batch_id", *values)).alias("last")
         merged = _added_up(stored, key) if adds else stored.groupBy(*key).agg(newest).select(*key, "last.*")
         name = f"depth={level + 1}/by=merged/batch={commits.new_name()}"
-        added = _store(merged.select(*schema.names), root, table, name)
+        added = _store(merged.select(*schema.names), root, table, name, step)
         entries = {f: {**about, "level": level + 1} for f, about in added.items()}
         commits.commit(
             spark, path,
