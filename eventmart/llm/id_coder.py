@@ -60,8 +60,10 @@ class _Model:
 
     def __init__(self, vocabulary: int, bits: int):
         self.mask = (1 << bits) - 1
-        self.order1 = np.zeros(vocabulary, dtype=np.int64)
-        self.order2 = np.zeros(1 << bits, dtype=np.int64)
+        # Small entries, so that the tables stay near the processor.
+        kind = np.int32 if vocabulary <= 1 << 28 else np.int64
+        self.order1 = np.zeros(vocabulary, dtype=kind)
+        self.order2 = np.zeros(1 << bits, dtype=kind)
         self.counts = np.ones(vocabulary, dtype=np.int64)
         self.cum = np.arange(vocabulary + 1, dtype=np.int64)
         self.total = U(vocabulary)
@@ -93,23 +95,29 @@ class _Model:
     def predict(self, before1: np.ndarray, before2: np.ndarray) -> None:
         key = before2 * 0x2545F491 + before1 * 0x1E3779B1
         self.at2, self.at1 = (key ^ (key >> 17)) & self.mask, before1
-        self.e2, self.e1 = self.order2[self.at2], self.order1[before1]
+        self.e2, self.e1 = self.order2[self.at2].astype(np.int64), self.order1[before1].astype(np.int64)
         self.a, self.b = self.e2 >> 3, self.e1 >> 3
         self.c2, self.c1 = self.e2 & 7, self.e1 & 7
         self.context = self.c2 * (2 * SURE) + self.c1 + SURE * (self.a == self.b)
         self.context *= SHARES
         self.context += self.share[self.a]
 
-    def update(self, ids: np.ndarray, kind: np.ndarray) -> None:
-        """``kind``: 0 the first candidate was right, 1 the second, 2 neither."""
-        for table, at, guess, sure in (
-            (self.order2, self.at2, self.a, self.c2),
-            (self.order1, self.at1, self.b, self.c1),
+    def update(self, ids: np.ndarray, choice: np.ndarray) -> None:
+        """``choice``: the context plus ``CONTEXTS`` times 0 if the first candidate was
+        right, 1 if the second was, 2 for neither."""
+        new = ids << 3
+        # Sums and products rather than ``where``, which is slow where the two cases mix.
+        for table, at, entry, guess, sure in (
+            (self.order2, self.at2, self.e2, self.a, self.c2),
+            (self.order1, self.at1, self.e1, self.b, self.c1),
         ):
-            right = guess == ids
-            keep = right | (sure > 1)
-            table[at] = (np.where(keep, guess, ids) << 3) | NEXT_SURE[sure + (right << 3)]
-        self.seen += np.bincount(self.context + CONTEXTS * kind, minlength=3 * CONTEXTS)
+            kept = entry - sure
+            kept -= new
+            kept *= sure > 1
+            kept += new
+            kept += NEXT_SURE[sure + ((guess == ids) << 3)]
+            table[at] = kept.astype(table.dtype)
+        self.seen += np.bincount(choice, minlength=3 * CONTEXTS)
         self.new_ids.append(ids)
         if len(self.new_ids) == REFRESH:
             self._refresh()
@@ -121,8 +129,8 @@ class _Model:
         self.total = U(total)
         self.new_ids = []
         self.share[:] = SHARES - 1
-        for kind in range(SHARES - 2, -1, -1):
-            self.share[self.counts > total >> 4 * (kind + 1)] = kind
+        for kind in range(1, SHARES):
+            self.share -= self.counts > total >> 4 * kind
         hits_a, hits_b, neither = self.seen.reshape(3, CONTEXTS)
         n = hits_a + hits_b + neither
         error = hits_a * ONE - n * self.fa
@@ -133,9 +141,8 @@ class _Model:
             (self.p2, self.of2, hits_a, n), (self.p1, self.of1, hits_a, n), (self.p0, self.of0, hits_a, n),
             (self.pb, self.of_b, hits_b, n - hits_a),
         ):
-            hits, tries = np.zeros(len(table), dtype=np.int64), np.zeros(len(table), dtype=np.int64)
-            np.add.at(hits, of, right)
-            np.add.at(tries, of, tried)
+            # Sums of whole numbers below 2**53 are exact in doubles.
+            hits, tries = (np.bincount(of, m, len(table)).astype(np.int64) for m in (right, tried))
             table += (hits * ONE - tries * table) // (tries + 256)
             np.clip(table, 4, ONE - 4, out=table)
         self.seen[:] = 0
@@ -148,11 +155,21 @@ def _lane_sizes(n: int, lanes: int) -> tuple[int, int]:
     return steps, n - lanes * (steps - 1)
 
 
-def _layout(n: int, lanes: int) -> np.ndarray:
-    """First index of each lane: the first lanes have one id more."""
-    steps, last = _lane_sizes(n, lanes)
-    lane = np.arange(lanes)
-    return lane * (steps - 1) + np.minimum(lane, last)
+def _by_step(ids: np.ndarray, lanes: int) -> np.ndarray:
+    """Ids with a row per step and a column per lane; the first lanes have one id more."""
+    steps, last = _lane_sizes(len(ids), lanes)
+    found = np.zeros((steps, lanes), dtype=ids.dtype)
+    found[:, :last] = ids[: last * steps].reshape(last, steps).T
+    if last < lanes and steps > 1:
+        found[:-1, last:] = ids[last * steps :].reshape(lanes - last, steps - 1).T
+    return found
+
+
+def _by_lane(found: np.ndarray, n: int) -> np.ndarray:
+    """The ids that ``_by_step`` made ``found`` of."""
+    steps, lanes = found.shape
+    last = n - lanes * (steps - 1)
+    return np.concatenate((found[:, :last].T.ravel(), found[:-1, last:].T.ravel()))
 
 
 def encode_block(ids: np.ndarray, vocabulary: int, bits: int = ORDER2_BITS) -> bytes:
@@ -163,7 +180,7 @@ def encode_block(ids: np.ndarray, vocabulary: int, bits: int = ORDER2_BITS) -> b
     head = (n, lanes, vocabulary, zlib.crc32(ids.tobytes()))
     body = b""
     if n:
-        body = _encode(ids.astype(np.int64), lanes, vocabulary, bits)
+        body = _encode(ids, lanes, vocabulary, bits)
     return HEAD.pack(MAGIC, VERSION, bits, *head, zlib.crc32(body)) + body
 
 
@@ -182,7 +199,7 @@ def _give_off(low: np.ndarray, width: np.ndarray, of: np.ndarray | None) -> np.n
 
 def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
     steps, last = _lane_sizes(len(ids), lanes)
-    start = _layout(len(ids), lanes)
+    of_step = _by_step(ids, lanes)
     model = _Model(vocabulary, bits)
     all_low, all_width = np.zeros(lanes, dtype=U), np.full(lanes, ~U(0))
     low, width = all_low, all_width
@@ -191,10 +208,11 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
     for step in range(steps):
         if step == steps - 1:
             low, width = low[:last], width[:last]
-            before1, before2, start = before1[:last], before2[:last], start[:last]
-        x = ids[start + step]
+            before1, before2 = before1[:last], before2[:last]
+        x = of_step[step, : len(low)].astype(np.int64)
         model.predict(before1, before2)
-        kind = np.where((model.a == x) & (model.c2 > 0), 0, 2 - ((model.b == x) & (model.c1 > 0)))
+        kind = 2 - ((model.b == x) & (model.c1 > 0))
+        kind *= ~((model.a == x) & (model.c2 > 0))
         choice = model.context + CONTEXTS * kind
         part = width >> W12
         low += part * model.first[choice]
@@ -202,10 +220,9 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
         at = np.flatnonzero(kind == 2)
         if len(at):
             own = x[at]
-            first = model.cum[own]
             part = width[at] // model.total
-            low[at] += part * first.astype(U)
-            width[at] = part * (model.cum[own + 1] - first).astype(U)
+            low[at] += part * model.cum[own].astype(U)
+            width[at] = part * model.counts[own].astype(U)
         at = None
         while len(at := _give_off(low, width, at)):
             now = low[at]
@@ -213,7 +230,7 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
             out_word.append(now >> W48)
             low[at] = now << W16
             width[at] <<= W16
-        model.update(x, kind)
+        model.update(x, choice)
         before2, before1 = before1, x
     point = (all_low >> W32) + ONE_U
     for word in (point >> W16, point & U(0xFFFF)):
@@ -241,7 +258,6 @@ def decode_block(block: bytes) -> np.ndarray:
 
 def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.ndarray:
     steps, last = _lane_sizes(n, lanes)
-    start = _layout(n, lanes)
     sizes = np.frombuffer(body, dtype="<u4", count=lanes).astype(np.int64)
     # Past its end a lane's reader sees the next lane's words, which change nothing.
     words = np.concatenate((np.frombuffer(body, dtype="<u2", offset=4 * lanes), np.zeros(8, dtype="<u2"))).astype(U)
@@ -253,11 +269,12 @@ def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.n
     model = _Model(vocabulary, bits)
     low, width = np.zeros(lanes, dtype=U), np.full(lanes, ~U(0))
     before1, before2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-    out = np.empty(n, dtype="<u4")
+    of_step = np.empty((steps, lanes), dtype="<u4")
+    place_bits = lanes.bit_length()
     for step in range(steps):
         if step == steps - 1:
             low, width, code, place = low[:last], width[:last], code[:last], place[:last]
-            before1, before2, start = before1[:last], before2[:last], start[:last]
+            before1, before2 = before1[:last], before2[:last]
         model.predict(before1, before2)
         part = width >> W12
         over = code - low
@@ -266,25 +283,30 @@ def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.n
         choice = model.context + CONTEXTS * kind
         low += part * model.first[choice]
         np.multiply(part, model.size[choice], out=width)
-        x = np.where(kind == 0, model.a, model.b)
+        x = model.a - model.b
+        x *= kind == 0
+        x += model.b
         at = np.flatnonzero(kind == 2)
         if len(at):
             part = width[at] // model.total
-            value = np.minimum((code[at] - low[at]) // part, model.total - ONE_U).astype(np.int64)
-            order = np.argsort(value)  # neighbours are found faster one after the other
+            from_low = low[at]
+            value = np.minimum((code[at] - from_low) // part, model.total - ONE_U).astype(np.int64)
+            # Neighbours are found faster one after the other: sorted with their places below them.
+            value <<= place_bits
+            value += np.arange(len(at))
+            value.sort()
             own = np.empty_like(value)
-            own[order] = np.searchsorted(model.cum, value[order], side="right") - 1
-            first = model.cum[own]
+            own[value & ((1 << place_bits) - 1)] = np.searchsorted(model.cum, value >> place_bits, side="right") - 1
             x[at] = own
-            low[at] += part * first.astype(U)
-            width[at] = part * (model.cum[own + 1] - first).astype(U)
+            low[at] = from_low + part * model.cum[own].astype(U)
+            width[at] = part * model.counts[own].astype(U)
         at = None
         while len(at := _give_off(low, width, at)):
             low[at] <<= W16
             width[at] <<= W16
             code[at] = (code[at] << W16) | words[place[at]]
             place[at] += 1
-        out[start + step] = x
-        model.update(x, kind)
+        of_step[step, : len(x)] = x
+        model.update(x, choice)
         before2, before1 = before1, x
-    return out
+    return _by_lane(of_step, n)

@@ -35,6 +35,8 @@ PRE_TOKENIZER = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
+# All others, as Latin-1 bytes.
+EVEN = bytes([*b"\t\n\r", *range(32, 127), *range(0xC0, 0x100)])
 # The same pattern for lower-case text without those characters.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 
@@ -61,6 +63,14 @@ class _Known(dict):
         return ids
 
 
+def _even(text: str) -> bool:
+    """Whether ``ODD`` finds nothing in ``text``; much faster than a search."""
+    try:
+        return not text.encode("latin-1").translate(None, EVEN)
+    except UnicodeEncodeError:
+        return False
+
+
 class ChunkIds:
     """Texts to ids (little-endian unsigned 32-bit, as bytes)."""
 
@@ -77,6 +87,8 @@ class ChunkIds:
         self.known = _Known(self._word)
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha():  # letters only are one piece
+            return self._piece(word)
         pieces = PIECES.findall(word)
         # A piece is a word of its own, so both share one table.
         return self._piece(word) if pieces == [word] else b"".join(map(self.known.__getitem__, pieces))
@@ -92,11 +104,11 @@ class ChunkIds:
     def encode(self, text: str) -> bytes:
         if len(self.known) > self.most:
             self.known.clear()
-        if not ODD.search(text) and "<|" not in text:
+        if _even(text) and "<|" not in text:
             return self._plain(text)
         out = []
         for chunk in text.replace("\n", " ").split(" "):
-            if ODD.search(chunk) or "<|" in chunk:
+            if not _even(chunk) or "<|" in chunk:
                 ids = self.library.encode(chunk, add_special_tokens=False).ids
                 out.append(array("I", ids).tobytes())
             else:

@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import corpus_pipeline
 from eventmart.llm import embedding_dedup, url_filter
 from eventmart.llm.components import components
-from eventmart.llm.id_coder import DamagedBlock, decode_block, encode_block
+from eventmart.llm.id_coder import DamagedBlock, _by_lane, _by_step, decode_block, encode_block
 from eventmart.llm.registry import URL_RULES
 
 
@@ -145,6 +145,14 @@ def test_blocks_round_trip(n):
         assert (decode_block(block) == ids).all()
 
 
+@pytest.mark.parametrize("n, lanes", [(1, 1), (5, 5), (6, 5), (9, 5), (10, 5), (1000, 7)])
+def test_lanes_are_runs_of_ids(n, lanes):
+    ids = np.arange(n, dtype="<u4")
+    steps = _by_step(ids, lanes)
+    assert steps.shape == (-(-n // lanes), lanes) and (_by_lane(steps, n) == ids).all()
+    assert (np.diff(steps[: n // lanes].astype(int), axis=0) == 1).all()
+
+
 def test_predictable_ids_take_little_room():
     ids = np.tile(np.arange(500), 200)
     assert len(encode_block(ids, 49_408)) < 0.25 * len(ids)
