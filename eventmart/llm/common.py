@@ -48,6 +48,28 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+MARK_ROWS, MARK_BITS = 1 << 20, 64
+
+
+def _marked_at(hashed: Column) -> tuple[Column, Column]:
+    """Row and bit that stand for a hash."""
+    bit = F.pmod(F.shiftright(hashed, 32), F.lit(MARK_BITS)).cast("int")
+    row = F.pmod(hashed, F.lit(MARK_ROWS)).cast("int")
+    return row, F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+
+
+def maybe_among(df: DataFrame, hashed: Column, others: DataFrame, other_column: str, result: str) -> DataFrame:
+    """``df`` with ``result``: false for rows whose hash (BIGINT) ``others`` surely hasn't.
+    The hashes are bits of at most ``MARK_ROWS`` rows, broadcast whatever the tables'
+    size, so that rows that a join would find nothing for needn't be moved."""
+    row, bit = _marked_at(F.col(other_column))
+    marks = others.groupBy(row.alias("_mark_row")).agg(F.bit_or(bit).alias("_mark_bits"))
+    row, bit = _marked_at(hashed)
+    near = df.join(F.broadcast(marks), row == marks["_mark_row"], "left")
+    found = F.coalesce(marks["_mark_bits"].bitwiseAND(bit) != 0, F.lit(False))
+    return near.select(*[df[c] for c in df.columns], found.alias(result))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, so
     that lost executors cost no more than the reading of a file."""

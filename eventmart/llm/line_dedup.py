@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import stored, text_or_empty, workers_import
+from eventmart.llm.common import free_name, maybe_among, stored, text_or_empty, workers_import
 from eventmart.llm.passages import repeated_stretches
 
 MIN_WORDS = 50
@@ -102,8 +102,8 @@ def repeated_runs(
     # Stored, so that the join is of two plain shuffles, which Spark may split.
     firsts = stored(
         units.groupBy("digest")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first != last")
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
         .select("digest", "first"),
         "firsts",
     )
@@ -155,14 +155,21 @@ def drop_repeats(
     """``docs`` with cut texts and a column ``result``: struct of ``n_cut`` (runs of
     lines cut out), ``kept_spans`` (array of start, end in the original text) and
     ``n_passages`` (stretches of repeated windows cut out; whole lines may be both)."""
-    cuts = repeated_runs(docs, id_column, text_column, min_words).select(
-        F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("cuts").alias("_cuts"),
-        F.col("n_cut").alias("_cut_runs"), F.col("n_passages").alias("_cut_passages"),
+    cuts = stored(
+        repeated_runs(docs, id_column, text_column, min_words).select(
+            F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_hash"), F.col("cuts").alias("_cuts"),
+            F.col("n_cut").alias("_cut_runs"), F.col("n_passages").alias("_cut_passages"),
+        ),
+        "cuts",
     )
-    text, found = docs[text_column], cuts["_cuts"]
-    same = cuts["_cut_id"].eqNullSafe(docs[id_column]) & (cuts["_cut_hash"] == F.xxhash64(text_or_empty(text)))
-    # Texts pass a hash of the cuts one by one; nothing as large as they is sorted.
-    joined = docs.join(cuts.hint("shuffle_hash"), same, "left")
+    text, found, near = F.col(text_column), F.col("_cuts"), free_name(docs, "near")
+    hashed = F.xxhash64(text_or_empty(docs[text_column]))
+    same = cuts["_cut_id"].eqNullSafe(docs[id_column]) & (cuts["_cut_hash"] == hashed)
+    marked = maybe_among(docs, hashed, cuts, "_cut_hash", near)
+    # Texts pass a hash of the cuts one by one; nothing as large as they is sorted, and
+    # those that surely stay whole aren't moved.
+    joined = marked.where(F.col(near)).join(cuts.hint("shuffle_hash"), same, "left")
+    joined = joined.unionByName(marked.where(~F.col(near)), allowMissingColumns=True)
     long = F.char_length(text_or_empty(text))
     # Kept pieces lie between the cuts, without the white space beside them.
     starts = F.concat(F.array(F.lit(0)), F.transform(found, lambda c: c["end"] + 1))
@@ -182,8 +189,8 @@ def drop_repeats(
     cut_text = F.array_join(
         F.transform(pieces, lambda p: F.substring(text, p["start"] + 1, p["end"] - p["start"])), "\n"
     )
-    n_cut, n_passages = (F.coalesce(cuts[c], F.lit(0)) for c in ("_cut_runs", "_cut_passages"))
+    n_cut, n_passages = (F.coalesce(c, F.lit(0)) for c in ("_cut_runs", "_cut_passages"))
     return joined.select(
-        *[F.when(is_cut, cut_text).otherwise(text).alias(c) if c == text_column else docs[c] for c in docs.columns],
+        *[F.when(is_cut, cut_text).otherwise(text).alias(c) if c == text_column else F.col(c) for c in docs.columns],
         F.struct(n_cut.alias("n_cut"), spans.alias("kept_spans"), n_passages.alias("n_passages")).alias(result),
     )

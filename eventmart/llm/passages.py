@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import stored
+from eventmart.llm.common import maybe_among, stored
 
 SLICE_BYTES = 1 << 20  # text a worker looks at at a time, one document at least
 WHITE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
@@ -200,14 +200,17 @@ def repeated_stretches(source: DataFrame, n: int) -> DataFrame:
     # all documents share is as many rows as it has units.
     classes = stored(_classes(units), "unit-classes")
     mixed = classes.groupBy("value").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("value")
-    parts = (
+    parts = stored(
         classes.join(mixed, "value")
         .groupBy(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-        .agg(F.collect_list(F.struct("first.start", "first.end")).alias("parts"))
+        .agg(F.collect_list(F.struct("first.start", "first.end")).alias("parts")),
+        "unit-parts",
     )
     same = parts["_id"].eqNullSafe(sized["doc_id"]) & (parts["_hash"] == sized["text_hash"])
+    # Texts are moved only where they may have such parts.
+    near = maybe_among(sized, sized["text_hash"], parts, "_hash", "near").where("near")
     windows = stored(
-        sized.join(parts.hint("shuffle_hash"), same)
+        near.join(parts.hint("shuffle_hash"), same)
         .select(*sized.columns, "parts")
         .mapInArrow(_windows(n), shape),
         "windows",
