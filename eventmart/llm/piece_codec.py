@@ -12,7 +12,10 @@ there may still go on. Whenever the paths back from all living boundaries meet i
 one, the ids up to it are given off and forgotten, so memory does not grow with
 the text. No piece with other characters has the blank sign inside, so the search
 is over before every blank sign that follows another character; the stretches
-between repeat, and their ids are kept in a bounded table per worker.
+between repeat, and their ids are kept in a bounded table per worker. A new stretch is
+cut further wherever no piece has its two neighbouring characters side by side, as
+nothing is merged across: what stands beside a word doesn't make it another one. Short
+parts are searched as a whole, long ones as a stream.
 
 A character without a piece becomes its UTF-8 bytes. Text is taken as it is (the
 model's normaliser is the identity); a blank is put in front, as the model asks,
@@ -27,7 +30,8 @@ not looked at.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,10 @@ from eventmart.llm.common import text_or_empty, workers_import
 
 BLANK = "▁"  # the model's sign for a blank (fixed)
 OWN_SIGN = BLANK + "itself"  # stands for that sign where a text has it
-MOST_STRETCHES = 300_000
+MOST_STRETCHES = 1_000_000
 LONGEST_KEPT = 48
 MOST_PAIRS = 500_000
+NEVER = float("-inf")  # the score of what is no piece
 
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6  # kinds of pieces in a model file (fixed)
 
@@ -90,31 +95,34 @@ class StreamingViterbi:
     def __init__(self, pieces: list[tuple[str, float, int]]):
         self.pieces = pieces
         self.ids = {p: (i, s) for i, (p, s, kind) in enumerate(pieces) if kind in (NORMAL, USER_DEFINED)}
+        self.score = {p: s for p, (_, s) in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE}
         self.longest = max(map(len, self.ids), default=1)
         self.unknown_id = next((i for i, (p, _, kind) in enumerate(pieces) if kind == UNKNOWN), 0)
-        # A tree of characters; what stands under the empty string ends a piece.
-        self.tree: dict = {}
+        # A tree of characters: for each the tree below it, and the piece that ends there or -1.
+        self.tree: dict[str, tuple[dict, int]] = {}
         for piece, (i, _) in self.ids.items():
             node = self.tree
-            for character in piece:
-                node = node.setdefault(character, {})
-            node[""] = i
+            for character in piece[:-1]:
+                node = node.setdefault(character, ({}, -1))[0]
+            below = node.get(piece[-1:], ({}, -1))[0]
+            node[piece[-1:]] = (below, i)
+        self.neighbours = {pair for piece in self.ids for pair in pairwise(piece)}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.widest = 0
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging, the best score first."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = self.ids.get(parts[i] + parts[i + 1])
-                if found and (best is None or found[1] > best):
-                    best, at = found[1], i
-            if at < 0:
-                break
+        parts, score = list(text), self.score.get
+        scores = [score(a + b, NEVER) for a, b in pairwise(parts)]
+        while scores and (best := max(scores)) > NEVER:
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NEVER)
         return parts
 
     def _follows(self, before: int, piece: int) -> bool:
@@ -148,13 +156,13 @@ class StreamingViterbi:
             end += 1
             start, piece, still = end - 1, -1, []
             for begin, node in open_:
-                node = node.get(character)
-                if node is None:
+                below = node.get(character)
+                if below is None:
                     continue
-                found = node.get("")
-                if found is None or len(node) > 1:
+                node, found = below
+                if node:
                     still.append((begin, node))
-                if found is not None and piece < 0:
+                if found >= 0 and piece < 0:
                     may = pairs.get((made[begin], found))
                     if self._follows(made[begin], found) if may is None else may:
                         start, piece = begin, found
@@ -174,6 +182,32 @@ class StreamingViterbi:
                     end -= agreed
         yield from self._path(window, back, made, end)
 
+    def whole(self, text: str) -> list[int]:
+        """What ``feed`` gives off for a short text, with a window as long as the text."""
+        tree, pairs, size = self.tree, self.pairs, len(text)
+        back, made = list(range(-1, size)), [-1] * (size + 1)
+        for begin in range(size):
+            node, before = tree, made[begin]
+            for end in range(begin, size):
+                below = node.get(text[end])
+                if below is None:
+                    break
+                node, found = below
+                if found >= 0 and made[end + 1] < 0:
+                    may = pairs.get((before, found))
+                    if self._follows(before, found) if may is None else may:
+                        back[end + 1], made[end + 1] = begin, found
+        return self._path(text, back, made, size)
+
+    def parts(self, text: str) -> Iterator[str]:
+        """``text`` cut where no piece has the two characters side by side: nothing is
+        merged across, so that each part's ids are its own."""
+        joined, begin = bytes(map(self.neighbours.__contains__, pairwise(text))), 0
+        while end := joined.find(0, begin) + 1:
+            yield text[begin:end]
+            begin = end
+        yield text[begin:]
+
     @staticmethod
     def _agreed(alive: set[int], back: list[int]) -> int:
         """The last boundary that the paths to all living boundaries share."""
@@ -183,7 +217,7 @@ class StreamingViterbi:
             alive.add(back[last])
         return alive.pop()
 
-    def _path(self, window: list[str], back: list[int], made: list[int], end: int) -> list[int]:
+    def _path(self, window: Sequence[str], back: list[int], made: list[int], end: int) -> list[int]:
         parts = []
         while end:
             start = back[end]
@@ -192,6 +226,22 @@ class StreamingViterbi:
         return [i for part in reversed(parts) for i in part]
 
 
+class _Known(dict):
+    """Ids as bytes, of at most ``MOST_STRETCHES`` short texts; a new one is made where it is missed."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.make(text)
+        if len(text) <= LONGEST_KEPT:
+            if len(self) >= MOST_STRETCHES:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class PieceCodec:
     """Texts to ids and back; stretches that repeat are kept."""
 
@@ -200,7 +250,8 @@ class PieceCodec:
         # Pieces with a blank sign inside consist of blank signs only, or no
         # boundary before a blank sign would be safe.
         self.cuts = all(BLANK not in p[1:] or not p.strip(BLANK) for p in self.viterbi.ids)
-        self.known: dict[str, bytes] = {}
+        # Stretches without the blank sign they begin with, and parts behind a stretch's first.
+        self.known, self.behind = _Known(self._stretch), _Known(self._part)
         self.text_of: list[bytes] = []
         for piece, _, kind in self.viterbi.pieces:
             if kind == BYTE:
@@ -209,21 +260,36 @@ class PieceCodec:
                 self.text_of.append(piece.replace(BLANK, " ").encode() if kind in (NORMAL, USER_DEFINED) else b"")
 
     def _stretches(self, text: str) -> list[str]:
-        """Cut before every blank sign that follows another character."""
-        marked = BLANK + text.replace(" ", BLANK)
+        """Cut before every blank sign that follows another character; the sign that
+        every stretch begins with is left out."""
         if not self.cuts:
-            return [marked]
-        parts = marked.split(BLANK)
+            return [text.replace(" ", BLANK)]
+        parts = text.split(" ")
+        if "" not in parts:
+            return parts
         out, blanks = [], ""
-        for part in parts[1:]:
-            blanks += BLANK
+        for part in parts:
             if part:
                 out.append(blanks + part)
                 blanks = ""
+            else:
+                blanks += BLANK
         if blanks:
-            out.append(blanks)
+            out.append(blanks[1:])
         return out
 
+    def _stretch(self, rest: str) -> bytes:
+        """The ids of a stretch, by its parts."""
+        parts = self.viterbi.parts(BLANK + rest)
+        first = next(parts)[1:]
+        if len(first) == len(rest):
+            return self._part(BLANK + rest)
+        return self.known[first] + b"".join(map(self.behind.__getitem__, parts))
+
+    def _part(self, part: str) -> bytes:
+        found = self.viterbi.whole(part) if len(part) <= LONGEST_KEPT else self.viterbi.feed(part)
+        return array("i", found).tobytes()
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, as int32."""
         if not text:
@@ -231,17 +297,7 @@ class PieceCodec:
         if BLANK in text:
             signs = {" ": BLANK, BLANK: OWN_SIGN}
             return np.fromiter(self.viterbi.feed([BLANK, *(signs.get(c, c) for c in text)]), dtype=np.int32)
-        known, out = self.known, []
-        for stretch in self._stretches(text):
-            ids = known.get(stretch)
-            if ids is None:
-                ids = array("i", self.viterbi.feed(stretch)).tobytes()
-                if len(stretch) <= LONGEST_KEPT:
-                    if len(known) >= MOST_STRETCHES:
-                        known.clear()
-                    known[stretch] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self._stretches(text))), dtype=np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         raw = b"".join(map(self.text_of.__getitem__, ids))

@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 
 from eventmart.llm import exact_dedup, line_dedup, minhash_dedup, packing, piece_codec, quality, token_files, toxicity
-from eventmart.llm.tokens import ChunkIds, vocabulary
+from eventmart.llm.common import maybe_among
+from eventmart.llm.tokens import ODD, PIECES, ChunkIds, _even, vocabulary
 from eventmart.session import work_dir
 from pyspark.sql import functions as F
 
@@ -250,6 +251,17 @@ def brute_cuts(rows, n=50):
     return kept
 
 
+def test_only_rows_that_may_match_are_moved(spark):
+    hashed = F.xxhash64("id")
+    docs = spark.range(5000).withColumn("other", F.lit(1))
+    some = spark.range(0, 5000, 50).select(hashed.alias("h"))
+    marked = maybe_among(docs, hashed, some, "h", "near")
+    assert marked.columns == ["id", "other", "near"] and marked.count() == 5000
+    near = {r.id for r in marked.where("near").collect()}
+    assert near >= set(range(0, 5000, 50)) and len(near) < 200
+    assert maybe_among(docs, hashed, some.limit(0), "h", "near").where("near").count() == 0
+
+
 def test_passages_inside_lines(spark):
     broken = PASSAGE.replace(" p30 ", "\np30\t ").replace("p9 ", "P9  ")
     rows = [
@@ -332,6 +344,13 @@ def test_token_files(spark, sample, edges, none, library_ids):
     assert token_files.read_tokens(spark, path).count() == 0
 
 
+def test_even_characters_are_those_not_odd():
+    for text in (c for i in range(0x300) for c in (chr(i), f"a{chr(i)}B")):
+        assert _even(text) == (ODD.search(text) is None), text
+        for word in text.lower().split() if _even(text) else ():
+            assert not word.isalpha() or PIECES.findall(word) == [word]
+
+
 # --- SentencePiece --------------------------------------------------------------------
 
 
@@ -360,6 +379,22 @@ def test_search_window_is_bounded(sample):
     assert own.viterbi.widest <= 4 * own.viterbi.longest < len(text)
 
 
+def test_words_are_searched_once_whatever_stands_beside_them():
+    import sentencepiece
+
+    own = piece_codec.PieceCodec(piece_codec.model_file(None))
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_codec.model_file(None))
+    searched, whole = [], own.viterbi.whole
+    own.viterbi.whole = lambda part: searched.append(part) or whole(part)
+    text = " ".join(f"{before}harbourwerk{after}" for before in ("", "(", '"') for after in ("", ".", ",", "!!", ".\nUnd", " "))
+    assert own.encode(text).tolist() == library.encode(text)
+    assert len(searched) == len(set(searched)) and searched.count("▁harbourwerk") == 1
+    rng = np.random.default_rng(5)
+    for size in rng.integers(0, 90, 2000):
+        text = "".join(rng.choice(list("ab eE  \n\tth(){}=*/#.,'103é中ñx$-_"), size))
+        assert own.encode(text).tolist() == library.encode(text), text
+
+
 # --- classifiers ------------------------------------------------------------------------
 
 
