@@ -30,6 +30,7 @@ MAGIC = b"IDCM"
 VERSION = 2
 HEAD = struct.Struct("<4sHHIIIII")  # magic, version, log2 of order-2 size, ids, lanes, vocabulary, two checksums
 LANES, STEPS = 8192, 128
+TURN = 64  # lanes that are brought from lanes to steps, or back, at a time
 ORDER2_BITS = 18
 REFRESH = 8  # steps between two updates of odds and counts
 COUNT_STEP = 32
@@ -47,8 +48,8 @@ W12, W16, W32, W48, ONE_U = U(12), U(16), U(32), U(48), U(1)
 _SHARES = np.arange(ONE).clip(1, None)
 STRETCH = np.rint(256 * np.log(_SHARES / (ONE - _SHARES))).astype(np.int64)
 SQUASH = np.rint(ONE / (1 + np.exp(-np.arange(-2048, 2049) / 256))).astype(np.int64).clip(1, ONE - 1)
-# The confidence after a hit (second half) or a miss (first half).
-NEXT_SURE = np.array([1, 1, 1, 1, 2, 2, 3, 3] + [1, 2, 3, 4, 5, 6, 7, 7], dtype=np.int64)
+# The confidence after a hit (first half) or a miss (second half).
+NEXT_SURE = np.array([1, 2, 3, 4, 5, 6, 7, 7] + [1, 1, 1, 1, 2, 2, 3, 3], dtype=np.int32)
 
 
 class DamagedBlock(ValueError):
@@ -60,15 +61,16 @@ class _Model:
 
     def __init__(self, vocabulary: int, bits: int):
         self.mask = (1 << bits) - 1
-        # Small entries, so that the tables stay near the processor.
-        kind = np.int32 if vocabulary <= 1 << 28 else np.int64
-        self.order1 = np.zeros(vocabulary, dtype=kind)
-        self.order2 = np.zeros(1 << bits, dtype=kind)
+        # Small entries, so that the tables and a step's arrays stay near the processor.
+        self.kind = np.int32 if vocabulary <= 1 << 28 else np.int64
+        self.order1 = np.zeros(vocabulary, dtype=self.kind)
+        self.order2 = np.zeros(1 << bits, dtype=self.kind)
         self.counts = np.ones(vocabulary, dtype=np.int64)
         self.cum = np.arange(vocabulary + 1, dtype=np.int64)
         self.total = U(vocabulary)
         self.new_ids: list[np.ndarray] = []
-        self.share = np.full(vocabulary, SHARES - 1, dtype=np.int64)
+        self.share = np.full(vocabulary, SHARES - 1, dtype=self.kind)
+        self.shared = np.empty(0, dtype=np.int64)  # ids with a share above the least kind
         context = np.arange(CONTEXTS)
         self.of0, context = context % SHARES, context // SHARES
         self.of2, self.of1 = context // (2 * SURE), context % (2 * SURE)
@@ -95,28 +97,32 @@ class _Model:
     def predict(self, before1: np.ndarray, before2: np.ndarray) -> None:
         key = before2 * 0x2545F491 + before1 * 0x1E3779B1
         self.at2, self.at1 = (key ^ (key >> 17)) & self.mask, before1
-        self.e2, self.e1 = self.order2[self.at2].astype(np.int64), self.order1[before1].astype(np.int64)
+        self.e2, self.e1 = self.order2[self.at2], self.order1[before1]
         self.a, self.b = self.e2 >> 3, self.e1 >> 3
         self.c2, self.c1 = self.e2 & 7, self.e1 & 7
-        self.context = self.c2 * (2 * SURE) + self.c1 + SURE * (self.a == self.b)
-        self.context *= SHARES
-        self.context += self.share[self.a]
+        context = self.c2 * (2 * SURE)
+        context += self.c1
+        context += (self.a == self.b).view(np.int8) << 3  # SURE
+        context *= SHARES
+        context += self.share.take(self.a)
+        self.context = context.astype(np.intp)  # an index
 
     def update(self, ids: np.ndarray, choice: np.ndarray) -> None:
         """``choice``: the context plus ``CONTEXTS`` times 0 if the first candidate was
-        right, 1 if the second was, 2 for neither."""
+        right, 1 if the second was, 2 for neither. ``ids`` are of the tables' kind."""
         new = ids << 3
-        # Sums and products rather than ``where``, which is slow where the two cases mix.
-        for table, at, entry, guess, sure in (
-            (self.order2, self.at2, self.e2, self.a, self.c2),
-            (self.order1, self.at1, self.e1, self.b, self.c1),
+        # Bits rather than ``where``, which is slow where the two cases mix.
+        for table, at, entry, sure in (
+            (self.order2, self.at2, self.e2, self.c2),
+            (self.order1, self.at1, self.e1, self.c1),
         ):
-            kept = entry - sure
-            kept -= new
-            kept *= sure > 1
-            kept += new
-            kept += NEXT_SURE[sure + ((guess == ids) << 3)]
-            table[at] = kept.astype(table.dtype)
+            entry ^= new  # ``sure`` alone after a hit, 8 and more beside it after a miss
+            next_sure = NEXT_SURE.take(np.minimum(entry, sure + SURE))
+            entry ^= sure
+            entry &= (1 - sure) >> 31  # all bits where the guess is kept, which is if sure > 1
+            entry ^= new
+            entry ^= next_sure
+            table[at] = entry
         self.seen += np.bincount(choice, minlength=3 * CONTEXTS)
         self.new_ids.append(ids)
         if len(self.new_ids) == REFRESH:
@@ -128,9 +134,10 @@ class _Model:
         total = int(self.cum[-1])
         self.total = U(total)
         self.new_ids = []
-        self.share[:] = SHARES - 1
-        for kind in range(1, SHARES):
-            self.share -= self.counts > total >> 4 * kind
+        self.share[self.shared] = SHARES - 1
+        self.shared = np.flatnonzero(self.counts > total >> 4 * (SHARES - 1))
+        counts = self.counts[self.shared]
+        self.share[self.shared] = SHARES - 1 - sum((counts > total >> 4 * kind).astype(int) for kind in range(1, SHARES))
         hits_a, hits_b, neither = self.seen.reshape(3, CONTEXTS)
         n = hits_a + hits_b + neither
         error = hits_a * ONE - n * self.fa
@@ -159,17 +166,30 @@ def _by_step(ids: np.ndarray, lanes: int) -> np.ndarray:
     """Ids with a row per step and a column per lane; the first lanes have one id more."""
     steps, last = _lane_sizes(len(ids), lanes)
     found = np.zeros((steps, lanes), dtype=ids.dtype)
-    found[:, :last] = ids[: last * steps].reshape(last, steps).T
+    _turn(found[:, :last], ids[: last * steps].reshape(last, steps))
     if last < lanes and steps > 1:
-        found[:-1, last:] = ids[last * steps :].reshape(lanes - last, steps - 1).T
+        _turn(found[:-1, last:], ids[last * steps :].reshape(lanes - last, steps - 1))
     return found
 
 
+def _turn(of_step: np.ndarray, of_lane: np.ndarray) -> None:
+    """Fill ``of_step`` from ``of_lane``, its transpose, by parts that a cache can hold."""
+    for i in range(0, len(of_lane), TURN):
+        of_step[:, i : i + TURN] = of_lane[i : i + TURN].T
+
+
+def _turn_back(of_step: np.ndarray) -> np.ndarray:
+    of_lane = np.empty(of_step.shape[::-1], dtype=of_step.dtype)
+    for i in range(0, len(of_lane), TURN):
+        of_lane[i : i + TURN] = of_step[:, i : i + TURN].T
+    return of_lane.ravel()
+
+
 def _by_lane(found: np.ndarray, n: int) -> np.ndarray:
     """The ids that ``_by_step`` made ``found`` of."""
     steps, lanes = found.shape
     last = n - lanes * (steps - 1)
-    return np.concatenate((found[:, :last].T.ravel(), found[:-1, last:].T.ravel()))
+    return np.concatenate((_turn_back(found[:, :last]), _turn_back(found[:-1, last:])))
 
 
 def encode_block(ids: np.ndarray, vocabulary: int, bits: int = ORDER2_BITS) -> bytes:
@@ -199,8 +219,8 @@ def _give_off(low: np.ndarray, width: np.ndarray, of: np.ndarray | None) -> np.n
 
 def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
     steps, last = _lane_sizes(len(ids), lanes)
-    of_step = _by_step(ids, lanes)
     model = _Model(vocabulary, bits)
+    of_step = _by_step(ids.astype(model.kind, copy=False), lanes)
     all_low, all_width = np.zeros(lanes, dtype=U), np.full(lanes, ~U(0))
     low, width = all_low, all_width
     before1, before2 = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
@@ -209,17 +229,18 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
         if step == steps - 1:
             low, width = low[:last], width[:last]
             before1, before2 = before1[:last], before2[:last]
-        x = of_step[step, : len(low)].astype(np.int64)
+        x = of_step[step, : len(low)]
         model.predict(before1, before2)
-        kind = 2 - ((model.b == x) & (model.c1 > 0))
-        kind *= ~((model.a == x) & (model.c2 > 0))
-        choice = model.context + CONTEXTS * kind
+        not_a = ~((model.a == x) & (model.c2 > 0))
+        neither = not_a & ~((model.b == x) & (model.c1 > 0))
+        choice = model.context
+        choice += CONTEXTS * (not_a.astype(np.int16) + neither)
         part = width >> W12
         low += part * model.first[choice]
         np.multiply(part, model.size[choice], out=width)
-        at = np.flatnonzero(kind == 2)
+        at = np.flatnonzero(neither)
         if len(at):
-            own = x[at]
+            own = x[at].astype(np.int64)
             part = width[at] // model.total
             low[at] += part * model.cum[own].astype(U)
             width[at] = part * model.counts[own].astype(U)
@@ -231,7 +252,7 @@ def _encode(ids: np.ndarray, lanes: int, vocabulary: int, bits: int) -> bytes:
             low[at] = now << W16
             width[at] <<= W16
         model.update(x, choice)
-        before2, before1 = before1, x
+        before2, before1 = before1, x.astype(np.int64)
     point = (all_low >> W32) + ONE_U
     for word in (point >> W16, point & U(0xFFFF)):
         out_lane.append(np.arange(lanes))
@@ -278,15 +299,16 @@ def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.n
         model.predict(before1, before2)
         part = width >> W12
         over = code - low
-        kind = (over >= part * model.first[model.context + CONTEXTS]).astype(np.int64)
-        kind += over >= part * model.first[model.context + 2 * CONTEXTS]
-        choice = model.context + CONTEXTS * kind
+        not_a = over >= part * model.first[CONTEXTS:].take(model.context)
+        neither = over >= part * model.first[2 * CONTEXTS :].take(model.context)
+        choice = model.context
+        choice += CONTEXTS * (not_a.astype(np.int16) + neither)
         low += part * model.first[choice]
         np.multiply(part, model.size[choice], out=width)
-        x = model.a - model.b
-        x *= kind == 0
-        x += model.b
-        at = np.flatnonzero(kind == 2)
+        x = model.a ^ model.b
+        x &= not_a.astype(model.kind) - 1  # all bits where the first candidate is right
+        x ^= model.b
+        at = np.flatnonzero(neither)
         if len(at):
             part = width[at] // model.total
             from_low = low[at]
@@ -308,5 +330,5 @@ def _decode(body: bytes, n: int, lanes: int, vocabulary: int, bits: int) -> np.n
             place[at] += 1
         of_step[step, : len(x)] = x
         model.update(x, choice)
-        before2, before1 = before1, x
+        before2, before1 = before1, x.astype(np.int64)
     return _by_lane(of_step, n)

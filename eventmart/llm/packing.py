@@ -169,7 +169,7 @@ def _packer(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int):
     end = end_id.to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = chunk_ids(path).encode
+        encode_all = chunk_ids(path).encode_all
         first = TaskContext.get().partitionId() << 32
         sequences = groups = 0
         id_type = None
@@ -203,8 +203,9 @@ def _packer(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int):
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             pieces = tail
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encode(text) + end
+            coded = encode_all(batch.column("text").to_pylist())
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
+                ids = own + end
                 held[number] = (doc_id, ids, len(ids) // 4)
                 pieces.append((number, 0, len(ids) // 4))
                 number += 1

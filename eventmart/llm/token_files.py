@@ -62,8 +62,9 @@ def _block_writer(path: str, end_id: int, block_ids: int):
 
         for batch in batches:
             schema = batch.schema.field("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids.append(encoder.encode(text) + end)
+            coded = encoder.encode_all(batch.column("text").to_pylist())
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
+                ids.append(own + end)
                 docs.append(doc_id)
                 waiting += len(ids[-1]) // 4
                 if waiting >= block_ids:

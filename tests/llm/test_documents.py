@@ -300,6 +300,20 @@ def test_chunks_equal_the_library(sample, library_ids):
         assert np.frombuffer(own.encode(text or ""), "<u4").tolist() == library_ids(text)[:-1], text
 
 
+def test_texts_encoded_together_look_a_word_up_once(sample, monkeypatch):
+    rows = [t or "" for _, t in EDGES] + ["", " \n ", "日本語 テスト", "<|x|> y"] + [t or "" for _, t in texts(sample)[:100]]
+    alone = ChunkIds(vocabulary(None))
+    want = [alone.encode(t) for t in rows]
+    for chars in (1, 300, 1 << 20):  # texts in slices of their own, of a few, in one
+        monkeypatch.setattr("eventmart.llm.tokens.SLICE_CHARS", chars)
+        assert list(ChunkIds(vocabulary(None), most=500).encode_all(rows)) == want
+    together, asked = ChunkIds(vocabulary(None)), []
+    word = together.known.make
+    together.known = type("Counted", (dict,), {"__missing__": lambda _, w: asked.append(w) or word(w)})()
+    assert b"".join(together.encode_all(["one two one"] * 1000)) == alone.encode("one two one") * 1000
+    assert sorted(asked) == ["one", "two"]
+
+
 def test_packing(sample, edges, none, library_ids):
     for docs in (sample, edges):
         pieces = packing.pack_documents(docs).toPandas()
