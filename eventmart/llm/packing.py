@@ -169,7 +169,7 @@ def _packer(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int):
     end = end_id.to_bytes(4, "little")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = chunk_ids(path).encode_all
+        encoder = chunk_ids(path)
         first = TaskContext.get().partitionId() << 32
         sequences = groups = 0
         id_type = None
@@ -203,7 +203,7 @@ def _packer(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int):
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             pieces = tail
-            coded = encode_all(batch.column("text").to_pylist())
+            coded = encoder.encode_all(batch.column("text").to_pylist())
             for doc_id, own in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
                 ids = own + end
                 held[number] = (doc_id, ids, len(ids) // 4)
@@ -215,6 +215,7 @@ def _packer(path: str, end_id: int, tiers: tuple[int, ...], step_tokens: int):
             held = {k: v for k, v in held.items() if k in used}
         if tail:
             yield rows(binary_tail(tail))
+        encoder.forget()
 
     return packed
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import maybe_among, stored
 
-SLICE_BYTES = 1 << 20  # text a worker looks at at a time, one document at least
+SLICE_BYTES = 1 << 18  # text a worker looks at at a time, one document at least
 WHITE = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
 BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)

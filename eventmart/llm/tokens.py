@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST_PIECES = 500_000  # about 100 MB; workers keep the table as long as they live
+MOST_PIECES = 500_000  # less than 200 MB
 LONGEST_KEPT = 64
 SLICE_CHARS = 4 << 20  # texts whose words are told apart at a time, one text at least
 
@@ -138,6 +138,11 @@ class ChunkIds:
             together = iter(self._plain_together([t for t, p in zip(some, plain, strict=True) if p]))
             yield from (next(together) if p else self.encode(t) for t, p in zip(some, plain, strict=True))
 
+    def forget(self) -> None:
+        """Give the table's memory back: a worker lives on for the tasks of other stages."""
+        self.known.clear()
+        pa.default_memory_pool().release_unused()
+
     def encode(self, text: str) -> bytes:
         if len(self.known) > self.most:
             self.known.clear()

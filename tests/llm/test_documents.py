@@ -5,13 +5,17 @@ from __future__ import annotations
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from eventmart.llm import exact_dedup, line_dedup, minhash_dedup, packing, piece_codec, quality, token_files, toxicity
+from eventmart.llm import (
+    exact_dedup, line_dedup, minhash_dedup, packing, passages, piece_codec, quality, token_files, toxicity,
+)
 from eventmart.llm.common import maybe_among
-from eventmart.llm.tokens import ODD, PIECES, ChunkIds, _even, vocabulary
+from eventmart.llm.tokens import ODD, PIECES, ChunkIds, _even, chunk_ids, vocabulary
 from eventmart.session import work_dir
 from pyspark.sql import functions as F
 
@@ -335,6 +339,28 @@ def test_packing(sample, edges, none, library_ids):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packing_tasks_leave_no_table_behind(monkeypatch, library_ids):
+    context = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
+    monkeypatch.setattr(packing, "TaskContext", context)
+    rows = ["one two", "", "three four"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": rows})
+    packed = packing._packer(vocabulary(None), 2, packing.TIERS, packing.STEP_TOKENS)(iter([batch]))
+    assert sum(sum(b.column("length").to_pylist()) for b in packed) == sum(len(library_ids(t)) for t in rows)
+    assert not chunk_ids(vocabulary(None)).known
+
+
+def test_passage_units_are_the_same_in_any_slices(monkeypatch):
+    rows = [f"{i % 7} a b c d e {i}" * (i % 5) for i in range(60)]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": [*range(60)], "text": rows, "text_hash": [*range(60)], "size": [len(t.encode()) for t in rows]}
+    )
+    found = []
+    for size in (1, 200, 1 << 20):
+        monkeypatch.setattr(passages, "SLICE_BYTES", size)
+        found.append([r for b in passages._units(8)(iter([batch])) for r in b.to_pylist()])
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_step_groups_weigh_the_same():
     lengths = [4096] * 200 + [512] * 333 + [2048] * 77
     dealt = np.bincount(packing.step_groups(lengths), lengths)
