@@ -47,11 +47,12 @@ def register(spark: SparkSession, root: str, database: str = DATABASE) -> list[s
 def refresh(spark: SparkSession, database: str = DATABASE) -> None:
     """Follow the published loads: dimensions to their folder, facts to theirs by day.
 
-    What several loads added to is merged first, as a table or a partition has one place.
+    What several loads added to is merged first, as a table or a partition has one place,
+    and facts kept by spans of days get a folder per day, which is a partition.
     """
     (name, *_) = schemas.DIMENSIONS
     root = spark.sql(f"SHOW TBLPROPERTIES {database}.{name} ('{ROOT}')").first()["value"].rstrip("/")
-    merge_folders(spark, root)
+    merge_folders(spark, root, by_day=True)
     found = snapshot(spark, root)
     for name in schemas.DIMENSIONS:
         for folder in folders_of(found, name):

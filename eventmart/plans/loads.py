@@ -69,7 +69,8 @@ def full_load(
     that takes out the old ones; whatever fails before leaves the old tables, and a
     reader sees all tables of one load or all of the other.
     One fact per event (``version``) is a scan and a write, as landed rows already
-    are grouped by day; matching on the id brings them together by day again.
+    are grouped by day; matching on the id brings them together by day again. Beyond
+    ``commits.SPANS`` days a fact's folders hold spans of days, as landed ones do.
     """
     activity = _activity(
         lambda topic: landed_before(spark, landed_root, topic, as_of), guest_ids
@@ -107,6 +108,8 @@ def _stage_all(spark: SparkSession, activity: Activity, root: str, load: str, us
     added = _together(
         spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in built.items()]
     )
+    dates = read_dim(spark, root, "dim_date", commits.State(folders=added))
+    step = commits.step_for(dates.select(F.make_date("year", "month", "day").alias("day")), "day")
     star, by_day, users = None, None, None
     if user_match == "id":
         star, by_day = read_star(spark, root, commits.State(folders=added)), ["date_id"]
@@ -117,7 +120,7 @@ def _stage_all(spark: SparkSession, activity: Activity, root: str, load: str, us
     }
     return added | _together(
         spark,
-        [partial(stage_table, rows, root, name, load, ["date_id"], by_day) for name, rows in built.items()],
+        [partial(stage_table, rows, root, name, load, ["date_id"], by_day, step) for name, rows in built.items()],
     )
 
 
@@ -158,8 +161,9 @@ def _stage_rollups(
         "rollup_places": rollups.plays(listens, "location_id"),
         "rollup_logins": rollups.logins(auth, everyone),
     }
+    by = {name: None if name == "rollup_logins" else [] for name in built}  # logins are brought together as they are made
     return staged | _together(
-        spark, [partial(stage_table, rows, root, name, load, rebalance=[]) for name, rows in built.items()]
+        spark, [partial(stage_table, rows, root, name, load, rebalance=by[name]) for name, rows in built.items()]
     )
 
 

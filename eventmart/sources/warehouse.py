@@ -11,6 +11,7 @@ from eventmart import schemas
 from eventmart.operators.dims import Star
 from eventmart.operators.membership import FILTER
 from eventmart.operators.rollups import ROLLUPS, USER_NUMBERS
+from eventmart.operators.sets import union_all
 from eventmart.sources import commits
 
 
@@ -25,13 +26,34 @@ def snapshot(spark: SparkSession, root: str) -> commits.State:
 
 
 def folders_of(state: commits.State, name: str, date_ids: Sequence[str] | None = None) -> list[str]:
-    """Published folders of a table, of some partitions only if asked."""
+    """Published folders of a table, of some days only if asked."""
+    asked = None if date_ids is None else sorted(set(date_ids))
     return [
-        f for f, about in state.folders.items()
-        if about["table"] == name and (date_ids is None or about.get("date_id") in set(date_ids))
+        f for f, about in state.folders.items() if about["table"] == name and (asked is None or _has_day(about, asked))
     ]
 
 
+def is_span(about: dict) -> bool:
+    """Whether a fact's folder holds the days from its ``first_day`` on, by its entry."""
+    return "first_day" in about
+
+
+def _has_day(about: dict, date_ids: Sequence[str]) -> bool:
+    if not is_span(about):
+        return about.get("date_id") in date_ids
+    first, last = (day.replace("-", "") for day in (about["first_day"], commits.last_day(about, "first_day")))
+    return any(first <= day <= last for day in date_ids)
+
+
+def read_folders(spark: SparkSession, root: str, name: str, found: list[str], state: commits.State) -> DataFrame:
+    """Rows of some folders of a fact. The day is a part of the path of a day's folder and
+    a column of the files of a span, so the two are read side by side."""
+    spans = [f for f in found if is_span(state.folders[f])]
+    days = [f for f in found if not is_span(state.folders[f])]
+    parts = [commits.read(spark, root, schemas.FACTS[name], some) for some in (days, spans) if some]
+    return union_all(parts) if parts else commits.read(spark, root, schemas.FACTS[name], [])
+
+
 def read_dim(spark: SparkSession, root: str, name: str, state: commits.State | None = None) -> DataFrame:
     """A stored dimension; one that isn't there is an error."""
     found = folders_of(state or snapshot(spark, root), name)
@@ -55,8 +77,8 @@ def read_fact(
 ) -> DataFrame:
     """A stored fact table, whole or only the partitions in ``date_ids``; no rows
     if none were stored yet."""
-    found = folders_of(state or snapshot(spark, root), name, date_ids)
-    fact = commits.read(spark, root, schemas.FACTS[name], found)
+    state = state or snapshot(spark, root)
+    fact = read_folders(spark, root, name, folders_of(state, name, date_ids), state)
     return fact if date_ids is None else fact.where(F.col("date_id").isin(list(date_ids)))
 
 

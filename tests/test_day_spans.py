@@ -8,8 +8,10 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import functions as F
 
 from eventmart import schemas, session
-from eventmart.operators import minutes
-from eventmart.sources import commits, landed
+from eventmart.operators import analytics, minutes, rollups
+from eventmart.plans import catalog, loads
+from eventmart.plans.tables import merge_folders
+from eventmart.sources import commits, landed, warehouse
 from eventmart.streaming import sinks
 from tests.conftest import rows
 
@@ -98,3 +100,46 @@ def test_filters_of_keys_are_as_large_as_the_keys(spark):
     sinks.save_batch(minutes.song_chart_minute(counts), root, table, 0)
     size = sum(os.path.getsize(f"{at}/{f}") for at, _, names in os.walk(f"{root}/{table}") for f in names if f.endswith(".parquet"))
     assert size < 700_000  # a filter of the largest size takes 1 MB by itself
+
+
+def test_facts_of_many_days_share_folders(spark, make_topic):
+    landed_root, root = session.work_dir(spark, "spans"), session.work_dir(spark, "spans")
+    session.prepare(spark)
+    times = [f"{FIRST + timedelta(days=n)} 10:{n % 60:02d}:00" for n in range(DAYS)]
+    for topic in schemas.STAR_TOPICS:
+        landed.land_rows(make_topic(topic, [{"ts": t, "userId": i % 7} for i, t in enumerate(times)]), landed_root, topic, "one")
+    end = FIRST + timedelta(days=DAYS)
+    loads.full_load(spark, landed_root, root, end - timedelta(days=2), with_rollups=True)
+    for day in (end - timedelta(days=2), end - timedelta(days=1), end - timedelta(days=1), end - timedelta(days=20)):
+        loads.incremental_load(spark, landed_root, root, day, end, with_rollups=True)
+    expected = {}
+    for name in schemas.FACTS:
+        assert len(warehouse.folders_of(warehouse.snapshot(spark, root), name)) <= commits.SPANS + 4
+        fact = warehouse.read_fact(spark, root, name)
+        assert fact.columns == schemas.FACTS[name].names
+        expected[name] = rows(fact)
+        assert sorted(r.date_id for r in fact.select("date_id").collect()) == [t[:10].replace("-", "") for t in times]
+        for number in (0, 3, 57, DAYS - 2, DAYS - 1):
+            date_id = times[number][:10].replace("-", "")
+            found = warehouse.folders_of(warehouse.snapshot(spark, root), name, [date_id])
+            assert 1 <= len(found) <= 2  # other spans aren't read
+            assert rows(warehouse.read_fact(spark, root, name, [date_id])) == rows(fact.where(F.col("date_id") == date_id))
+    star, logins = warehouse.read_star(spark, root), warehouse.read_rollup(spark, root, "rollup_logins")
+    assert rows(rollups.logged_in_users(logins, star, "month")) == rows(
+        analytics.logged_in_users(warehouse.read_fact(spark, root, "fact_auth"), star, "month")
+    )
+    merge_folders(spark, root)
+    assert {n: rows(warehouse.read_fact(spark, root, n)) for n in schemas.FACTS} == expected
+    catalog.register(spark, root, "mart_spans")
+    for name in schemas.FACTS:
+        assert rows(spark.table(f"mart_spans.{name}").select(*schemas.FACTS[name].names)) == expected[name]
+        assert rows(warehouse.read_fact(spark, root, name)) == expected[name]
+    spark.sql("DROP DATABASE mart_spans CASCADE")
+
+
+def test_users_of_one_month_have_numbers_beside_each_other(spark):
+    seen = spark.range(900).selectExpr("concat('u', id % 300) as userId", "concat('2024', lpad(1 + id % 300 div 100 + id div 300, 2, '0'), '05') as date_id")
+    numbers = rollups.number_users(seen.unionByName(seen.limit(1).selectExpr("cast(null as string) as userId", "date_id")), None, 10)
+    first = seen.groupBy("userId").agg(F.min(F.substring("date_id", 1, 6)).alias("month"))
+    spread = numbers.join(first, "userId").groupBy("month").agg(F.min("number"), F.max("number"), F.count("*"))
+    assert rows(spread) == [(f"20240{m}", 10 + 100 * (m - 1), 9 + 100 * m, 100) for m in (1, 2, 3)]
