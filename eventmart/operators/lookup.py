@@ -43,7 +43,9 @@ def lookup(
     members' bytes where one is known; otherwise they are measured. Within
     ``broadcast_bytes`` the members are broadcast and the events do not move.
 
-    Beyond it both sides shuffle on the key and a salt. The salt spreads one
+    Beyond it the join is hinted to be a merge: Spark guesses a side's bytes by its
+    compressed files and sees no copies, so it would broadcast sides far beyond the limit.
+    Both sides shuffle on the key and a salt. The salt spreads one
     key's events over ``salts`` tasks and the members are repeated once per
     salt. It is taken from the row's content, so a retried task sends every row
     where the first attempt did. Rows that are equal in all columns share a
@@ -58,11 +60,11 @@ def lookup(
     if (measure(side) if size is None else size) <= broadcast_bytes:
         matched = events.join(F.broadcast(side), equal)
     elif salts == 1:
-        matched = events.join(side, equal)
+        matched = events.join(side.hint("merge"), equal)
     else:
         pieces = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
         side = side.withColumn("_piece", F.explode(pieces))
         salt = F.xxhash64(*events.columns).bitwiseAND(F.lit(salts - 1))
         salted = events.withColumn("_salt", salt)
-        matched = salted.join(side, [*equal, F.col("_salt") == F.col("_piece")])
+        matched = salted.join(side.hint("merge"), [*equal, F.col("_salt") == F.col("_piece")])
     return matched.select(*events.columns, *take)

@@ -83,6 +83,17 @@ def test_lookup_measures_before_it_broadcasts(spark):
     assert measure(long) >= 100 * 1000
 
 
+@pytest.mark.parametrize("salts", [1, 16])
+def test_lookup_beyond_the_limit_is_never_broadcast(spark, tmp_path, salts):
+    """Stored members have small files, by which Spark would take them for small."""
+    spark.range(5000).selectExpr("cast(id as string) as k", "id % 7 as label").write.parquet(f"{tmp_path}/members")
+    members = spark.read.parquet(f"{tmp_path}/members")
+    got = lookup(_hot_events(spark), members, {"k": "k"}, ["label"], broadcast_bytes=0, salts=salts)
+    assert len(got.collect()) == 2000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def _logical(df):
     return df._jdf.queryExecution().analyzed().toString()
 
