@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import schemas
+from eventmart.operators.lookup import BROADCAST_BYTES, row_bytes
 
 # Schemas are declared, so planning opens no file. Only these columns are used.
 TABLES = {
@@ -49,22 +50,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sized(side: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """A side of a join, to be merged if its measured rows take more than ``most`` bytes,
+    and the number of its rows."""
+    rows, size = side.agg(F.count(F.lit(1)), F.sum(row_bytes(side))).first()
+    return (side if (size or 0) <= most else side.hint("merge")), rows
+
+
+def base(spark: SparkSession, sf_dir: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Events with their user, place and song.
 
     Nations and regions are 25 and 5 rows at every scale, so these are broadcast.
     Customers and parts grow with the data: those joins are left to Spark, which
-    broadcasts a side only while it is small and splits hot partitions otherwise.
-    Every part is a song; their number comes from the file footers.
+    broadcasts a side while it is small and splits hot partitions otherwise. It guesses
+    sizes by compressed files, so they are measured, and merged beyond ``broadcast_bytes``.
+    Every part is a song.
     """
     events = table(spark, sf_dir, "events")
     region = F.broadcast(table(spark, sf_dir, "region"))
     places = table(spark, sf_dir, "nation").join(region, F.expr("n_regionkey = r_regionkey"))
-    songs = table(spark, sf_dir, "part")
-    song = F.col("event_id") % F.lit(max(songs.count(), 1))
+    users, _ = _sized(table(spark, sf_dir, "customer"), broadcast_bytes)
+    songs, number = _sized(table(spark, sf_dir, "part"), broadcast_bytes)
+    song = F.col("event_id") % F.lit(max(number, 1))
     return (
         events.withColumn("ts", F.col("ts").cast("timestamp"))
-        .join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"))
+        .join(users, F.expr("user_id = c_custkey"))
         .join(F.broadcast(places), F.expr("c_nationkey = n_nationkey"))
         .join(songs, song == F.col("p_partkey"))
         .selectExpr(

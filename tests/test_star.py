@@ -163,3 +163,27 @@ def test_logins_count_users_once_and_failures_on_request(spark, make_topic):
     assert rows(analytics.logged_in_users(fact, star, "year")) == [(2024, 1)]
     everyone = analytics.logged_in_users(fact, star, "year", only_success=False)
     assert rows(everyone) == [(2024, 3)]
+
+
+def test_base_merges_customers_and_parts_that_are_not_small(spark, tmp_path):
+    """By their files Spark would take both for small and broadcast them."""
+    tables = {
+        "events": [(0, 1, "view"), (1, 1, "click"), (2, 2, "view"), (3, None, "view"), (None, 2, "error"), (4, 9, "view")],
+        "customer": [(1, "one", 0), (1, "uno", 0), (2, "two", 0), (None, "none", 0), (3, "three", None)],
+        "nation": [(0, "N", 0)],
+        "region": [(0, "R")],
+        "part": [(0, "p", "b", 1), (1, "q", "b", 2), (2, "r", "b", 3), (None, "s", "b", 4)],
+    }
+    kinds = {**sample.TABLES, "events": "event_id BIGINT, user_id BIGINT, event_type STRING"}
+    for name, values in tables.items():
+        found = spark.createDataFrame(values, kinds[name])
+        if name == "events":
+            found = found.withColumn("ts", F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
+        found.write.parquet(f"{tmp_path}/{name}.parquet")
+    small, large = sample.base(spark, str(tmp_path)), sample.base(spark, str(tmp_path), broadcast_bytes=0)
+    assert rows(small) == rows(large)
+    assert rows(large.select("event_id", "lastName", "song")) == [
+        (0, "one", None), (0, "uno", None), (1, "one", "q"), (1, "uno", "q"), (2, "two", "r")
+    ]
+    joins = [df._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") for df in (small, large)]
+    assert joins == [0, 2]
